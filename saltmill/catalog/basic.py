@@ -262,7 +262,9 @@ def extract_parts(t: Tables) -> DataFrame:
     ) GROUP BY days""",
 )
 def overdue_days(t: Tables) -> DataFrame:
-    rented = joins.hot_join(t.star.rented_lines(), t.star.items(), "inventory_id")
+    rented = joins.hot_join(
+        t.star.rented_lines(), t.star.items(), "inventory_id", hot_from=t.star.returns()
+    )
     days = whole_days_over(F.col("rental_date"), F.col("return_date"), F.col("rental_duration"))
     return rented.groupBy(days.alias("days")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -352,14 +354,12 @@ def anti_join(t: Tables) -> DataFrame:
     LEFT JOIN (SELECT * FROM region WHERE r_regionkey > 0) r ON n_regionkey = r_regionkey""",
 )
 def left_chain(t: Tables) -> DataFrame:
-    nation = t("nation").where("n_nationkey < 10")
-    region = t("region").where("r_regionkey > 0")
-    return (
-        t("customer")
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"), "left")
-        .select("c_custkey", "n_name", "r_name")
+    nation = t("nation").where("n_nationkey < 10").select(
+        F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey"
     )
+    region = t("region").where("r_regionkey > 0").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    placed = joins.small_join(t("customer").select("c_custkey", "c_nationkey"), nation, "c_nationkey", "left")
+    return joins.small_join(placed, region, "n_regionkey", "left").select("c_custkey", "n_name", "r_name")
 
 
 @query(

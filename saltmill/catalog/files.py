@@ -69,7 +69,7 @@ def csv_options(t: Tables) -> DataFrame:
 @query("json_multiline", _CUSTOMER)
 def json_multiline(t: Tables) -> DataFrame:
     path = t.scratch("customer-json")
-    sinks.write_json_arrays(t("customer"), "c_custkey", path)
+    sinks.write_json_arrays(t("customer"), path)
     read = files.read_json(t.spark, path)
     return read.select(
         "c_custkey", "c_name", F.col("c_nationkey").cast("int"), "c_acctbal", "c_mktsegment"
@@ -91,7 +91,7 @@ def json_nested(t: Tables) -> DataFrame:
     people = t("customer").select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), details.alias("details")
     )
-    sinks.write_json_arrays(people, "id", path)
+    sinks.write_json_arrays(people, path)
     read = files.read_json(t.spark, f"{path}/page=*", _PERSON)
     return read.select("id", "name", "details.age", "details.address.city")
 

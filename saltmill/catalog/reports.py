@@ -229,7 +229,9 @@ def r_rewards(t: Tables) -> DataFrame:
 def r_balance(t: Tables) -> DataFrame:
     s = t.star
     as_of = F.lit("1998-06-15").cast("timestamp_ntz")
-    return rental.balance(s.customer(), s.rented_lines(), s.items(), s.payment(), as_of)
+    return rental.balance(
+        s.customer(), s.rented_lines(), s.items(), s.payment(), as_of, hot_from=s.returns()
+    )
 
 
 # ---- sales -----------------------------------------------------------------

@@ -43,11 +43,10 @@ def stream_ingest(t: Tables) -> DataFrame:
     events = ingest.table_stream(t.spark, t.sf_dir, "events")
     cut = F.expr("substring(props, 1, length(props) - 1)")
     texts = events.select(F.when(F.expr(_BROKEN), cut).otherwise(F.col("props")).alias("value"))
-    out, rejects = t.scratch("ingest"), t.scratch("ingest-rejects")
+    out = t.scratch("ingest")
     schema = T.StructType([T.StructField("k", T.IntegerType())])
-    ingest.ingest_stream(texts, schema, out, rejects, t.scratch("ingest-state")).awaitTermination()
-    good = t.spark.read.schema("k INT").parquet(f"{out}/batch_id=*")
-    bad = t.spark.read.schema("value STRING").parquet(f"{rejects}/batch_id=*")
+    ingest.ingest_stream(texts, schema, out, t.scratch("ingest-state")).awaitTermination()
+    good, bad = ingest.ingested(t.spark, out, schema)
     counted = good.groupBy("k").agg(F.count(F.lit(1)).alias("n")).select(F.lit("good").alias("state"), "k", "n")
     return counted.unionAll(
         bad.agg(F.count(F.lit(1)).alias("n")).select(F.lit("rejected"), F.lit(None).cast("int"), "n")

@@ -2,30 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # A key is hot above this share of the rows, so there are at most 1 / HOT_SHARE of them.
 HOT_SHARE = 0.002
-MAX_HOT = int(1 / HOT_SHARE)
-# Counters of the frequent-items sketch; its error is far below HOT_SHARE.
-SKETCH_ITEMS = 8192
+# Counters of the frequent-items sketch; its error stays below half of HOT_SHARE.
+SKETCH_ITEMS = 3072
+# Sketches of the scan tasks are merged in this many groups before the last merge.
+MERGE_GROUPS = 256
 
 
 def _names(on: str | list[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def fits(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 32 << 20) -> bool:
+def fits(
+    df: DataFrame,
+    max_rows: int = 200_000,
+    max_bytes: int = 32 << 20,
+    rows_of: DataFrame | None = None,
+) -> bool:
     """True if the table has at most max_rows rows and max_bytes bytes of text form.
 
-    Reads no more than max_rows + 1 rows.
+    Rows are counted first (file footers only, for a plain scan); sizes are added
+    up only for a table with few rows. ``rows_of`` is a cheaper table known to have
+    at least as many rows, counted instead.
     """
+    if (df if rows_of is None else rows_of).count() > max_rows:
+        return False
     size = sum(
         (F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in df.columns),
         F.lit(0).cast("long"),
     )
-    row = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("b")).first()
-    return row["n"] <= max_rows and (row["b"] or 0) <= max_bytes
+    return (df.agg(F.sum(size)).first()[0] or 0) <= max_bytes
+
+
+def merge_group() -> Column:
+    """Group number of a task, for aggregates whose partial results are large."""
+    return F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
 
 
 def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFrame:
@@ -35,12 +49,17 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFr
     A key missed or added by the sketch changes the balance, never the result.
     """
     limit = int(1 / share)
-    found = df.select(F.xxhash64(*keys).alias("h")).agg(
-        F.expr(f"approx_top_k(h, {limit}, {max(SKETCH_ITEMS, limit)})").alias("top"),
-        F.count(F.lit(1)).alias("n"),
+    per_group = (
+        df.select(F.xxhash64(*keys).alias("h"), merge_group().alias("g"))
+        .groupBy("g")
+        .agg(
+            F.expr(f"approx_top_k_accumulate(h, {max(SKETCH_ITEMS, limit)})").alias("sketch"),
+            F.count(F.lit(1)).alias("n"),
+        )
     )
+    merged = per_group.agg(F.expr("approx_top_k_combine(sketch)").alias("sketch"), F.sum("n").alias("n"))
     return (
-        found.select(F.explode("top").alias("t"), "n")
+        merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {limit})")).alias("t"), "n")
         .where(F.col("t.count") >= F.col("n") * share)
         .select(F.col("t.item").alias("_h"), F.lit(True).alias("_hot"))
     )
@@ -52,29 +71,34 @@ def hot_join(
     on: str | list[str],
     how: str = "inner",
     salts: int | None = None,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join whose hot left keys are spread over ``salts`` tasks.
 
-    Left rows of a hot key get a salt from a hash of the whole row; the matching
-    right rows are repeated once per salt. All other rows are joined as usual.
-    ``right`` should have few rows per key (a dimension, or an aggregate).
+    Left rows of a hot key get a salt from a hash of the whole row and of the task
+    they come from, so equal rows are spread too and a retry gives the same salt;
+    the matching right rows are repeated once per salt. All other rows are joined
+    as usual. ``right`` should have few rows per key (a dimension, or an aggregate).
+
+    Hot keys are looked for in ``hot_from``, by default ``left``. If ``left`` is
+    itself the result of a join, pass the table its keys were scanned from.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"hot_join cannot do a {how} join")
     keys = _names(on)
     for k in keys:
         a, b = left.schema[k].dataType, right.schema[k].dataType
-        if a != b:
+        if a.simpleString() != b.simpleString():
             raise TypeError(f"join key {k}: {a.simpleString()} against {b.simpleString()}")
     if how in ("left_semi", "left_anti"):
         right = right.select(*keys).distinct()
     salts = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(hot_keys(left, keys))
+    hot = F.broadcast(hot_keys(left if hot_from is None else hot_from, keys))
 
     def tagged(df: DataFrame) -> DataFrame:
         return df.withColumn("_h", F.xxhash64(*keys)).join(hot, "_h", "left")
 
-    row_salt = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    row_salt = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
     salted_left = tagged(left).select(
         *left.columns, F.when(F.col("_hot"), row_salt).otherwise(F.lit(0)).alias("_salt")
     )
@@ -93,9 +117,10 @@ def small_join(
     how: str = "inner",
     max_rows: int = 200_000,
     max_bytes: int = 32 << 20,
+    rows_of: DataFrame | None = None,
 ) -> DataFrame:
     """Broadcast ``dim`` if a check of its size allows it, else a salted shuffle join."""
-    if fits(dim, max_rows, max_bytes):
+    if fits(dim, max_rows, max_bytes, rows_of):
         return big.join(F.broadcast(dim), _names(on), how)
     return hot_join(big, dim, on, how)
 

@@ -4,22 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Accuracy of percentile_approx for a relative rank error of 0.01 and below.
-ACCURACY = 100
+from .joins import merge_group
 
+# Size of the quantile sketch for a relative rank error well below 0.01.
+SKETCH_SIZE = 1000
 
-def profile(df: DataFrame, cols: list[str], quantiles: list[float] | None = None) -> DataFrame:
-    """(column, stat, value) for count, mean, stddev, min, max and asked quantiles."""
-    stats: dict[str, callable] = {
-        "count": lambda c: F.count(c).cast("double"),
-        "mean": lambda c: F.avg(c),
-        "stddev": lambda c: F.stddev_samp(c),
-        "min": lambda c: F.min(c).cast("double"),
-        "max": lambda c: F.max(c).cast("double"),
-    }
-    asked = quantiles or []
-    for q in asked:
-        stats[f"{q * 100:g}%"] = lambda c, q=q: F.percentile_approx(c, q, 10_000).cast("double")
+
+def _stats_row(df: DataFrame, cols: list[str], stats: dict) -> DataFrame:
+    """(column, stat, value) from one global aggregation."""
     one = df.agg(
         *[f(F.col(c)).alias(f"{i}_{j}") for i, c in enumerate(cols) for j, f in enumerate(stats.values())]
     )
@@ -31,11 +23,50 @@ def profile(df: DataFrame, cols: list[str], quantiles: list[float] | None = None
     return one.select(F.inline(F.array(*entries)))
 
 
-def quantiles(df: DataFrame, col: str, probs: list[float], accuracy: int = ACCURACY) -> DataFrame:
-    """(prob, value) with relative rank error at most 1 / accuracy; NULLs are left out."""
-    found = df.agg(F.percentile_approx(col, [float(p) for p in probs], accuracy).alias("v"))
-    zipped = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("prob"), F.col("v").alias("value"))
-    return found.select(F.inline(zipped)).toDF("prob", "value")
+def profile(df: DataFrame, cols: list[str], quantiles: list[float] | None = None) -> DataFrame:
+    """(column, stat, value) for count, mean, stddev, min, max and asked quantiles."""
+    basic = {
+        "count": lambda c: F.count(c).cast("double"),
+        "mean": F.avg,
+        "stddev": F.stddev_samp,
+        "min": lambda c: F.min(c).cast("double"),
+        "max": lambda c: F.max(c).cast("double"),
+    }
+    out = _stats_row(df, cols, basic)
+    if quantiles:
+        found = _sketches(df, cols)
+        asked = {
+            f"{q * 100:g}%": lambda c, q=q: F.kll_sketch_get_quantile_double(c, F.lit(float(q)))
+            for q in quantiles
+        }
+        entries = [
+            F.struct(F.lit(c).alias("column"), F.lit(s).alias("stat"), f(F.col(c)).alias("value"))
+            for c in cols
+            for s, f in asked.items()
+        ]
+        out = out.unionAll(found.select(F.inline(F.array(*entries))))
+    return out
+
+
+def _sketches(df: DataFrame, cols: list[str]) -> DataFrame:
+    """One quantile sketch per column, merged in two steps; NULLs are left out."""
+    typed = df.select(*[F.col(c).cast("double").alias(c) for c in cols], merge_group().alias("_g"))
+    per_group = typed.groupBy("_g").agg(
+        *[F.kll_sketch_agg_double(c, F.lit(SKETCH_SIZE)).alias(c) for c in cols]
+    )
+    return per_group.agg(*[F.kll_merge_agg_double(c, F.lit(SKETCH_SIZE)).alias(c) for c in cols])
+
+
+def quantiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
+    """(prob, value) within a relative rank error of 0.01; NULLs are left out."""
+    entries = [
+        F.struct(
+            F.lit(float(p)).alias("prob"),
+            F.kll_sketch_get_quantile_double(col, F.lit(float(p))).alias("value"),
+        )
+        for p in probs
+    ]
+    return _sketches(df, [col]).select(F.inline(F.array(*entries)))
 
 
 def corr_clean(df: DataFrame, a: str, b: str, name: str = "corr") -> DataFrame:

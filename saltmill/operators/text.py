@@ -53,19 +53,18 @@ def build_token_index(
 ) -> None:
     """Write the (token, doc_id) table, split by token bucket and sorted by token.
 
-    A bucket is filled by several tasks, chosen by document, so a token found in a
-    third of the documents does not end in one task or file. One document's tokens
-    are made distinct inside its row, so the build has a single shuffle.
+    The rebalance splits a bucket by size, so a token found in a third of the
+    documents does not end in one task or file. One document's tokens are made
+    distinct inside its row, so the build has a single shuffle.
     """
-    shards = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
     index = tokens(df, doc_id, texts, stop_words).withColumn(
         "token_bucket", _bucket(F.col("token"), buckets)
     )
-    shard = F.pmod(F.xxhash64("doc_id"), F.lit(shards))
     (
-        index.repartition("token_bucket", shard)
+        index.hint("rebalance", "token_bucket")
         .sortWithinPartitions("token_bucket", "token", "doc_id")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .partitionBy("token_bucket")
         .parquet(path)
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import month_start_back, whole_days_over
 from ..functions.strings import capitalize, group_concat, pg_concat
-from ..operators.joins import hot_join, unmatched
+from ..operators.joins import hot_join, small_join, unmatched
 from ..operators.ranking import first_per_key, top_k
 from ..sources.paths import children, exists
 
@@ -100,12 +100,8 @@ def _named(actor: DataFrame) -> DataFrame:
 
 def top_actors(film_rentals: DataFrame, film_actor: DataFrame, actor: DataFrame, k: int = 10) -> DataFrame:
     """Actors whose films were rented most; homonyms are kept apart by id."""
-    per_actor = (
-        film_actor.select("film_id", "actor_id")
-        .join(film_rentals, "film_id")
-        .groupBy("actor_id")
-        .agg(F.sum("n").alias("films_count"))
-    )
+    uses = hot_join(film_actor.select("film_id", "actor_id"), film_rentals, "film_id")
+    per_actor = uses.groupBy("actor_id").agg(F.sum("n").alias("films_count"))
     named = per_actor.join(_named(actor), "actor_id").select("actor_id", "full_name", "films_count")
     return top_k(named, k, F.desc("films_count"), "actor_id")
 
@@ -138,12 +134,9 @@ def actor_info(
     film: DataFrame,
 ) -> DataFrame:
     """``category: title, title`` pieces per actor; NULL for an actor without films."""
-    cast = (
-        film_actor.select("actor_id", "film_id")
-        .join(film.select("film_id", "title"), "film_id")
-        .join(film_category.select("film_id", "category_id"), "film_id")
-        .join(category.select("category_id", "name"), "category_id")
-    )
+    films = film.select("film_id", "title").join(film_category.select("film_id", "category_id"), "film_id")
+    films = small_join(films, category.select("category_id", "name"), "category_id")
+    cast = hot_join(film_actor.select("actor_id", "film_id"), films, "film_id")
     titles = group_concat(cast, ["actor_id", "category_id", "name"], "title", "titles")
     pieces = titles.select("actor_id", F.concat("name", F.lit(": "), "titles").alias("piece"))
     info = group_concat(pieces, ["actor_id"], "piece", "film_info", distinct=True)
@@ -166,16 +159,17 @@ def film_list(
         name = F.concat(capitalize("first_name"), capitalize("last_name"))
     else:
         name = F.concat("first_name", F.lit(" "), "last_name")
-    cast = film_actor.select("film_id", "actor_id").join(
-        actor.select("actor_id", name.alias("_name")), "actor_id"
+    cast = hot_join(
+        film_actor.select("film_id", "actor_id"), actor.select("actor_id", name.alias("_name")), "actor_id"
     )
     actors = group_concat(cast, ["film_id"], "_name", "actors")
     films = film.select(
         "film_id", "title", "description", F.col("rental_rate").alias("price"), "length", "rating"
     )
+    names = category.select("category_id", F.col("name").alias("category"))
+    placed = films.join(film_category.select("film_id", "category_id"), "film_id")
     return (
-        films.join(film_category.select("film_id", "category_id"), "film_id")
-        .join(category.select("category_id", F.col("name").alias("category")), "category_id")
+        small_join(placed, names, "category_id")
         .join(actors, "film_id")
         .select(
             F.col("film_id").alias("fid"), "title", "description", "category", "price", "length", "rating", "actors"
@@ -187,13 +181,16 @@ def film_list(
 
 
 def _located(people: DataFrame, address: DataFrame, city: DataFrame, country: DataFrame) -> DataFrame:
-    places = (
-        address.select("address_id", "address", F.col("postal_code").alias("zip code"), "phone", "city_id")
-        .join(city.select("city_id", "city", "country_id"), "city_id")
-        .join(country.select("country_id", "country"), "country_id")
-        .drop("city_id", "country_id")
-    )
-    return people.join(places, "address_id")
+    towns = small_join(
+        city.select("city_id", "city", "country_id"), country.select("country_id", "country"), "country_id"
+    ).drop("country_id")
+    places = small_join(
+        address.select("address_id", "address", F.col("postal_code").alias("zip code"), "phone", "city_id"),
+        towns,
+        "city_id",
+        rows_of=city,
+    ).drop("city_id")
+    return small_join(people, places, "address_id", rows_of=address)
 
 
 def customer_list(customer: DataFrame, address: DataFrame, city: DataFrame, country: DataFrame) -> DataFrame:
@@ -328,12 +325,14 @@ def balance(
     payment: DataFrame,
     as_of: Column,
     charge_replacement: bool = False,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """(customer_id, balance) at ``as_of``: rental fees + a dollar per overdue day - payments.
 
     ``items`` has inventory_id, rental_rate, rental_duration (and replacement_cost,
-    charged on top for items kept more than twice as long as allowed, if asked for).
+    charged on top for items overdue by more than twice the allowed days, if asked for).
     Fees and payments go through one aggregation instead of three joined ones.
+    ``hot_from`` is a cheaper table with the inventory ids, see ``hot_join``.
     """
     rented = hot_join(
         rental.where(F.col("rental_date") <= as_of).select(
@@ -341,12 +340,13 @@ def balance(
         ),
         items,
         "inventory_id",
+        hot_from=hot_from,
     )
     start, end, allowed = F.col("rental_date"), F.col("return_date"), F.col("rental_duration")
     money = "decimal(18,2)"
     fee = F.col("rental_rate").cast(money) + whole_days_over(start, end, allowed).cast(money)
     if charge_replacement:
-        lost = F.timestamp_diff("SECOND", start, end) > allowed.cast("long") * 2 * 86400
+        lost = F.timestamp_diff("SECOND", start, end) > allowed.cast("long") * 3 * 86400
         fee = fee + F.when(lost, F.col("replacement_cost")).otherwise(F.lit(0)).cast(money)
     fees = rented.select("customer_id", fee.cast(money).alias("amount"))
     paid = payment.where(F.col("payment_date") <= as_of).select(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.joins import hot_join
-from ..session import table
+from ..session import materialize, table
 
 MONEY = "decimal(18,2)"
 # A line counts as not returned yet if it has this flag and ships from this day on.
@@ -43,9 +43,9 @@ class Star:
         )
 
     def category(self) -> DataFrame:
-        return self.raw("part").select(F.col("p_type").alias("category_id")).distinct().withColumn(
-            "name", F.col("category_id")
-        )
+        """Distinct part types, written once so that their size is known."""
+        types = self.raw("part").select(F.col("p_type").alias("category_id")).distinct()
+        return materialize(types, "category").withColumn("name", F.col("category_id"))
 
     def film_category(self) -> DataFrame:
         return self.raw("part").select(
@@ -116,22 +116,15 @@ class Star:
         lines = self.raw("lineitem")
         if only_open:
             lines = lines.where(_open())
-        lines = lines.select(
-            F.col("l_orderkey").alias("rental_id"), F.col("l_partkey").alias("inventory_id"), _returned()
-        )
-        orders = self.raw("orders").select(
-            F.col("o_orderkey").alias("rental_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("o_orderdate").alias("rental_date"),
-        )
-        return hot_join(lines, orders, "rental_id")
+        return self._with_order(lines, _returned())
 
     def rented_lines(self) -> DataFrame:
         """All lines as rentals that ended at their ship date."""
-        lines = self.raw("lineitem").select(
-            F.col("l_orderkey").alias("rental_id"),
-            F.col("l_partkey").alias("inventory_id"),
-            F.col("l_shipdate").alias("return_date"),
+        return self._with_order(self.raw("lineitem"), F.col("l_shipdate").alias("return_date"))
+
+    def _with_order(self, lines: DataFrame, returned: Column) -> DataFrame:
+        lines = lines.select(
+            F.col("l_orderkey").alias("rental_id"), F.col("l_partkey").alias("inventory_id"), returned
         )
         orders = self.raw("orders").select(
             F.col("o_orderkey").alias("rental_id"),

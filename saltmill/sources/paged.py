@@ -11,8 +11,13 @@ import json
 from collections.abc import Iterator
 from functools import lru_cache
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.pandas.types import to_arrow_schema
+
+from ..session import ship
 
 
 class PageError(RuntimeError):
@@ -28,7 +33,7 @@ class PagePartition(InputPartition):
 
 class PagedReader(DataSourceReader):
     def __init__(self, schema: T.StructType, options: dict[str, str]):
-        self.fields = schema.fieldNames()
+        self.columns = to_arrow_schema(schema)
         self.dates = [d for d in options["dates"].split(",") if d]
         self.lanes = int(options.get("lanes", "1"))
         self.fetcher = options["fetcher"]
@@ -42,7 +47,7 @@ class PagedReader(DataSourceReader):
             for lane in range(self.lanes)
         ]
 
-    def read(self, partition: PagePartition) -> Iterator[tuple]:
+    def read(self, partition: PagePartition) -> Iterator[pa.RecordBatch]:
         module, _, name = self.fetcher.partition(":")
         fetch = getattr(importlib.import_module(module), name)
         page = partition.first
@@ -55,8 +60,7 @@ class PagedReader(DataSourceReader):
                 raise
             if not records:
                 return
-            for record in records:
-                yield tuple(record.get(f) for f in self.fields)
+            yield pa.RecordBatch.from_pylist(records, schema=self.columns)
             page += partition.step
 
 
@@ -86,6 +90,7 @@ def read_paged(
     A date is read by ``lanes`` tasks, each taking every lanes-th page up to the
     first empty one, so a date with very many pages is not one task.
     """
+    ship(spark)
     spark.dataSource.register(PagedSource)
     return (
         spark.read.format("paged")
@@ -101,8 +106,6 @@ def read_paged(
 
 @lru_cache(maxsize=64)
 def _page_files(root: str, date: str) -> tuple[str, ...]:
-    from pyarrow import fs
-
     store, base = fs.FileSystem.from_uri(root)
     try:
         found = store.get_file_info(fs.FileSelector(f"{base.rstrip('/')}/date={date}"))
@@ -113,8 +116,6 @@ def _page_files(root: str, date: str) -> tuple[str, ...]:
 
 def folder_page(root: str, date: str, page: int) -> list[dict] | None:
     """Page n is the n-th JSON-lines file of ``root/date=.../`` on a shared store."""
-    from pyarrow import fs
-
     files = _page_files(root, date)
     if page > len(files):
         return None

@@ -33,13 +33,19 @@ def under(base: str, path: str) -> str:
 
 
 def replace_dir(df: DataFrame, target: str, fmt: str, **options: str) -> None:
-    """Write beside the target and swap; if the write fails the old target stays."""
-    spark = df.sparkSession
-    fresh = f"{target}__new-{uuid.uuid4().hex}"
+    """Write beside the target and swap; the old target goes only once the new one is in place."""
+    spark, run = df.sparkSession, uuid.uuid4().hex
+    fresh, before = f"{target}__new-{run}", f"{target}__old-{run}"
     df.write.format(fmt).options(**options).mode("error").save(fresh)
     fs, new = _fs(spark, fresh)
     _, old = _fs(spark, target)
-    if fs.exists(old):
-        fs.delete(old, True)
+    _, kept = _fs(spark, before)
+    replaced = fs.exists(old)
+    if replaced and not fs.rename(old, kept):
+        raise OSError(f"could not move {target} aside")
     if not fs.rename(new, old):
+        if replaced:
+            fs.rename(kept, old)
         raise OSError(f"could not rename {fresh} to {target}")
+    if replaced:
+        fs.delete(kept, True)

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..session import materialize
 from .files import read_raw
 from .paths import exists, replace_dir, under
 
@@ -22,13 +23,15 @@ def land(df: DataFrame, base: str, path: str, allow_empty: bool = False) -> str:
     return target
 
 
-def write_json_arrays(df: DataFrame, key: str, path: str, per_file: int = 5000) -> None:
-    """Write indented JSON arrays of about ``per_file`` records, one file per folder.
+def write_json_arrays(df: DataFrame, path: str, per_file: int = 5000) -> None:
+    """Write indented JSON arrays of at most ``per_file`` records, one file per folder.
 
-    Records are dealt out by a hash of ``key``, so no array grows with the table.
+    Rows are numbered in a written copy first, so a task that runs again deals the
+    same rows to the same array.
     """
-    files = df.count() // per_file + 1
-    pages = df.groupBy(F.pmod(F.xxhash64(key), F.lit(files)).alias("page")).agg(
+    stored = materialize(df.withColumn("_id", F.monotonically_increasing_id()), "json-arrays")
+    page = F.floor(F.col("_id") / per_file).alias("page")
+    pages = stored.groupBy(page).agg(
         F.to_json(F.collect_list(F.struct(*df.columns)), {"pretty": "true"}).alias("value")
     )
     pages.write.partitionBy("page").text(path)
@@ -77,12 +80,13 @@ def split_months(df: DataFrame, ts: str, first: str, last: str) -> tuple[DataFra
 def write_monthly(df: DataFrame, ts: str, path: str, first: str, last: str) -> DataFrame:
     """Write one folder per month, replacing only the months present; returns the rejects.
 
-    Rows go straight from the scan to their month's files, so a month with a third
-    of the rows is written by all tasks that hold some of it.
+    The rebalance gathers a month into few files and splits a large month by size,
+    so a month with a third of the rows is written by many tasks.
     """
     stored, rejected = split_months(df, ts, first, last)
     (
-        stored.write.mode("overwrite")
+        stored.hint("rebalance", "month")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("month")
         .parquet(path)

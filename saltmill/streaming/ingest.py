@@ -40,24 +40,40 @@ def ingest_stream(
     stream: DataFrame,
     schema: T.StructType,
     out_dir: str,
-    reject_dir: str,
     checkpoint: str,
     every: str | None = None,
 ) -> StreamingQuery:
-    """Parse JSON texts and write good rows and rejects per batch.
+    """Parse JSON texts and write good rows and rejects of each batch in one pass.
 
     Each batch has its own folder, written with overwrite, so a batch that runs
     again leaves no copies. ``every`` is the poll interval ("5 seconds"); without
     it the query handles what is there and stops.
     """
-    parsed = parse_values(stream, schema)
+    parsed = parse_values(stream, schema).withColumn("rejected", F.col(CORRUPT).isNotNull())
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        good = batch.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-        good.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
-        bad = batch.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("value"))
-        bad.write.mode("overwrite").parquet(f"{reject_dir}/batch_id={batch_id}")
+        (
+            batch.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy("rejected")
+            .parquet(f"{out_dir}/batch_id={batch_id}")
+        )
 
     writer = parsed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start()
+
+
+def ingested(spark: SparkSession, out_dir: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of all batches; a reject is its text as ``value``."""
+    full = T.StructType(
+        [
+            *schema.fields,
+            T.StructField(CORRUPT, T.StringType()),
+            T.StructField("batch_id", T.LongType()),
+            T.StructField("rejected", T.BooleanType()),
+        ]
+    )
+    rows = spark.read.schema(full).parquet(out_dir)
+    good = rows.where(~F.col("rejected")).select(*schema.fieldNames())
+    return good, rows.where("rejected").select(F.col(CORRUPT).alias("value"))
