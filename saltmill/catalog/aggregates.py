@@ -245,7 +245,7 @@ def split_rows(t: Tables) -> DataFrame:
 _LINES = "SELECT unnest(string_split(text, chr(10))) AS value FROM documents"
 _WORDS = f"SELECT unnest(string_split(value, ' ')) AS word FROM ({_LINES})"
 _REAL_WORDS = (
-    "SELECT w AS word FROM (SELECT unnest(regexp_split_to_array(text, '[^\\p{L}\\p{N}\\p{M}_]+')) AS w "
+    "SELECT w AS word FROM (SELECT unnest(regexp_split_to_array(text, '[^\\p{L}\\p{N}_]+')) AS w "
     "FROM documents) WHERE regexp_full_match(w, '[A-Za-z]+')"
 )
 

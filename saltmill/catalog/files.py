@@ -177,7 +177,8 @@ def paged_source(t: Tables) -> DataFrame:
         months,
         "o_orderkey BIGINT, month STRING, o_totalprice DOUBLE",
         root=uri,
-        lanes=2,
+        lanes=4,
+        tasks=4 * t.spark.sparkContext.defaultParallelism,
     )
 
 

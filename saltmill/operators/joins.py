@@ -53,15 +53,18 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFr
         df.select(F.xxhash64(*keys).alias("h"), merge_group().alias("g"))
         .groupBy("g")
         .agg(
-            F.expr(f"approx_top_k_accumulate(h, {max(SKETCH_ITEMS, limit)})").alias("sketch"),
+            F.expr(f"approx_top_k(h, {limit}, {max(SKETCH_ITEMS, limit)})").alias("top"),
             F.count(F.lit(1)).alias("n"),
         )
     )
-    merged = per_group.agg(F.expr("approx_top_k_combine(sketch)").alias("sketch"), F.sum("n").alias("n"))
+    # At most MERGE_GROUPS * limit items meet here.
+    together = per_group.agg(F.flatten(F.collect_list("top")).alias("top"), F.sum("n").alias("n"))
     return (
-        merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {limit})")).alias("t"), "n")
-        .where(F.col("t.count") >= F.col("n") * share)
-        .select(F.col("t.item").alias("_h"), F.lit(True).alias("_hot"))
+        together.select(F.explode("top").alias("t"), "n")
+        .groupBy(F.col("t.item").alias("_h"), "n")
+        .agg(F.sum("t.count").alias("c"))
+        .where(F.col("c") >= F.col("n") * share)
+        .select("_h", F.lit(True).alias("_hot"))
     )
 
 

@@ -35,10 +35,7 @@ def profile(df: DataFrame, cols: list[str], quantiles: list[float] | None = None
     out = _stats_row(df, cols, basic)
     if quantiles:
         found = _sketches(df, cols)
-        asked = {
-            f"{q * 100:g}%": lambda c, q=q: F.kll_sketch_get_quantile_double(c, F.lit(float(q)))
-            for q in quantiles
-        }
+        asked = {f"{q * 100:g}%": lambda c, q=q: _quantile(c, q) for q in quantiles}
         entries = [
             F.struct(F.lit(c).alias("column"), F.lit(s).alias("stat"), f(F.col(c)).alias("value"))
             for c in cols
@@ -57,13 +54,16 @@ def _sketches(df: DataFrame, cols: list[str]) -> DataFrame:
     return per_group.agg(*[F.kll_merge_agg_double(c, F.lit(SKETCH_SIZE)).alias(c) for c in cols])
 
 
+def _quantile(sketch: Column, prob: float) -> Column:
+    """Value at a rank share; NULL if the sketch saw no value."""
+    filled = F.kll_sketch_get_n_double(sketch) > 0
+    return F.when(filled, F.kll_sketch_get_quantile_double(sketch, F.lit(float(prob))))
+
+
 def quantiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
     """(prob, value) within a relative rank error of 0.01; NULLs are left out."""
     entries = [
-        F.struct(
-            F.lit(float(p)).alias("prob"),
-            F.kll_sketch_get_quantile_double(col, F.lit(float(p))).alias("value"),
-        )
+        F.struct(F.lit(float(p)).alias("prob"), _quantile(F.col(col), p).alias("value"))
         for p in probs
     ]
     return _sketches(df, [col]).select(F.inline(F.array(*entries)))

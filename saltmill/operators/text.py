@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Fixed value: what counts as a real word; (?U) keeps word borders Unicode-aware.
-REAL_WORD = r"(?U)\b[A-Za-z]+\b"
+# A run of ASCII letters with no letter, digit or underscore of any script beside it.
+REAL_WORD = r"(?<![\p{L}\p{N}_])[A-Za-z]++(?![\p{L}\p{N}_])"
 TOKEN_BREAK = r"[^\p{L}\p{N}]+"
 TOKEN_BUCKETS = 64
 

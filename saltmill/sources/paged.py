@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import importlib
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -25,10 +25,10 @@ class PageError(RuntimeError):
 
 
 class PagePartition(InputPartition):
-    """Pages first, first + step, ... of one date."""
+    """(date, first page) pairs; each is read in steps of the lane count."""
 
-    def __init__(self, date: str, first: int, step: int):
-        self.date, self.first, self.step = date, first, step
+    def __init__(self, starts: list[tuple[str, int]]):
+        self.starts = starts
 
 
 class PagedReader(DataSourceReader):
@@ -36,32 +36,31 @@ class PagedReader(DataSourceReader):
         self.columns = to_arrow_schema(schema)
         self.dates = [d for d in options["dates"].split(",") if d]
         self.lanes = int(options.get("lanes", "1"))
+        self.tasks = int(options.get("tasks", "0"))
         self.fetcher = options["fetcher"]
         self.root = options.get("root", "")
         self.stop_on_error = options.get("on_error", "raise") == "stop"
 
     def partitions(self) -> list[InputPartition]:
-        return [
-            PagePartition(date, lane + 1, self.lanes)
-            for date in self.dates
-            for lane in range(self.lanes)
-        ]
+        starts = [(date, lane + 1) for lane in range(self.lanes) for date in self.dates]
+        tasks = max(1, min(self.tasks or len(starts), len(starts)))
+        return [PagePartition(starts[i::tasks]) for i in range(tasks)]
 
     def read(self, partition: PagePartition) -> Iterator[pa.RecordBatch]:
         module, _, name = self.fetcher.partition(":")
         fetch = getattr(importlib.import_module(module), name)
-        page = partition.first
-        while True:
-            try:
-                records = fetch(self.root, partition.date, page)
-            except PageError:
-                if self.stop_on_error:
-                    return
-                raise
-            if not records:
-                return
-            yield pa.RecordBatch.from_pylist(records, schema=self.columns)
-            page += partition.step
+        for date, page in partition.starts:
+            while records := self._page(fetch, date, page):
+                yield pa.RecordBatch.from_pylist(records, schema=self.columns)
+                page += self.lanes
+
+    def _page(self, fetch: Callable, date: str, page: int) -> list[dict] | None:
+        try:
+            return fetch(self.root, date, page)
+        except PageError:
+            if self.stop_on_error:
+                return None
+            raise
 
 
 class PagedSource(DataSource):
@@ -83,13 +82,18 @@ def read_paged(
     schema: str,
     root: str = "",
     lanes: int = 1,
+    tasks: int = 0,
     on_error: str = "raise",
 ) -> DataFrame:
     """All pages of all dates.
 
-    A date is read by ``lanes`` tasks, each taking every lanes-th page up to the
-    first empty one, so a date with very many pages is not one task.
+    A date has ``lanes`` readers, each taking every lanes-th page up to the first
+    empty one, so a date with very many pages is not one task. The readers of all
+    dates are dealt to ``tasks`` tasks (0: one task each). A page error fails the
+    read; with ``on_error="stop"`` it ends the date instead, as if it were empty.
     """
+    if on_error == "stop" and lanes > 1:
+        raise ValueError("the pages before an error are only known with a single lane")
     ship(spark)
     spark.dataSource.register(PagedSource)
     return (
@@ -98,6 +102,7 @@ def read_paged(
         .option("fetcher", fetcher)
         .option("dates", ",".join(dates))
         .option("lanes", str(lanes))
+        .option("tasks", str(tasks))
         .option("root", root)
         .option("on_error", on_error)
         .load()
