@@ -177,7 +177,7 @@ def replace_values(t: Tables) -> DataFrame:
     return t("part").select("p_partkey", "p_size").replace({3: 30, 1: 10}, subset="p_size")
 
 
-_TYPED_DAY = "strftime(o_orderdate, '%Y-%m') || '-' || CAST(o_orderkey % 100 AS VARCHAR)"
+_TYPED_DAY = "strftime(o_orderdate, '%Y-%m') || '-' || CAST(CAST(floor(o_totalprice / 10000) AS BIGINT) AS VARCHAR)"
 
 
 @query(
@@ -187,9 +187,9 @@ _TYPED_DAY = "strftime(o_orderdate, '%Y-%m') || '-' || CAST(o_orderkey % 100 AS
     FROM (SELECT o_orderkey, {_TYPED_DAY} AS d FROM orders)""",
 )
 def date_shape(t: Tables) -> DataFrame:
-    """Day numbers 0 to 99 appended to the order month: some have the shape, some are days."""
+    """Prices as day numbers after the order month: some have the shape, some are days."""
     typed = F.concat(
-        F.date_format("o_orderdate", "yyyy-MM"), F.lit("-"), (F.col("o_orderkey") % 100).cast("string")
+        F.date_format("o_orderdate", "yyyy-MM"), F.lit("-"), F.floor(F.col("o_totalprice") / 10000).cast("string")
     )
     return t("orders").select("o_orderkey", typed.alias("d")).select(
         "o_orderkey", valid_date("d").alias("shape"), real_date("d").alias("is_day")
@@ -350,14 +350,14 @@ def anti_join(t: Tables) -> DataFrame:
 @query(
     "left_chain",
     """SELECT c_custkey, n_name, r_name FROM customer
-    LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 10) n ON c_nationkey = n_nationkey
-    LEFT JOIN (SELECT * FROM region WHERE r_regionkey > 0) r ON n_regionkey = r_regionkey""",
+    LEFT JOIN (SELECT * FROM nation WHERE n_name <> 'NATION_7') n ON c_nationkey = n_nationkey
+    LEFT JOIN (SELECT * FROM region WHERE r_name <> 'AFRICA') r ON n_regionkey = r_regionkey""",
 )
 def left_chain(t: Tables) -> DataFrame:
-    nation = t("nation").where("n_nationkey < 10").select(
+    nation = t("nation").where("n_name <> 'NATION_7'").select(
         F.col("n_nationkey").alias("c_nationkey"), "n_name", "n_regionkey"
     )
-    region = t("region").where("r_regionkey > 0").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    region = t("region").where("r_name <> 'AFRICA'").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     placed = joins.small_join(t("customer").select("c_custkey", "c_nationkey"), nation, "c_nationkey", "left")
     return joins.small_join(placed, region, "n_regionkey", "left").select("c_custkey", "n_name", "r_name")
 
@@ -365,12 +365,12 @@ def left_chain(t: Tables) -> DataFrame:
 @query(
     "outer_elim",
     """SELECT c_custkey, r_name FROM customer
-    LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 10) n ON c_nationkey = n_nationkey
+    LEFT JOIN (SELECT * FROM nation WHERE n_name <> 'NATION_7') n ON c_nationkey = n_nationkey
     JOIN region ON n_regionkey = r_regionkey""",
 )
 def outer_elim(t: Tables) -> DataFrame:
     """The inner join on the null side lets Catalyst turn the left join into an inner one."""
-    nation = t("nation").where("n_nationkey < 10")
+    nation = t("nation").where("n_name <> 'NATION_7'")
     return (
         t("customer")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")

@@ -173,7 +173,7 @@ def paged_source(t: Tables) -> DataFrame:
     uri = root if "://" in root else f"file://{root}"
     return paged.read_paged(
         t.spark,
-        "saltmill.sources.paged:folder_page",
+        paged.FolderPages(),
         months,
         "o_orderkey BIGINT, month STRING, o_totalprice DOUBLE",
         root=uri,

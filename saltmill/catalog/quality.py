@@ -7,25 +7,25 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import numbering, quality
 from .registry import Tables, query
 
-_DIRTY = """SELECT o_orderkey, nullif(o_custkey % 10, 0) AS slot, nullif(o_orderpriority, '5-LOW') AS priority
+_DIRTY = """SELECT o_orderkey, nullif(o_orderstatus, 'P') AS status, nullif(o_orderpriority, '5-LOW') AS priority
     FROM orders"""
 
 
 def _dirty(t: Tables) -> DataFrame:
     return t("orders").select(
         "o_orderkey",
-        F.nullif(F.col("o_custkey") % 10, F.lit(0)).alias("slot"),
+        F.nullif("o_orderstatus", F.lit("P")).alias("status"),
         F.nullif("o_orderpriority", F.lit("5-LOW")).alias("priority"),
     )
 
 
 @query(
     "dq_not_null",
-    f"""SELECT 'orders' AS "table", 'not_null' AS rule, 'slot' AS "key", count(*) AS n FROM ({_DIRTY}) WHERE slot IS NULL
+    f"""SELECT 'orders' AS "table", 'not_null' AS rule, 'status' AS "key", count(*) AS n FROM ({_DIRTY}) WHERE status IS NULL
     UNION ALL SELECT 'orders', 'not_null', 'priority', count(*) FROM ({_DIRTY}) WHERE priority IS NULL""",
 )
 def dq_not_null(t: Tables) -> DataFrame:
-    return quality.check_not_null(_dirty(t), "orders", ["o_orderkey", "slot", "priority"])
+    return quality.check_not_null(_dirty(t), "orders", ["o_orderkey", "status", "priority"])
 
 
 @query(
@@ -60,16 +60,18 @@ def dq_delete_restrict(t: Tables) -> DataFrame:
     return quality.plan_delete(doomed, "o_orderkey", [(t("lineitem"), "l_orderkey")])
 
 
-_MOVED = "CASE WHEN {c} < 5 THEN {c} + 100 ELSE {c} END"
+_MOVED = "CASE WHEN n_name = 'NATION_7' THEN {c} ELSE {c} + 100 END"
 
 
 @query(
     "dq_update_cascade",
-    f"""SELECT 'customer' AS child, c_custkey AS id, {_MOVED.format(c='c_nationkey')} AS nation FROM customer
-    UNION ALL SELECT 'supplier', s_suppkey, {_MOVED.format(c='s_nationkey')} FROM supplier""",
+    f"""SELECT 'customer' AS child, c_custkey AS id, {_MOVED.format(c='c_nationkey')} AS nation
+    FROM customer JOIN nation ON c_nationkey = n_nationkey
+    UNION ALL SELECT 'supplier', s_suppkey, {_MOVED.format(c='s_nationkey')}
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey""",
 )
 def dq_update_cascade(t: Tables) -> DataFrame:
-    renamed = t("nation").where("n_nationkey < 5").select(
+    renamed = t("nation").where("n_name <> 'NATION_7'").select(
         F.col("n_nationkey").alias("old"), (F.col("n_nationkey") + 100).alias("new")
     )
     customers = quality.cascade_key(t("customer"), "c_nationkey", renamed)
@@ -119,10 +121,10 @@ def dq_summary(t: Tables) -> DataFrame:
 
 @query(
     "dq_defaults",
-    f"""SELECT o_orderkey, coalesce(slot, 42) AS slot, coalesce(priority, 'none') AS priority FROM ({_DIRTY})""",
+    f"""SELECT o_orderkey, coalesce(status, 'open') AS status, coalesce(priority, 'none') AS priority FROM ({_DIRTY})""",
 )
 def dq_defaults(t: Tables) -> DataFrame:
-    return quality.apply_defaults(_dirty(t), {"slot": 42, "priority": "none"})
+    return quality.apply_defaults(_dirty(t), {"status": "open", "priority": "none"})
 
 
 @query(

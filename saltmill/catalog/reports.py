@@ -170,7 +170,7 @@ def r_film_list_nice(t: Tables) -> DataFrame:
       p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE {_OPEN}) AS in_stock FROM part""",
 )
 def r_in_stock(t: Tables) -> DataFrame:
-    return rental.in_stock(t.star.inventory(), t.star.returns()).select("inventory_id", "in_stock")
+    return rental.in_stock(t.star.inventory(), t.star.returns(only_open=True)).select("inventory_id", "in_stock")
 
 
 def _store_sql(available: str) -> str:
@@ -180,12 +180,12 @@ def _store_sql(available: str) -> str:
 
 @query("r_film_in_stock", _store_sql("NOT IN"))
 def r_film_in_stock(t: Tables) -> DataFrame:
-    return rental.film_in_stock(t.star.store_inventory(), t.star.returns(), store_id=1)
+    return rental.film_in_stock(t.star.store_inventory(), t.star.returns(only_open=True), store_id=1)
 
 
 @query("r_film_not_in_stock", _store_sql("IN"))
 def r_film_not_in_stock(t: Tables) -> DataFrame:
-    return rental.film_in_stock(t.star.store_inventory(), t.star.returns(), store_id=1, available=False)
+    return rental.film_in_stock(t.star.store_inventory(), t.star.returns(only_open=True), store_id=1, available=False)
 
 
 @query(

@@ -39,10 +39,10 @@ _BROKEN = "event_type = 'error'"
     UNION ALL SELECT 'rejected', NULL, count(*) FROM events WHERE {_BROKEN}""",
 )
 def stream_ingest(t: Tables) -> DataFrame:
-    """JSON texts of the events, those of errors cut short: they go to the rejects."""
+    """JSON texts of the events, those of errors with a brace too many: they go to the rejects."""
     events = ingest.table_stream(t.spark, t.sf_dir, "events")
-    cut = F.expr("substring(props, 1, length(props) - 1)")
-    texts = events.select(F.when(F.expr(_BROKEN), cut).otherwise(F.col("props")).alias("value"))
+    broken = F.concat(F.lit("{"), "props")
+    texts = events.select(F.when(F.expr(_BROKEN), broken).otherwise(F.col("props")).alias("value"))
     out = t.scratch("ingest")
     schema = T.StructType([T.StructField("k", T.IntegerType())])
     ingest.ingest_stream(texts, schema, out, t.scratch("ingest-state")).awaitTermination()
@@ -125,28 +125,37 @@ def stream_upsert(t: Tables) -> DataFrame:
 
 @query(
     "upsert_touch",
-    """WITH stored AS (SELECT user_id, arg_max(value, event_id) AS value FROM events
-        WHERE event_type = 'click' AND user_id % 2 = 0 GROUP BY user_id),
-    news AS (SELECT user_id, arg_max(value, event_id) AS value, count(*) AS n FROM events
-        WHERE event_type = 'view' GROUP BY user_id)
-    SELECT coalesce(s.user_id, w.user_id) AS user_id, coalesce(w.value, s.value) AS value,
-      CASE WHEN w.user_id IS NULL THEN '2020-01-01' WHEN s.user_id IS NOT NULL OR w.n > 1 THEN '2030-01-01'
+    """WITH stored AS (SELECT 'c' || c_custkey AS id, c_acctbal AS value FROM customer),
+    news AS (
+      SELECT 'c' || o_custkey AS id, arg_max(o_totalprice, o_orderkey) AS value, count(*) AS n
+      FROM orders WHERE o_orderstatus = 'F' GROUP BY 1
+      UNION ALL SELECT 's' || s_suppkey, s_acctbal, 1 FROM supplier)
+    SELECT coalesce(s.id, w.id) AS id, coalesce(w.value, s.value) AS value,
+      CASE WHEN w.id IS NULL THEN '2020-01-01' WHEN s.id IS NOT NULL OR w.n > 1 THEN '2030-01-01'
         ELSE '2025-01-01' END AS last_update
-    FROM stored s FULL JOIN news w ON s.user_id = w.user_id""",
+    FROM stored s FULL JOIN news w ON s.id = w.id""",
 )
 def upsert_touch(t: Tables) -> DataFrame:
-    """Even users stored by clicks, all users updated by views."""
-    events = t("events")
+    """Customers are stored; filled orders update them and suppliers come as new keys."""
 
-    def rows(kind: str, day: str) -> DataFrame:
-        return events.where(F.col("event_type") == kind).select(
-            "user_id", "value", F.lit(day).cast("date").alias("last_update"), F.col("event_id").alias("seq")
-        )
+    def day(text: str) -> Column:
+        return F.lit(text).cast("date").alias("last_update")
 
-    clicks = rows("click", "2020-01-01").where("user_id % 2 = 0")
-    stored = upsert.latest(clicks, ["user_id"], "seq").drop("seq")
-    as_of = F.lit("2030-01-01").cast("date")
-    merged = upsert.merge_touch(
-        stored, rows("view", "2025-01-01"), ["user_id"], "seq", "last_update", as_of
+    stored = t("customer").select(
+        F.concat(F.lit("c"), "c_custkey").alias("id"), F.col("c_acctbal").alias("value"), day("2020-01-01")
+    )
+    orders = t("orders").where("o_orderstatus = 'F'").select(
+        F.concat(F.lit("c"), "o_custkey").alias("id"),
+        F.col("o_totalprice").alias("value"),
+        day("2025-01-01"),
+        F.col("o_orderkey").alias("seq"),
     )
+    suppliers = t("supplier").select(
+        F.concat(F.lit("s"), "s_suppkey").alias("id"),
+        F.col("s_acctbal").alias("value"),
+        day("2025-01-01"),
+        F.col("s_suppkey").alias("seq"),
+    )
+    as_of = F.lit("2030-01-01").cast("date")
+    merged = upsert.merge_touch(stored, orders.unionAll(suppliers), ["id"], "seq", "last_update", as_of)
     return merged.withColumn("last_update", F.col("last_update").cast("string"))

@@ -42,8 +42,8 @@ def merge_group() -> Column:
     return F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
 
 
-def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Hashes of the keys holding at least ``share`` of the rows (at most 1 / share rows).
+def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list[int]:
+    """Hashes of the keys holding at least ``share`` of the rows (about 1 / share at most).
 
     One pass over the key columns with a mergeable sketch: no shuffle by key.
     A key missed or added by the sketch changes the balance, never the result.
@@ -57,15 +57,15 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFr
             F.count(F.lit(1)).alias("n"),
         )
     )
-    # At most MERGE_GROUPS * limit items meet here.
+    # At most MERGE_GROUPS * limit items meet here, and limit of them reach the driver.
     together = per_group.agg(F.flatten(F.collect_list("top")).alias("top"), F.sum("n").alias("n"))
-    return (
+    found = (
         together.select(F.explode("top").alias("t"), "n")
-        .groupBy(F.col("t.item").alias("_h"), "n")
+        .groupBy(F.col("t.item").alias("h"), "n")
         .agg(F.sum("t.count").alias("c"))
         .where(F.col("c") >= F.col("n") * share)
-        .select("_h", F.lit(True).alias("_hot"))
     )
+    return [r["h"] for r in found.orderBy(F.desc("c"), "h").limit(limit).collect()]
 
 
 def hot_join(
@@ -80,11 +80,12 @@ def hot_join(
 
     Left rows of a hot key get a salt from a hash of the whole row and of the task
     they come from, so equal rows are spread too and a retry gives the same salt;
-    the matching right rows are repeated once per salt. All other rows are joined
-    as usual. ``right`` should have few rows per key (a dimension, or an aggregate).
+    the matching right rows are repeated once per salt. Without a hot key this is a
+    plain join. ``right`` should have few rows per key (a dimension, or an aggregate).
 
-    Hot keys are looked for in ``hot_from``, by default ``left``. If ``left`` is
-    itself the result of a join, pass the table its keys were scanned from.
+    Hot keys are looked for, by a job of its own, in ``hot_from``, by default
+    ``left``. If ``left`` is itself the result of a join, pass the table its keys
+    were scanned from.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"hot_join cannot do a {how} join")
@@ -95,20 +96,16 @@ def hot_join(
             raise TypeError(f"join key {k}: {a.simpleString()} against {b.simpleString()}")
     if how in ("left_semi", "left_anti"):
         right = right.select(*keys).distinct()
+    hot = hot_keys(left if hot_from is None else hot_from, keys)
+    if not hot:
+        return left.join(right, keys, how)
     salts = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = F.broadcast(hot_keys(left if hot_from is None else hot_from, keys))
-
-    def tagged(df: DataFrame) -> DataFrame:
-        return df.withColumn("_h", F.xxhash64(*keys)).join(hot, "_h", "left")
-
+    is_hot = F.xxhash64(*keys).isin(hot)
     row_salt = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
-    salted_left = tagged(left).select(
-        *left.columns, F.when(F.col("_hot"), row_salt).otherwise(F.lit(0)).alias("_salt")
-    )
     all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_right = tagged(right).select(
-        *right.columns,
-        F.explode(F.when(F.col("_hot"), all_salts).otherwise(F.array(F.lit(0)))).alias("_salt"),
+    salted_left = left.withColumn("_salt", F.when(is_hot, row_salt).otherwise(F.lit(0)))
+    salted_right = right.withColumn(
+        "_salt", F.explode(F.when(is_hot, all_salts).otherwise(F.array(F.lit(0))))
     )
     return salted_left.join(salted_right, keys + ["_salt"], how).drop("_salt")
 

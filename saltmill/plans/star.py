@@ -61,11 +61,11 @@ class Star:
         )
 
     def film_actor(self) -> DataFrame:
-        return (
-            self.raw("lineitem")
-            .select(F.col("l_suppkey").alias("actor_id"), F.col("l_partkey").alias("film_id"))
-            .distinct()
+        """Distinct (supplier, part), written once: the reports read it more than once."""
+        pairs = self.raw("lineitem").select(
+            F.col("l_suppkey").alias("actor_id"), F.col("l_partkey").alias("film_id")
         )
+        return materialize(pairs.distinct(), "film-actor")
 
     def film_rentals(self) -> DataFrame:
         return (
@@ -108,9 +108,12 @@ class Star:
             .distinct()
         )
 
-    def returns(self) -> DataFrame:
+    def returns(self, only_open: bool = False) -> DataFrame:
         """Rentals without customer and start."""
-        return self.raw("lineitem").select(F.col("l_partkey").alias("inventory_id"), _returned())
+        lines = self.raw("lineitem")
+        if only_open:
+            lines = lines.where(_open())
+        return lines.select(F.col("l_partkey").alias("inventory_id"), _returned())
 
     def rental(self, only_open: bool = False) -> DataFrame:
         lines = self.raw("lineitem")

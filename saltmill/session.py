@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,13 +69,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once per session; needed by Python data sources."""
-    if spark.conf.get("spark.saltmill.shipped", "") == spark.sparkContext.applicationId:
-        return
-    here = Path(__file__).resolve().parent
-    out = Path(tempfile.mkdtemp(prefix="saltmill-zip-")) / "saltmill"
-    spark.sparkContext.addPyFile(shutil.make_archive(str(out), "zip", here.parent, here.name))
-    spark.conf.set("spark.saltmill.shipped", spark.sparkContext.applicationId)

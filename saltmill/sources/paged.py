@@ -2,22 +2,28 @@
 
 A feed is a function ``fetch(root, date, page)`` that returns the records of one
 page, or None or an empty list past the last page. Pages count from 1.
+
+The source class travels to the workers by value, so they need not have this
+package installed.
 """
 
 from __future__ import annotations
 
-import importlib
 import json
+import sys
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from ..session import ship
+
+Fetch = Callable[[str, str, int], "list[dict] | None"]
+
+register_pickle_by_value(sys.modules[__name__])
 
 
 class PageError(RuntimeError):
@@ -32,12 +38,12 @@ class PagePartition(InputPartition):
 
 
 class PagedReader(DataSourceReader):
-    def __init__(self, schema: T.StructType, options: dict[str, str]):
+    def __init__(self, fetch: Fetch, schema: T.StructType, options: dict[str, str]):
+        self.fetch = fetch
         self.columns = to_arrow_schema(schema)
         self.dates = [d for d in options["dates"].split(",") if d]
         self.lanes = int(options.get("lanes", "1"))
         self.tasks = int(options.get("tasks", "0"))
-        self.fetcher = options["fetcher"]
         self.root = options.get("root", "")
         self.stop_on_error = options.get("on_error", "raise") == "stop"
 
@@ -47,37 +53,38 @@ class PagedReader(DataSourceReader):
         return [PagePartition(starts[i::tasks]) for i in range(tasks)]
 
     def read(self, partition: PagePartition) -> Iterator[pa.RecordBatch]:
-        module, _, name = self.fetcher.partition(":")
-        fetch = getattr(importlib.import_module(module), name)
         for date, page in partition.starts:
-            while records := self._page(fetch, date, page):
+            while records := self._page(date, page):
                 yield pa.RecordBatch.from_pylist(records, schema=self.columns)
                 page += self.lanes
 
-    def _page(self, fetch: Callable, date: str, page: int) -> list[dict] | None:
+    def _page(self, date: str, page: int) -> list[dict] | None:
         try:
-            return fetch(self.root, date, page)
+            return self.fetch(self.root, date, page)
         except PageError:
             if self.stop_on_error:
                 return None
             raise
 
 
-class PagedSource(DataSource):
-    @classmethod
-    def name(cls) -> str:
-        return "paged"
+def _source(fetch: Fetch) -> type[DataSource]:
+    class PagedSource(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return "paged"
+
+        def schema(self) -> T.StructType:
+            raise NotImplementedError("a paged feed is read with a declared schema")
 
-    def schema(self) -> str:
-        return self.options["fields"]
+        def reader(self, schema: T.StructType) -> DataSourceReader:
+            return PagedReader(fetch, schema, dict(self.options))
 
-    def reader(self, schema: T.StructType) -> DataSourceReader:
-        return PagedReader(schema, dict(self.options))
+    return PagedSource
 
 
 def read_paged(
     spark: SparkSession,
-    fetcher: str,
+    fetch: Fetch,
     dates: list[str],
     schema: str,
     root: str = "",
@@ -94,12 +101,10 @@ def read_paged(
     """
     if on_error == "stop" and lanes > 1:
         raise ValueError("the pages before an error are only known with a single lane")
-    ship(spark)
-    spark.dataSource.register(PagedSource)
+    spark.dataSource.register(_source(fetch))
     return (
         spark.read.format("paged")
         .schema(schema)
-        .option("fetcher", fetcher)
         .option("dates", ",".join(dates))
         .option("lanes", str(lanes))
         .option("tasks", str(tasks))
@@ -109,24 +114,25 @@ def read_paged(
     )
 
 
-@lru_cache(maxsize=64)
-def _page_files(root: str, date: str) -> tuple[str, ...]:
-    store, base = fs.FileSystem.from_uri(root)
-    try:
-        found = store.get_file_info(fs.FileSelector(f"{base.rstrip('/')}/date={date}"))
-    except FileNotFoundError:
-        return ()
-    return tuple(sorted(f.path for f in found if f.base_name.endswith(".json")))
-
-
-def folder_page(root: str, date: str, page: int) -> list[dict] | None:
-    """Page n is the n-th JSON-lines file of ``root/date=.../`` on a shared store."""
-    files = _page_files(root, date)
-    if page > len(files):
-        return None
-    store, _ = fs.FileSystem.from_uri(root)
-    try:
-        with store.open_input_stream(files[page - 1]) as f:
-            return [json.loads(line) for line in f.read().splitlines() if line]
-    except OSError as e:
-        raise PageError(str(e)) from e
+class FolderPages:
+    """Feed kept as JSON-lines files: page n is the n-th file of ``root/date=.../``."""
+
+    def __init__(self) -> None:
+        self.files: dict[str, list[str]] = {}
+
+    def _list(self, store: fs.FileSystem, folder: str) -> list[str]:
+        if folder not in self.files:
+            found = store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
+            self.files[folder] = sorted(f.path for f in found if f.base_name.endswith(".json"))
+        return self.files[folder]
+
+    def __call__(self, root: str, date: str, page: int) -> list[dict] | None:
+        store, base = fs.FileSystem.from_uri(root)
+        files = self._list(store, f"{base.rstrip('/')}/date={date}")
+        if page > len(files):
+            return None
+        try:
+            with store.open_input_stream(files[page - 1]) as f:
+                return [json.loads(line) for line in f.read().splitlines() if line]
+        except OSError as e:
+            raise PageError(str(e)) from e

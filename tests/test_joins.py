@@ -22,9 +22,22 @@ def dim(spark):
 
 
 def test_hot_keys_finds_the_hot_key(skewed):
-    hot = joins.hot_keys(skewed, ["k"], share=0.1)
     want = skewed.where("k = 1").select(F.xxhash64("k")).first()[0]
-    assert [r["_h"] for r in hot.collect()] == [want]
+    assert joins.hot_keys(skewed.repartition(9), ["k"], share=0.1) == [want]
+
+
+def test_hot_keys_are_bounded(spark):
+    even = spark.range(1000).withColumn("k", F.col("id") % 10)
+    assert len(joins.hot_keys(even, ["k"], share=0.1)) == 10
+    assert joins.hot_keys(even, ["k"], share=0.2) == []
+    assert joins.hot_keys(even.where("id < 0"), ["k"]) == []
+
+
+def test_hot_join_without_hot_key_is_a_plain_join(spark):
+    even = spark.range(5000).withColumn("k", F.col("id"))
+    out = joins.hot_join(even, spark.range(10).withColumnRenamed("id", "k"), "k")
+    assert "_salt" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 10
 
 
 def test_hot_join_with_empty_partitions_and_sides(spark, conf, skewed, dim):

@@ -7,13 +7,18 @@ import json
 import os
 from decimal import Decimal
 
+import feeds
 import pytest
-from conftest import ROOT, rows
+from conftest import rows
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import functions as F, types as T
 
 from saltmill.schemas import sales_schema
 from saltmill.sources import files, paged, paths, sinks
 
+# The workers have no copy of the test folder.
+register_pickle_by_value(feeds)
+
 SALE = {"client": "A", "purchase_date": "2022-08-09", "product": "tv", "price": 10}
 
 
@@ -187,10 +192,9 @@ def _rec(i: int) -> dict:
     return {"id": i, "product": "p", "amount": i * 10}
 
 
-def _feed(spark, fetcher: str, pages: dict, **options):
-    spark.sparkContext.addPyFile(str(ROOT / "tests" / "feeds.py"))
+def _feed(spark, fetcher, pages: dict, **options):
     return paged.read_paged(
-        spark, f"feeds:{fetcher}", list(pages), "id INT, product STRING, amount INT", root=json.dumps(pages), **options
+        spark, fetcher, list(pages), "id INT, product STRING, amount INT", root=json.dumps(pages), **options
     )
 
 
@@ -198,26 +202,26 @@ def _feed(spark, fetcher: str, pages: dict, **options):
 @pytest.mark.parametrize("tasks", [0, 1, 3])
 def test_pages_are_all_read(spark, lanes, tasks):
     pages = {"2022-08-09": [[_rec(1), _rec(2)], [_rec(3)], [_rec(4)]], "2022-08-10": [[_rec(5)]], "2022-08-11": []}
-    got = _feed(spark, "memory", pages, lanes=lanes, tasks=tasks)
+    got = _feed(spark, feeds.memory, pages, lanes=lanes, tasks=tasks)
     assert rows(got) == [(i, "p", i * 10) for i in range(1, 6)]
 
 
 def test_empty_list_ends_a_date(spark):
-    assert _feed(spark, "empty_list_at_end", {"2022-08-09": [[_rec(1)]]}).count() == 1
-    assert _feed(spark, "empty_list_at_end", {"2022-08-09": [[_rec(1)], [], [_rec(2)]]}).count() == 1
+    assert _feed(spark, feeds.empty_list_at_end, {"2022-08-09": [[_rec(1)]]}).count() == 1
+    assert _feed(spark, feeds.empty_list_at_end, {"2022-08-09": [[_rec(1)], [], [_rec(2)]]}).count() == 1
 
 
 def test_no_dates(spark):
-    assert _feed(spark, "memory", {}).count() == 0
+    assert _feed(spark, feeds.memory, {}).count() == 0
 
 
 def test_page_error_fails_or_stops(spark):
     pages = {"2022-08-09": [[_rec(1)], [_rec(2)]]}
     with pytest.raises(Exception, match="status 500"):
-        _feed(spark, "broken_second_page", pages).collect()
-    assert rows(_feed(spark, "broken_second_page", pages, on_error="stop")) == [(1, "p", 10)]
+        _feed(spark, feeds.broken_second_page, pages).collect()
+    assert rows(_feed(spark, feeds.broken_second_page, pages, on_error="stop")) == [(1, "p", 10)]
     with pytest.raises(ValueError):
-        _feed(spark, "broken_second_page", pages, on_error="stop", lanes=2)
+        _feed(spark, feeds.broken_second_page, pages, on_error="stop", lanes=2)
 
 
 # ---- monthly store ---------------------------------------------------------
