@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..schemas import SALES_DDL, sales_schema
-from ..sources import files, paged, sinks
+from ..sources import files, paged, paths, sinks
 from .registry import Tables, query
 
 _CUSTOMER = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
@@ -170,13 +170,12 @@ def paged_source(t: Tables) -> DataFrame:
         for m in range(1, 13)
         if (span.a.year, span.a.month) <= (y, m) <= (span.b.year, span.b.month)
     ]
-    uri = root if "://" in root else f"file://{root}"
     return paged.read_paged(
         t.spark,
         paged.FolderPages(),
         months,
         "o_orderkey BIGINT, month STRING, o_totalprice DOUBLE",
-        root=uri,
+        root=paths.qualified(t.spark, root),
         lanes=4,
         tasks=4 * t.spark.sparkContext.defaultParallelism,
     )

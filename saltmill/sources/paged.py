@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import sys
 from collections.abc import Callable, Iterator
+from urllib.parse import urlparse
 
 import pyarrow as pa
 from pyarrow import fs
@@ -127,7 +128,11 @@ class FolderPages:
         return self.files[folder]
 
     def __call__(self, root: str, date: str, page: int) -> list[dict] | None:
-        store, base = fs.FileSystem.from_uri(root)
+        url = urlparse(root)
+        if url.scheme in ("", "file"):
+            store, base = fs.LocalFileSystem(), url.path
+        else:
+            store, base = fs.FileSystem.from_uri(root)
         files = self._list(store, f"{base.rstrip('/')}/date={date}")
         if page > len(files):
             return None

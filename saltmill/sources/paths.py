@@ -13,6 +13,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and host of its file system."""
+    fs, p = _fs(spark, path)
+    return fs.makeQualified(p).toString()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p = _fs(spark, path)
     return fs.exists(p)
