@@ -95,6 +95,9 @@ FOREIGN_KEYS = [
     ("store", "address_id", "address", "address_id"),
 ]
 
+# Fixed-width text columns.
+PADDED = {"language": ["name"]}
+
 RATINGS = ["G", "PG", "PG-13", "R", "NC-17"]
 YEARS = (1901, 2155)
 PAYMENT_MONTHS = ("2022-01", "2022-07")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from ..schemas import PADDED, rental_schema
 
 
 def read_csv(
@@ -38,6 +40,37 @@ def read_csv_typed(
     return rows, raw.where(bad)
 
 
+def read_rental_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """CSV dump of a rental table in its declared types.
+
+    Blank-padded names are trimmed; bytes are written as 0x...; lists as {a,"b c"};
+    search tokens as 'token':position pairs.
+    """
+    schema = rental_schema(table)
+    as_text = (T.ArrayType, T.BinaryType)
+    read_as = T.StructType(
+        [
+            T.StructField(f.name, T.StringType() if isinstance(f.dataType, as_text) else f.dataType)
+            for f in schema
+        ]
+    )
+
+    def typed(f: T.StructField) -> Column:
+        c = F.col(f.name)
+        if f.name == "fulltext":
+            c = F.regexp_extract_all(c, F.lit("'([^']+)'"), F.lit(1))
+        elif isinstance(f.dataType, T.ArrayType):
+            c = F.split(F.regexp_replace(c, r'^\{|\}$|"', ""), ",")
+        elif isinstance(f.dataType, T.BinaryType):
+            c = F.unhex(F.substring(c, 3, 2147483647))
+        elif f.name in PADDED.get(table, []):
+            c = F.rtrim(c)
+        return c.alias(f.name)
+
+    # Lists and search tokens hold doubled quotes.
+    return read_csv(spark, path, read_as, escape='"').select(*[typed(f) for f in schema])
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Multi-line JSON; a top-level array gives one row per element."""
     reader = spark.read.schema(schema) if schema is not None else spark.read

@@ -8,11 +8,15 @@ from pyspark.sql.streaming import StreamingQuery
 CORRUPT = "_corrupt"
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A parquet table, one file or a folder of files, as a file stream."""
+def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int = 1000) -> DataFrame:
+    """A parquet table, one file or a folder of files, as a file stream in bounded batches."""
     schema = spark.read.parquet(f"{sf_dir}/{name}.parquet").schema
     # As a glob the path may name a single file too.
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+    return (
+        spark.readStream.schema(schema)
+        .option("maxFilesPerTrigger", max_files)
+        .parquet(f"{sf_dir}/{name}.parque[t]")
+    )
 
 
 def text_pairs(stream: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import datetime as dt
 import json
 import os
 from decimal import Decimal
+from types import SimpleNamespace
 
 import feeds
 import pytest
@@ -13,6 +14,7 @@ from conftest import rows
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import functions as F, types as T
 
+from saltmill import schemas
 from saltmill.schemas import sales_schema
 from saltmill.sources import files, paged, paths, sinks
 
@@ -64,6 +66,35 @@ def test_csv_quoted_comma_and_inference(spark, base):
     assert df.first()["movie"] == "Lost, Found"
 
 
+def test_rental_dumps_in_declared_types(spark, base):
+    at = "2022-02-15 10:02:19.000000 +00:00"
+    _write(f"{base}/language.csv", f"language_id,name,last_update\n1,English             ,{at}\n")
+    language = files.read_rental_csv(spark, f"{base}/language.csv", "language").first()
+    assert tuple(language) == (1, "English", dt.datetime(2022, 2, 15, 10, 2, 19))
+    head = "staff_id,first_name,last_name,address_id,email,store_id,active,username,password,last_update,picture"
+    _write(f"{base}/staff.csv", f"{head}\n1,A,B,3,,1,true,a,,{at},0x8950\n2,C,D,4,,2,false,c,,{at},\n")
+    staff = files.read_rental_csv(spark, f"{base}/staff.csv", "staff").orderBy("staff_id").collect()
+    assert [(r["active"], r["email"], r["picture"]) for r in staff] == [
+        (True, None, bytearray(b"\x89P")), (False, None, None)
+    ]
+    head = ",".join(schemas.rental_schema("film").fieldNames())
+    row = f'1,T,D,2006,1,,6,0.99,86,20.99,PG,{at},"{{Trailers,""Deleted Scenes""}}","\'cat\':1 \'dog\':2,4"'
+    _write(f"{base}/film.csv", f"{head}\n{row}\n")
+    film = files.read_rental_csv(spark, f"{base}/film.csv", "film").first()
+    assert film["special_features"] == ["Trailers", "Deleted Scenes"] and film["fulltext"] == ["cat", "dog"]
+    assert film["rental_rate"] == Decimal("0.99") and film["original_language_id"] is None
+
+
+def test_jdbc_passes_the_strides_on():
+    calls = {}
+    fake = SimpleNamespace(read=SimpleNamespace(jdbc=lambda **kw: calls.update(kw)))
+    files.read_jdbc(fake, "jdbc:x", "t", "id", 1, 100_000, 10, {"user": "u"})
+    assert calls == {
+        "url": "jdbc:x", "table": "t", "column": "id", "lowerBound": 1, "upperBound": 100_000,
+        "numPartitions": 10, "properties": {"user": "u"},
+    }
+
+
 def test_nested_json_files(spark, base):
     for i, city in ((1, "Kyiv"), (2, "Lviv")):
         _write(f"{base}/{i}.json", [{"id": i, "name": "n", "details": {"age": 3, "address": {"city": city, "state": "s"}}}])
