@@ -128,8 +128,7 @@ def small_join(
 def unmatched(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
     """Left rows without a right row; rows with a NULL key have none.
 
-    The right side is cut to its distinct keys first, so a hot right key is
-    combined before the shuffle.
+    The right side is cut to its distinct keys, so its copies are combined before
+    the shuffle; a hot left key, or very many NULL keys, are salted.
     """
-    keys = _names(on)
-    return left.join(right.select(*keys).distinct(), keys, "left_anti")
+    return hot_join(left, right, on, "left_anti")

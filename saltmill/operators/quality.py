@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .joins import small_join, unmatched
+from .joins import small_join
 
 
 def _report(df: DataFrame, table: str, rule: str, key: Column, n: Column) -> DataFrame:
@@ -44,7 +44,8 @@ def check_fk(
     used = child.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("_k")).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    found = unmatched(used, parent.select(F.col(parent_col).alias("_k")), "_k")
+    known = parent.select(F.col(parent_col).alias("_k")).distinct()
+    found = used.join(known, "_k", "left_anti")
     return _report(found, table, f"foreign_key({col})", F.col("_k"), F.col("_n"))
 
 

@@ -42,8 +42,12 @@ def replace_dir(df: DataFrame, target: str, fmt: str, **options: str) -> None:
     """Write beside the target and swap; the old target goes only once the new one is in place."""
     spark, run = df.sparkSession, uuid.uuid4().hex
     fresh, before = f"{target}__new-{run}", f"{target}__old-{run}"
-    df.write.format(fmt).options(**options).mode("error").save(fresh)
     fs, new = _fs(spark, fresh)
+    try:
+        df.write.format(fmt).options(**options).mode("error").save(fresh)
+    except Exception:
+        fs.delete(new, True)
+        raise
     _, old = _fs(spark, target)
     _, kept = _fs(spark, before)
     replaced = fs.exists(old)

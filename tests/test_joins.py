@@ -100,3 +100,15 @@ def test_small_join_same_result_either_way(skewed, dim, max_rows):
 def test_unmatched_keeps_null_keys(skewed, dim):
     want = skewed.join(dim.withColumnRenamed("k", "d"), F.col("k") == F.col("d"), "left").where("d IS NULL")
     assert rows(joins.unmatched(skewed, dim, "k")) == rows(want.select("k", "v"))
+
+
+def test_many_null_keys_are_spread(spark, conf):
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    left = spark.range(0, 4000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"), F.col("id").alias("v")
+    )
+    out = joins.unmatched(left, spark.range(10).withColumnRenamed("id", "k"), "k")
+    per_task = out.where("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 2000
+    assert len(per_task) >= 4

@@ -15,7 +15,7 @@ from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import functions as F, types as T
 
 from saltmill import schemas
-from saltmill.schemas import sales_schema
+from saltmill.schemas import SALES_DDL, sales_schema
 from saltmill.sources import files, paged, paths, sinks
 
 # The workers have no copy of the test folder.
@@ -194,6 +194,7 @@ def test_stage_failure_keeps_the_old_target(spark, base):
     with pytest.raises(Exception, match="required field"):
         _stage(spark, base)
     assert spark.read.parquet(target).count() == 1
+    assert os.listdir(f"{base}/stg") == ["s"]
 
 
 def test_land_then_stage(spark, base):
@@ -237,6 +238,15 @@ def test_pages_are_all_read(spark, lanes, tasks):
     assert rows(got) == [(i, "p", i * 10) for i in range(1, 6)]
 
 
+def test_feed_to_raw_to_staged(spark, base):
+    day = "2022-08-09"
+    pages = {day: [[{**SALE, "price": 1}, {**SALE, "price": 2}], [{**SALE, "client": "Ї", "price": 3}]]}
+    sales = paged.read_paged(spark, feeds.memory, [day], SALES_DDL.replace(" NOT NULL", ""), root=json.dumps(pages))
+    sinks.land(sales, base, f"raw/sales/{day}")
+    staged = sinks.stage(spark, base, f"raw/sales/{day}", f"stg/sales/{day}", sales_schema())
+    assert rows(spark.read.parquet(staged).select("client", "price")) == [("A", 1), ("A", 2), ("Ї", 3)]
+
+
 def test_empty_list_ends_a_date(spark):
     assert _feed(spark, feeds.empty_list_at_end, {"2022-08-09": [[_rec(1)]]}).count() == 1
     assert _feed(spark, feeds.empty_list_at_end, {"2022-08-09": [[_rec(1)], [], [_rec(2)]]}).count() == 1
