@@ -179,6 +179,18 @@ def describe_cols(t: Tables) -> DataFrame:
     return stats.profile(t("lineitem"), _DESCRIBED).withColumn("value", F.round("value", 6))
 
 
+@query(
+    "describe_text",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", '{s}' AS stat, CAST({s}({c}) AS VARCHAR) AS value FROM customer"
+        for c in ("c_name", "c_mktsegment", "c_nationkey")
+        for s in ("count", "min", "max")
+    ),
+)
+def describe_text(t: Tables) -> DataFrame:
+    return stats.profile_text(t("customer"), ["c_name", "c_mktsegment", "c_nationkey"])
+
+
 @query("summary_cols")
 def summary_cols(t: Tables) -> DataFrame:
     return stats.profile(t("lineitem"), _DESCRIBED, [0.25, 0.5, 0.75])

@@ -114,7 +114,7 @@ def stream_upsert(t: Tables) -> DataFrame:
     root = t.scratch("upsert")
     stream = _payload(ingest.table_stream(t.spark, t.sf_dir, "events"))
     upsert.log_changes(stream, root, t.scratch("upsert-state")).awaitTermination()
-    schema = T.StructType([*payload_schema().fields, T.StructField("seq", T.LongType())])
+    schema = payload_schema()
     upsert.compact(t.spark, root, schema, "driver", [RIDE_KEYS["driver"]], "seq")
     out = []
     for part in ("driver", "user"):

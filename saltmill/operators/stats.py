@@ -54,6 +54,12 @@ def _sketches(df: DataFrame, cols: list[str]) -> DataFrame:
     return per_group.agg(*[F.kll_merge_agg_double(c, F.lit(SKETCH_SIZE)).alias(c) for c in cols])
 
 
+def profile_text(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column, stat, value) for count, min and max of columns of any type, as text."""
+    stats = {"count": F.count, "min": F.min, "max": F.max}
+    return _stats_row(df, cols, {s: lambda c, f=f: f(c).cast("string") for s, f in stats.items()})
+
+
 def _quantile(sketch: Column, prob: float) -> Column:
     """Value at a rank share; NULL if the sketch saw no value."""
     filled = F.kll_sketch_get_n_double(sketch) > 0

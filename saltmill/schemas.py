@@ -118,9 +118,9 @@ def sales_schema() -> T.StructType:
 
 
 def payload_schema() -> T.StructType:
-    return T.StructType(
-        [T.StructField(part, T.StructType.fromDDL(ddl)) for part, ddl in RIDE_DDL.items()]
-    )
+    """Ride, driver and user, all required, and the arrival number."""
+    parts = [T.StructField(p, T.StructType.fromDDL(ddl), False) for p, ddl in RIDE_DDL.items()]
+    return T.StructType([*parts, T.StructField("seq", T.LongType(), False)])
 
 
 def typed_defaults(table: str) -> dict:

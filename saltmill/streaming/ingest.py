@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sources.paths import children
+
 CORRUPT = "_corrupt"
 
 
@@ -25,35 +27,38 @@ def text_pairs(stream: DataFrame) -> DataFrame:
 
 
 def parse_values(df: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """JSON text to columns; text that does not parse is kept in ``_corrupt``."""
-    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    """JSON text to columns; text that is of no use is kept in ``_corrupt``.
+
+    That is text that does not parse, lacks a field declared not nullable, or has
+    none of the fields.
+    """
+    fields = [T.StructField(f.name, f.dataType) for f in schema]
+    full = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
     opts = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     parsed = df.withColumn("_p", F.from_json(value, full, opts))
     bad = F.col("_p").isNull() | F.col(f"_p.{CORRUPT}").isNotNull()
-    # An object without any known field is as useless as a broken one.
     empty = F.lit(True)
-    for f in schema.fieldNames():
-        empty = empty & F.col(f"_p.{f}").isNull()
+    for f in schema:
+        missing = F.col(f"_p.{f.name}").isNull()
+        empty = empty & missing
+        if not f.nullable:
+            bad = bad | missing
     return parsed.select(
         *[F.col(f"_p.{f}").alias(f) for f in schema.fieldNames()],
         F.when(bad | empty, F.coalesce(F.col(value), F.lit(""))).alias(CORRUPT),
     )
 
 
-def ingest_stream(
-    stream: DataFrame,
-    schema: T.StructType,
-    out_dir: str,
-    checkpoint: str,
-    every: str | None = None,
+def write_batches(
+    parsed: DataFrame, out_dir: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
-    """Parse JSON texts and write good rows and rejects of each batch in one pass.
+    """Write rows and rejects of each batch in one pass.
 
     Each batch has its own folder, written with overwrite, so a batch that runs
     again leaves no copies. ``every`` is the poll interval ("5 seconds"); without
     it the query handles what is there and stops.
     """
-    parsed = parse_values(stream, schema).withColumn("rejected", F.col(CORRUPT).isNotNull())
+    marked = parsed.withColumn("rejected", F.col(CORRUPT).isNotNull())
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (
@@ -63,21 +68,29 @@ def ingest_stream(
             .parquet(f"{out_dir}/batch_id={batch_id}")
         )
 
-    writer = parsed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    writer = marked.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start()
 
 
+def read_batches(spark: SparkSession, out_dir: str, schema: T.StructType) -> DataFrame:
+    """All written batches with ``batch_id``, ``rejected`` and ``_corrupt``."""
+    extra = [(CORRUPT, T.StringType()), ("batch_id", T.LongType()), ("rejected", T.BooleanType())]
+    full = T.StructType([*schema.fields, *[T.StructField(n, t) for n, t in extra]])
+    if not children(spark, out_dir):
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).parquet(out_dir)
+
+
+def ingest_stream(
+    stream: DataFrame, schema: T.StructType, out_dir: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Parse JSON texts and write good rows and rejects, see ``write_batches``."""
+    return write_batches(parse_values(stream, schema), out_dir, checkpoint, every)
+
+
 def ingested(spark: SparkSession, out_dir: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """(rows, rejects) of all batches; a reject is its text as ``value``."""
-    full = T.StructType(
-        [
-            *schema.fields,
-            T.StructField(CORRUPT, T.StringType()),
-            T.StructField("batch_id", T.LongType()),
-            T.StructField("rejected", T.BooleanType()),
-        ]
-    )
-    rows = spark.read.schema(full).parquet(out_dir)
+    rows = read_batches(spark, out_dir, schema)
     good = rows.where(~F.col("rejected")).select(*schema.fieldNames())
     return good, rows.where("rejected").select(F.col(CORRUPT).alias("value"))

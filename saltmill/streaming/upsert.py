@@ -1,7 +1,7 @@
 """Keyed upserts from a stream: change log, latest view, compaction.
 
-Layout below a root folder: ``changes/batch_id=N`` holds the rows of one batch and
-is overwritten if the batch runs again; ``snapshots/upto=N`` holds one row per key
+Layout below a root folder: ``changes/batch_id=N`` holds the rows and rejects of one
+batch and is overwritten if the batch runs again; ``snapshots/upto=N`` holds one row per key
 for all batches up to N and counts once its _SUCCESS file is there.
 """
 
@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.ranking import first_per_key
 from ..sources.paths import children, exists
+from .ingest import CORRUPT, read_batches, write_batches
 
 
 def split_payload(df: DataFrame, parts: list[str], seq: str) -> dict[str, DataFrame]:
@@ -30,24 +31,23 @@ def latest(df: DataFrame, keys: list[str], seq: str) -> DataFrame:
 
 
 def log_changes(stream: DataFrame, root: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Append each batch of a stream to the change log."""
+    """Append each batch of a stream to the change log.
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/changes/batch_id={batch_id}")
-
-    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).start()
+    The stream has the nested parts and the arrival number, and, if it was parsed
+    from text, the rejects: a payload that lacks a part changes no table.
+    """
+    if CORRUPT not in stream.columns:
+        stream = stream.withColumn(CORRUPT, F.lit(None).cast("string"))
+    return write_batches(stream, f"{root}/changes", checkpoint, every)
 
 
 def changes(
     spark: SparkSession, root: str, schema: T.StructType, after: int = -1, upto: int | None = None
 ) -> DataFrame:
     """Logged rows of the batches past ``after``, up to ``upto``; other folders are not read."""
-    full = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    if not children(spark, f"{root}/changes"):
-        return spark.createDataFrame([], full)
-    rows = spark.read.schema(full).parquet(f"{root}/changes").where(F.col("batch_id") > after)
+    rows = read_batches(spark, f"{root}/changes", schema).where(
+        ~F.col("rejected") & (F.col("batch_id") > after)
+    )
     return rows if upto is None else rows.where(F.col("batch_id") <= upto)
 
 

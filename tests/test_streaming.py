@@ -15,7 +15,7 @@ PARTS = ["ride", "driver", "user"]
 
 
 def log_schema() -> T.StructType:
-    return T.StructType([*payload_schema().fields, T.StructField("seq", T.LongType())])
+    return payload_schema()
 
 
 def _payload(seq: int, ride: str, driver: str, user: str, price: float = 1.0) -> dict:
@@ -107,8 +107,9 @@ def test_half_written_snapshot_is_not_used(feed, spark):
 def test_half_written_batch_is_replaced(feed, spark):
     feed.poll(_payload(1, "r1", "d1", "u1"))
     part = f"{feed.base}/log/changes/batch_id=0"
-    spark.createDataFrame([_payload(1, "r1", "d1", "u1"), _payload(8, "x", "x", "x")], log_schema()).write.parquet(part)
-    os.remove(f"{part}/_SUCCESS")
+    half = spark.createDataFrame([_payload(1, "r1", "d1", "u1"), _payload(8, "x", "x", "x")], log_schema())
+    half.write.parquet(f"{part}/rejected=false")
+    os.remove(f"{part}/rejected=false/_SUCCESS")
     feed.run()
     assert feed.now("ride") == [("r1", 1.0)]
 
@@ -131,6 +132,18 @@ def test_ties_go_to_one_row_for_every_partitioning(spark):
     assert len(got) == 1
 
 
+def test_payload_without_a_part_changes_no_table(feed, spark):
+    whole, half = _payload(1, "r1", "d1", "u1"), _payload(2, "r2", "d2", "u2")
+    del half["driver"]
+    feed.poll(whole, half, {**_payload(3, "r3", "d3", "u3"), "user": None})
+    texts = spark.readStream.schema("value string").text(f"{feed.base}/in")
+    parsed = ingest.parse_values(texts, log_schema())
+    upsert.log_changes(parsed, f"{feed.base}/log", f"{feed.base}/state").awaitTermination()
+    assert feed.now("ride") == [("r1", 1.0)] and feed.now("user") == [("u1", "u1")]
+    _, rejects = ingest.ingested(spark, f"{feed.base}/log/changes", log_schema())
+    assert sorted(json.loads(r["value"])["seq"] for r in rejects.collect()) == [2, 3]
+
+
 @pytest.mark.parametrize(
     "stored, updates, want",
     [
