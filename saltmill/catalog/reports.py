@@ -254,7 +254,8 @@ def r_refresh(t: Tables) -> DataFrame:
     root = t.scratch("sales-by-category")
     report = _by_category(t)
     rental.refresh_sales(report, root, 1)
-    return rental.read_sales(t.spark, root, "category STRING, total_sales " + report.schema["total_sales"].dataType.simpleString())
+    total = report.schema["total_sales"].dataType.simpleString()
+    return rental.read_sales(t.spark, root, f"category STRING, total_sales {total}")
 
 
 @query(
@@ -272,3 +273,38 @@ def r_sales_by_store(t: Tables) -> DataFrame:
         F.col("s_suppkey").alias("manager_staff_id"),
     )
     return rental.sales_by_store(t.star.store_sales(), store, address, city, country, _staff(t))
+
+
+# ---- payments through rentals and items ------------------------------------
+
+
+def _order_chain(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Orders as rentals of an item, customers as items, their nations as films and stores."""
+    rentals = t("orders").select(
+        F.col("o_orderkey").alias("rental_id"), F.col("o_custkey").alias("inventory_id")
+    )
+    items = t("customer").select(
+        F.col("c_custkey").alias("inventory_id"),
+        F.col("c_nationkey").alias("film_id"),
+        F.col("c_nationkey").alias("store_id"),
+    )
+    return rentals, items
+
+
+@query(
+    "r_rentals_per_film",
+    """SELECT c_nationkey AS film_id, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey
+    GROUP BY c_nationkey""",
+)
+def r_rentals_per_film(t: Tables) -> DataFrame:
+    return rental.rentals_per_film(*_order_chain(t))
+
+
+@query(
+    "r_sales_by_item",
+    """SELECT c_nationkey AS store_id, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS amount
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_nationkey""",
+)
+def r_sales_by_item(t: Tables) -> DataFrame:
+    payments = t.star.payment().withColumnRenamed("payment_id", "rental_id")
+    return rental.sales_by_item(payments, *_order_chain(t), by="store_id")

@@ -34,10 +34,7 @@ def group_concat(
     counted = df.groupBy(*keys, value).agg(F.count(F.lit(1)).cast("int").alias("_n"))
     piece = F.col(value).cast("string")
     if not distinct:
-        piece = F.when(
-            piece.isNotNull(), F.array_join(F.array_repeat(piece, F.col("_n")), sep)
-        )
-    # listagg can order only by what it joins, or with its argument alongside.
+        piece = F.when(piece.isNotNull(), F.array_join(F.array_repeat(piece, F.col("_n")), sep))
     pairs = counted.withColumn("_piece", piece)
     return pairs.groupBy(*keys).agg(
         F.expr(f"listagg(_piece, '{_quoted(sep)}') WITHIN GROUP (ORDER BY `{value}`)").alias(name)

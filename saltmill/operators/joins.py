@@ -118,11 +118,15 @@ def small_join(
     max_rows: int = 200_000,
     max_bytes: int = 32 << 20,
     rows_of: DataFrame | None = None,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Broadcast ``dim`` if a check of its size allows it, else a salted shuffle join."""
+    """Broadcast ``dim`` if a check of its size allows it, else a salted shuffle join.
+
+    See ``fits`` for ``rows_of`` and ``hot_join`` for ``hot_from``.
+    """
     if fits(dim, max_rows, max_bytes, rows_of):
         return big.join(F.broadcast(dim), _names(on), how)
-    return hot_join(big, dim, on, how)
+    return hot_join(big, dim, on, how, hot_from=hot_from)
 
 
 def unmatched(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # A run of ASCII letters with no letter, digit or underscore of any script beside it.
 REAL_WORD = r"(?<![\p{L}\p{N}_])[A-Za-z]++(?![\p{L}\p{N}_])"
 TOKEN_BREAK = r"[^\p{L}\p{N}]+"
-TOKEN_BUCKETS = 64
+TOKEN_BUCKETS = 16
 
 
 def lines(df: DataFrame, text: str) -> DataFrame:
@@ -28,6 +28,7 @@ def extract_words(df: DataFrame, value: str = "value") -> DataFrame:
 
 
 def word_count(words: DataFrame) -> DataFrame:
+    """(word, count); counts are long, since a common word can pass the int range."""
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -39,7 +40,7 @@ def tokens(df: DataFrame, doc_id: str, texts: list[str], stop_words: list[str] |
     return out.where(~F.col("token").isin(*stop_words)) if stop_words else out
 
 
-def _bucket(token, buckets: int):
+def _bucket(token: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
 
 
@@ -73,22 +74,16 @@ def build_token_index(
 def search_tokens(index: DataFrame, query: list[str], buckets: int = TOKEN_BUCKETS) -> DataFrame:
     """Documents that hold every query token; reads the buckets of those tokens only."""
     wanted = sorted({q.lower() for q in query})
-    hits = index.where(
-        F.col("token").isin(*wanted)
-        & F.col("token_bucket").isin(
-            *[r[0] for r in _bucket_numbers(index, wanted, buckets)]
-        )
-    )
-    return (
-        hits.groupBy("doc_id")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") == len(wanted))
-        .select("doc_id")
-    )
-
-
-def _bucket_numbers(index: DataFrame, wanted: list[str], buckets: int):
-    """Bucket of each query token, so the partition filter holds plain numbers."""
-    spark = index.sparkSession
-    asked = spark.createDataFrame([(w,) for w in wanted], "token string")
-    return asked.select(_bucket(F.col("token"), buckets)).distinct().collect()
+    in_buckets = F.col("token_bucket").isin(_bucket_numbers(index, wanted, buckets))
+    hits = index.where(in_buckets & F.col("token").isin(wanted))
+    found = [F.bool_or(F.col("token") == w).alias(f"_{i}") for i, w in enumerate(wanted)]
+    held = hits.groupBy("doc_id").agg(*found)
+    for i in range(len(wanted)):
+        held = held.where(F.col(f"_{i}"))
+    return held.select("doc_id")
+
+
+def _bucket_numbers(index: DataFrame, wanted: list[str], buckets: int) -> list[int]:
+    """Buckets of the query tokens, so that the partition filter holds plain numbers."""
+    asked = index.sparkSession.createDataFrame([(w,) for w in wanted], "token string")
+    return [r[0] for r in asked.select(_bucket(F.col("token"), buckets)).distinct().collect()]

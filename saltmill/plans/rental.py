@@ -136,7 +136,7 @@ def actor_info(
     """``category: title, title`` pieces per actor; NULL for an actor without films."""
     films = film.select("film_id", "title").join(film_category.select("film_id", "category_id"), "film_id")
     films = small_join(films, category.select("category_id", "name"), "category_id")
-    cast = hot_join(film_actor.select("actor_id", "film_id"), films, "film_id")
+    cast = small_join(film_actor.select("actor_id", "film_id"), films, "film_id", rows_of=film_category)
     titles = group_concat(cast, ["actor_id", "category_id", "name"], "title", "titles")
     pieces = titles.select("actor_id", F.concat("name", F.lit(": "), "titles").alias("piece"))
     info = group_concat(pieces, ["actor_id"], "piece", "film_info", distinct=True)
@@ -159,7 +159,7 @@ def film_list(
         name = F.concat(capitalize("first_name"), capitalize("last_name"))
     else:
         name = F.concat("first_name", F.lit(" "), "last_name")
-    cast = hot_join(
+    cast = small_join(
         film_actor.select("film_id", "actor_id"), actor.select("actor_id", name.alias("_name")), "actor_id"
     )
     actors = group_concat(cast, ["film_id"], "_name", "actors")
