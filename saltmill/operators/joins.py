@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 # A key is hot above this share of the rows, so there are at most 1 / HOT_SHARE of them.
@@ -57,15 +59,13 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list[i
             F.count(F.lit(1)).alias("n"),
         )
     )
-    # At most MERGE_GROUPS * limit items meet here, and limit of them reach the driver.
-    together = per_group.agg(F.flatten(F.collect_list("top")).alias("top"), F.sum("n").alias("n"))
-    found = (
-        together.select(F.explode("top").alias("t"), "n")
-        .groupBy(F.col("t.item").alias("h"), "n")
-        .agg(F.sum("t.count").alias("c"))
-        .where(F.col("c") >= F.col("n") * share)
-    )
-    return [r["h"] for r in found.orderBy(F.desc("c"), "h").limit(limit).collect()]
+    # At most MERGE_GROUPS rows of at most limit counters reach the driver.
+    seen, total = Counter(), 0
+    for group in per_group.collect():
+        total += group["n"]
+        for item, n in group["top"]:
+            seen[item] += n
+    return [h for h, n in seen.most_common(limit) if n >= total * share]
 
 
 def hot_join(
