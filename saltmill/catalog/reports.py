@@ -27,7 +27,8 @@ def r_count_by_category(t: Tables) -> DataFrame:
     GROUP BY 1, 2 ORDER BY films_count DESC, actor_id LIMIT 10""",
 )
 def topk_actors(t: Tables) -> DataFrame:
-    return rental.top_actors(t.star.film_rentals(), t.star.film_actor(), t.star.actor(), 10)
+    s = t.star
+    return rental.top_actors(s.film_rentals(), s.film_actor(), s.actor(), 10, s.film_actor_lines())
 
 
 @query(
@@ -59,7 +60,7 @@ def r_unmatched(t: Tables) -> DataFrame:
 def topk_actors_in_category(t: Tables) -> DataFrame:
     s = t.star
     return rental.top_actors_in_category(
-        s.film_actor(), s.film_category(), s.category(), s.actor(), "PROMO", 3
+        s.film_actor(), s.film_category(), s.category(), s.actor(), "PROMO", 3, s.film_actor_lines()
     )
 
 
@@ -76,7 +77,9 @@ def topk_actors_in_category(t: Tables) -> DataFrame:
 )
 def r_actor_info(t: Tables) -> DataFrame:
     s = t.star
-    return rental.actor_info(s.actor(), s.film_actor(), s.film_category(), s.category(), s.film())
+    return rental.actor_info(
+        s.actor(), s.film_actor(), s.film_category(), s.category(), s.film(), s.film_actor_lines()
+    )
 
 
 def _places(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -145,7 +148,9 @@ def _film_list_sql(name: str) -> str:
 
 def _film_list(t: Tables, nice: bool) -> DataFrame:
     s = t.star
-    return rental.film_list(s.film(), s.film_category(), s.category(), s.film_actor(), s.actor(), nice)
+    return rental.film_list(
+        s.film(), s.film_category(), s.category(), s.film_actor(), s.actor(), nice, s.film_actor_lines()
+    )
 
 
 @query("r_film_list", _film_list_sql("s_name || ' ' || n_name"))

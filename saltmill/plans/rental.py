@@ -92,15 +92,22 @@ def read_sales(spark, root: str, schema: str) -> DataFrame:
 
 
 # ---- actors and films ------------------------------------------------------
+# ``hot_from`` is a cheaper table with the keys of film_actor, see ``hot_join``.
 
 
 def _named(actor: DataFrame) -> DataFrame:
     return actor.select("actor_id", pg_concat("first_name", F.lit(" "), "last_name").alias("full_name"))
 
 
-def top_actors(film_rentals: DataFrame, film_actor: DataFrame, actor: DataFrame, k: int = 10) -> DataFrame:
+def top_actors(
+    film_rentals: DataFrame,
+    film_actor: DataFrame,
+    actor: DataFrame,
+    k: int = 10,
+    hot_from: DataFrame | None = None,
+) -> DataFrame:
     """Actors whose films were rented most; homonyms are kept apart by id."""
-    uses = hot_join(film_actor.select("film_id", "actor_id"), film_rentals, "film_id")
+    uses = hot_join(film_actor.select("film_id", "actor_id"), film_rentals, "film_id", hot_from=hot_from)
     per_actor = uses.groupBy("actor_id").agg(F.sum("n").alias("films_count"))
     named = per_actor.join(_named(actor), "actor_id").select("actor_id", "full_name", "films_count")
     return top_k(named, k, F.desc("films_count"), "actor_id")
@@ -113,13 +120,14 @@ def top_actors_in_category(
     actor: DataFrame,
     name: str,
     k: int = 3,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Actors with most films in one category."""
     wanted = category.where(F.col("name") == name).select("category_id")
     films = film_category.join(wanted, "category_id", "left_semi").groupBy("film_id").agg(
         F.count(F.lit(1)).alias("n")
     )
-    return top_actors(films, film_actor, actor, k)
+    return top_actors(films, film_actor, actor, k, hot_from)
 
 
 def films_without_items(film: DataFrame, inventory: DataFrame) -> DataFrame:
@@ -132,11 +140,14 @@ def actor_info(
     film_category: DataFrame,
     category: DataFrame,
     film: DataFrame,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """``category: title, title`` pieces per actor; NULL for an actor without films."""
     films = film.select("film_id", "title").join(film_category.select("film_id", "category_id"), "film_id")
     films = small_join(films, category.select("category_id", "name"), "category_id")
-    cast = small_join(film_actor.select("actor_id", "film_id"), films, "film_id", rows_of=film_category)
+    cast = small_join(
+        film_actor.select("actor_id", "film_id"), films, "film_id", rows_of=film_category, hot_from=hot_from
+    )
     titles = group_concat(cast, ["actor_id", "category_id", "name"], "title", "titles")
     pieces = titles.select("actor_id", F.concat("name", F.lit(": "), "titles").alias("piece"))
     info = group_concat(pieces, ["actor_id"], "piece", "film_info", distinct=True)
@@ -150,6 +161,7 @@ def film_list(
     film_actor: DataFrame,
     actor: DataFrame,
     nice: bool = False,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """Films with category and the list of their actors; films without actors are left out.
 
@@ -159,17 +171,16 @@ def film_list(
         name = F.concat(capitalize("first_name"), capitalize("last_name"))
     else:
         name = F.concat("first_name", F.lit(" "), "last_name")
-    cast = small_join(
-        film_actor.select("film_id", "actor_id"), actor.select("actor_id", name.alias("_name")), "actor_id"
-    )
+    names = actor.select("actor_id", name.alias("_name"))
+    cast = small_join(film_actor.select("film_id", "actor_id"), names, "actor_id", hot_from=hot_from)
     actors = group_concat(cast, ["film_id"], "_name", "actors")
     films = film.select(
         "film_id", "title", "description", F.col("rental_rate").alias("price"), "length", "rating"
     )
-    names = category.select("category_id", F.col("name").alias("category"))
+    labels = category.select("category_id", F.col("name").alias("category"))
     placed = films.join(film_category.select("film_id", "category_id"), "film_id")
     return (
-        small_join(placed, names, "category_id")
+        small_join(placed, labels, "category_id")
         .join(actors, "film_id")
         .select(
             F.col("film_id").alias("fid"), "title", "description", "category", "price", "length", "rating", "actors"

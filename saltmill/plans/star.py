@@ -60,12 +60,13 @@ class Star:
             F.col("n_name").alias("last_name"),
         )
 
-    def film_actor(self) -> DataFrame:
-        """Distinct (supplier, part), written once: the reports read it more than once."""
-        pairs = self.raw("lineitem").select(
+    def film_actor_lines(self) -> DataFrame:
+        return self.raw("lineitem").select(
             F.col("l_suppkey").alias("actor_id"), F.col("l_partkey").alias("film_id")
         )
-        return materialize(pairs.distinct(), "film-actor")
+
+    def film_actor(self) -> DataFrame:
+        return self.film_actor_lines().distinct()
 
     def film_rentals(self) -> DataFrame:
         return (
