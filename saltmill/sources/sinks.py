@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -101,7 +101,7 @@ def read_monthly(
     full = T.StructType([*schema.fields, T.StructField("month", T.StringType())])
     rows = spark.read.schema(full).parquet(path)
     return rows.where(
-        F.col("month").between(f"{start:%Y-%m}", f"{end:%Y-%m}")
+        F.col("month").between(f"{start:%Y-%m}", f"{end - timedelta(days=1):%Y-%m}")
         & (F.col(ts) >= F.lit(start))
         & (F.col(ts) < F.lit(end))
     ).drop("month")
