@@ -33,6 +33,14 @@ def test_hot_keys_are_bounded(spark):
     assert joins.hot_keys(even.where("id < 0"), ["k"]) == []
 
 
+def test_hot_keys_over_many_tasks(spark, conf):
+    conf("spark.sql.shuffle.partitions", "1")
+    df = spark.range(0, 6000, 1, 300).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).cast("long").alias("k")
+    )
+    assert joins.hot_keys(df, ["k"]) == [df.where("k = 7").select(F.xxhash64("k")).first()[0]]
+
+
 def test_hot_join_without_hot_key_is_a_plain_join(spark):
     even = spark.range(5000).withColumn("k", F.col("id"))
     out = joins.hot_join(even, spark.range(10).withColumnRenamed("id", "k"), "k")

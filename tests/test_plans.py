@@ -59,3 +59,12 @@ def test_top_k_does_not_sort_the_table(spark, sf_dir):
 def test_rank_filters_do_not_shuffle_rows(spark, sf_dir):
     for name in ("win_rank", "win_dense_rank"):
         assert "Exchange hashpartitioning" not in _plan(QUERIES[name](spark, sf_dir))
+
+
+def test_outer_join_with_a_later_inner_join_becomes_inner(spark, sf_dir, no_broadcast):
+    assert "LeftOuter" not in _plan(QUERIES["outer_elim"](spark, sf_dir))
+
+
+def test_open_lines_are_filtered_in_the_scan(spark, sf_dir):
+    plan = _plan(QUERIES["r_in_stock"](spark, sf_dir))
+    assert "EqualTo(l_returnflag,N)" in plan and "GreaterThanOrEqual(l_sh" in plan
