@@ -6,9 +6,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry_points
+from saltmill.catalog import QUERIES
 
-QUERIES = entry_points.queries()
 SMALL_COUNTS = {"sort_cols", "wc_sort_key", "dq_assign_ids"}
 
 
