@@ -212,8 +212,12 @@ def _slots(spark, sizes, targets, blocks, cap, seed) -> DataFrame:
 
 
 def mixed(pieces: DataFrame, slots: DataFrame) -> DataFrame:
-    """Every piece of every slot: the output in rows (shard, slot, doc_id, start, stop)."""
-    return slots.join(pieces, ["nr", "number"])
+    """Every piece of every slot: the output in rows (shard, slot, doc_id, start, stop).
+
+    Both sides grow with the corpus; the hint keeps Spark from broadcasting the slots, whose
+    number it cannot know from the few draws they are made of.
+    """
+    return slots.hint("merge").join(pieces, ["nr", "number"])
 
 
 def taken_words(listed: DataFrame, pieces: DataFrame, slots: DataFrame) -> DataFrame:
