@@ -35,16 +35,18 @@ def csv_schema_positional(t: Tables) -> DataFrame:
 
 @query(
     "csv_rejects",
-    """SELECT c_custkey, 'rejected' AS state FROM customer WHERE c_nationkey > 9
-    UNION ALL SELECT c_custkey, 'read' FROM customer WHERE c_nationkey <= 9""",
+    """SELECT c_custkey, CASE WHEN c_nationkey > 9 OR c_custkey % 7 < 2 THEN 'rejected' ELSE 'read' END AS state
+    FROM customer""",
 )
 def csv_rejects(t: Tables) -> DataFrame:
-    """A declared type that the two-digit nations do not fit: those rows are set apart."""
+    """Nations of two digits do not fit the type, and some lines are short or long: set apart."""
     path = t.scratch("customer-typed-csv")
     nation = F.when(F.col("c_nationkey") > 9, F.lit("many")).otherwise(F.col("c_nationkey").cast("string"))
-    t("customer").select("c_custkey", nation.alias("nation")).write.csv(path, header=True)
+    short, long = F.col("c_custkey") % 7 == 0, F.col("c_custkey") % 7 == 1
+    rest = F.when(short, "").when(long, F.concat(F.lit(","), nation, F.lit(",x"))).otherwise(F.concat(F.lit(","), nation))
+    t("customer").select(F.concat(F.col("c_custkey").cast("string"), rest)).write.text(path)
     schema = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("nation", T.IntegerType())])
-    rows, rejects = files.read_csv_typed(t.spark, path, schema)
+    rows, rejects = files.read_csv_typed(t.spark, path, schema, header="false")
     return rows.select("c_custkey", F.lit("read").alias("state")).unionAll(
         rejects.select(F.col("c_custkey").cast("long"), F.lit("rejected"))
     )
@@ -92,7 +94,7 @@ def json_nested(t: Tables) -> DataFrame:
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), details.alias("details")
     )
     sinks.write_json_arrays(people, path)
-    read = files.read_json(t.spark, f"{path}/page=*", _PERSON)
+    read = files.read_json(t.spark, f"{path}/part-*", _PERSON)
     return read.select("id", "name", "details.age", "details.address.city")
 
 
@@ -131,10 +133,18 @@ def land_raw(t: Tables) -> DataFrame:
     return t.spark.read.schema(SALES_DDL).json(target)
 
 
-@query("raw_read", _SALES)
+@query(
+    "raw_read",
+    f"SELECT *, 'lines' AS layout FROM ({_SALES}) UNION ALL SELECT *, 'indented' FROM ({_SALES})",
+)
 def raw_read(t: Tables) -> DataFrame:
+    """The same sales as JSON lines and as indented arrays."""
     target = sinks.land(_sales(t), t.scratch("raw"), "sales")
-    return files.read_raw(t.spark, target, SALES_DDL)
+    arrays = t.scratch("raw-arrays")
+    sinks.write_json_arrays(_sales(t), arrays)
+    lines = files.read_raw(t.spark, target, SALES_DDL)
+    indented = files.read_raw(t.spark, arrays, SALES_DDL, indented=True, pattern="part-*")
+    return lines.withColumn("layout", F.lit("lines")).unionAll(indented.withColumn("layout", F.lit("indented")))
 
 
 @query("stage_sales", _SALES)

@@ -7,7 +7,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 # A run of ASCII letters with no letter, digit or underscore of any script beside it.
 REAL_WORD = r"(?<![\p{L}\p{N}_])[A-Za-z]++(?![\p{L}\p{N}_])"
 TOKEN_BREAK = r"[^\p{L}\p{N}]+"
+# Least number of index buckets, documents per further bucket, and most buckets (folders).
 TOKEN_BUCKETS = 16
+DOCS_PER_BUCKET = 500_000
+MOST_BUCKETS = 4096
 
 
 def lines(df: DataFrame, text: str) -> DataFrame:
@@ -50,40 +53,53 @@ def build_token_index(
     texts: list[str],
     path: str,
     stop_words: list[str] | None = None,
-    buckets: int = TOKEN_BUCKETS,
+    buckets: int | None = None,
 ) -> None:
     """Write the (token, doc_id) table, split by token bucket and sorted by token.
 
+    The number of buckets follows the number of documents, unless given, and is kept in
+    the index as the partition column ``token_buckets``, where the search finds it.
     The rebalance splits a bucket by size, so a token found in a third of the
     documents does not end in one task or file. One document's tokens are made
     distinct inside its row, so the build has a single shuffle.
     """
-    index = tokens(df, doc_id, texts, stop_words).withColumn(
-        "token_bucket", _bucket(F.col("token"), buckets)
+    if buckets is None:
+        buckets = min(MOST_BUCKETS, max(TOKEN_BUCKETS, df.count() // DOCS_PER_BUCKET))
+    index = (
+        tokens(df, doc_id, texts, stop_words)
+        .withColumn("token_buckets", F.lit(buckets))
+        .withColumn("token_bucket", _bucket(F.col("token"), buckets))
     )
     (
         index.hint("rebalance", "token_bucket")
         .sortWithinPartitions("token_bucket", "token", "doc_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
-        .partitionBy("token_bucket")
+        .partitionBy("token_buckets", "token_bucket")
         .parquet(path)
     )
 
 
-def search_tokens(index: DataFrame, query: list[str], buckets: int = TOKEN_BUCKETS) -> DataFrame:
-    """Documents that hold every query token; reads the buckets of those tokens only."""
-    wanted = sorted({q.lower() for q in query})
-    in_buckets = F.col("token_bucket").isin(_bucket_numbers(index, wanted, buckets))
-    hits = index.where(in_buckets & F.col("token").isin(wanted))
+def search_tokens(index: DataFrame, query: list[str]) -> DataFrame:
+    """Documents that hold every token of the query; reads the buckets of those tokens only.
+
+    The query is cut into tokens as the texts were. One without a token is refused, and so
+    is an index that does not state its number of buckets.
+    """
+    if "token_buckets" not in index.columns:
+        raise ValueError("not a token index: no column token_buckets")
+    asked = index.sparkSession.createDataFrame([(" ".join(query),)], "query string")
+    asked = tokens(asked.withColumn("doc_id", F.lit(0)), "doc_id", ["query"])
+    wanted = sorted(r["token"] for r in asked.collect())
+    if not wanted:
+        raise ValueError("the query holds no token")
+    # Partition values: the first row of one file tells.
+    first = index.select("token_buckets").first()
+    buckets = first[0] if first else 1
+    numbers = [r[0] for r in asked.select(_bucket(F.col("token"), buckets)).distinct().collect()]
+    hits = index.where(F.col("token_bucket").isin(numbers) & F.col("token").isin(wanted))
     found = [F.bool_or(F.col("token") == w).alias(f"_{i}") for i, w in enumerate(wanted)]
     held = hits.groupBy("doc_id").agg(*found)
     for i in range(len(wanted)):
         held = held.where(F.col(f"_{i}"))
     return held.select("doc_id")
-
-
-def _bucket_numbers(index: DataFrame, wanted: list[str], buckets: int) -> list[int]:
-    """Buckets of the query tokens, so that the partition filter holds plain numbers."""
-    asked = index.sparkSession.createDataFrame([(w,) for w in wanted], "token string")
-    return [r[0] for r in asked.select(_bucket(F.col("token"), buckets)).distinct().collect()]

@@ -17,10 +17,12 @@ from urllib.parse import urlparse
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.cloudpickle import register_pickle_by_value
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..operators.joins import small_join
+from ..session import materialize
 
 Fetch = Callable[[str, str, int], "list[dict] | None"]
 
@@ -31,6 +33,10 @@ class PageError(RuntimeError):
     """A page that could not be read, as opposed to a page past the end."""
 
 
+# Columns beside the declared ones: where a row comes from, and the end of a lane.
+PLACE = "_paged_date STRING, _paged_page INT, _paged_end INT"
+
+
 class PagePartition(InputPartition):
     """(date, first page) pairs; each is read in steps of the lane count."""
 
@@ -56,8 +62,12 @@ class PagedReader(DataSourceReader):
     def read(self, partition: PagePartition) -> Iterator[pa.RecordBatch]:
         for date, page in partition.starts:
             while records := self._page(date, page):
-                yield pa.RecordBatch.from_pylist(records, schema=self.columns)
+                place = {"_paged_date": date, "_paged_page": page}
+                yield pa.RecordBatch.from_pylist([r | place for r in records], schema=self.columns)
                 page += self.lanes
+            # The first page that this lane found empty.
+            end = [{"_paged_date": date, "_paged_end": page}]
+            yield pa.RecordBatch.from_pylist(end, schema=self.columns)
 
     def _page(self, date: str, page: int) -> list[dict] | None:
         try:
@@ -93,19 +103,21 @@ def read_paged(
     tasks: int = 0,
     on_error: str = "raise",
 ) -> DataFrame:
-    """All pages of all dates.
+    """All pages of all dates, each date up to its first empty page.
 
     A date has ``lanes`` readers, each taking every lanes-th page up to the first
     empty one, so a date with very many pages is not one task. The readers of all
     dates are dealt to ``tasks`` tasks (0: one task each). A page error fails the
     read; with ``on_error="stop"`` it ends the date instead, as if it were empty.
+
+    With several lanes, a lane may read past the page at which another one stopped. So
+    the feed is read once into the scratch folder, and pages beyond the smallest empty
+    one of their date are left out: the number of lanes does not change the rows.
     """
-    if on_error == "stop" and lanes > 1:
-        raise ValueError("the pages before an error are only known with a single lane")
     spark.dataSource.register(_source(fetch))
-    return (
+    read = (
         spark.read.format("paged")
-        .schema(schema)
+        .schema(f"{schema}, {PLACE}")
         .option("dates", ",".join(dates))
         .option("lanes", str(lanes))
         .option("tasks", str(tasks))
@@ -113,6 +125,14 @@ def read_paged(
         .option("on_error", on_error)
         .load()
     )
+    columns = [c for c in read.columns if not c.startswith("_paged_")]
+    if lanes == 1:
+        return read.where("_paged_end is null").select(*columns)
+    read = materialize(read, "paged")
+    # One row per date and lane.
+    ends = read.where("_paged_end is not null").groupBy("_paged_date").agg(F.min("_paged_end").alias("_stop"))
+    kept = small_join(read.where("_paged_end is null").drop("_paged_end"), ends, "_paged_date")
+    return kept.where("_paged_page < _stop").select(*columns)
 
 
 class FolderPages:
@@ -138,6 +158,8 @@ class FolderPages:
             return None
         try:
             with store.open_input_stream(files[page - 1]) as f:
-                return [json.loads(line) for line in f.read().splitlines() if line]
+                lines = [line for line in f.read().splitlines() if line]
+            # A whole page is parsed at once.
+            return json.loads(b"[" + b",".join(lines) + b"]")
         except OSError as e:
             raise PageError(str(e)) from e

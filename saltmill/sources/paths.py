@@ -38,13 +38,22 @@ def under(base: str, path: str) -> str:
     return "/".join([base.rstrip("/"), *parts])
 
 
-def replace_dir(df: DataFrame, target: str, fmt: str, **options: str) -> None:
-    """Write beside the target and swap; the old target goes only once the new one is in place."""
+def replace_dir(df: DataFrame, target: str, fmt: str, keep: str | None = None, **options: str) -> None:
+    """Write beside the target and swap; the old target goes only once the new one is in place.
+
+    A stop between the two renames leaves the folder under a name beside the target;
+    ``repair_dir``, which every call runs first, puts it back. With ``keep``, a result without
+    rows leaves the old target and raises a ValueError with that text; the written files are
+    counted, so ``df`` is evaluated once.
+    """
     spark, run = df.sparkSession, uuid.uuid4().hex
-    fresh, before = f"{target}__new-{run}", f"{target}__old-{run}"
+    repair_dir(spark, target)
+    fresh, before = f"{target}{NEW}{run}", f"{target}{OLD}{run}"
     fs, new = _fs(spark, fresh)
     try:
         df.write.format(fmt).options(**options).mode("error").save(fresh)
+        if keep is not None and not spark.read.format(fmt).schema(df.schema).load(fresh).count():
+            raise ValueError(keep)
     except Exception:
         fs.delete(new, True)
         raise
@@ -59,3 +68,21 @@ def replace_dir(df: DataFrame, target: str, fmt: str, **options: str) -> None:
         raise OSError(f"could not rename {fresh} to {target}")
     if replaced:
         fs.delete(kept, True)
+
+
+NEW, OLD = "__new-", "__old-"
+
+
+def repair_dir(spark: SparkSession, target: str) -> None:
+    """Undo what a stopped ``replace_dir`` left: put an old target back if there is none, and
+    delete the remains. One writer per target at a time is assumed."""
+    parent, name = target.rsplit("/", 1)
+    found = children(spark, parent)
+    olds = [n for n in found if n.startswith(name + OLD)]
+    fs, place = _fs(spark, target)
+    if olds and not fs.exists(place):
+        if not fs.rename(_fs(spark, f"{parent}/{olds[0]}")[1], place):
+            raise OSError(f"could not put {target} back")
+        olds = olds[1:]
+    for n in [*olds, *[n for n in found if n.startswith(name + NEW)]]:
+        fs.delete(_fs(spark, f"{parent}/{n}")[1], True)

@@ -7,7 +7,7 @@ from datetime import date, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..session import materialize
-from .files import read_raw
+from .files import RECORD, read_raw, read_raw_checked
 from .paths import exists, replace_dir, under
 
 
@@ -17,24 +17,23 @@ def land(df: DataFrame, base: str, path: str, allow_empty: bool = False) -> str:
     No rows: the old folder stays and the call fails, unless ``allow_empty``.
     """
     target = under(base, path)
-    if not allow_empty and df.isEmpty():
-        raise ValueError("no rows to land")
-    replace_dir(df, target, "json")
+    replace_dir(df, target, "json", keep=None if allow_empty else "no rows to land")
     return target
 
 
 def write_json_arrays(df: DataFrame, path: str, per_file: int = 5000) -> None:
-    """Write indented JSON arrays of at most ``per_file`` records, one file per folder.
+    """Write indented JSON arrays of at most ``per_file`` records, one array per file, all in
+    one folder.
 
     Rows are numbered in a written copy first, so a task that runs again deals the
-    same rows to the same array.
+    same rows to the same array. Arrays are dealt to the tasks by number; a task starts a
+    file for each.
     """
     stored = materialize(df.withColumn("_id", F.monotonically_increasing_id()), "json-arrays")
-    page = F.floor(F.col("_id") / per_file).alias("page")
-    pages = stored.groupBy(page).agg(
+    pages = stored.groupBy(F.expr(f"_id div {int(per_file)}").alias("page")).agg(
         F.to_json(F.collect_list(F.struct(*df.columns)), {"pretty": "true"}).alias("value")
     )
-    pages.write.partitionBy("page").text(path)
+    pages.select("value").write.option("maxRecordsPerFile", 1).text(path)
 
 
 def stage(
@@ -45,15 +44,28 @@ def stage(
     schema: T.StructType,
     fmt: str = "parquet",
     indented: bool = False,
+    rejects_dir: str | None = None,
 ) -> str:
     """Read a raw folder, check the required fields and replace the staged folder.
 
-    A missing source, or a NULL in a field declared not nullable, fails the call
-    and leaves the old target in place.
+    A missing source, a line that is no record, or a NULL in a field declared not nullable,
+    fails the call and leaves the old target in place. With ``rejects_dir`` such lines and
+    records go there instead, as JSON with ``_record`` (the text of a line that is no record)
+    and the fields that were read; the rest is staged.
     """
     source, target = under(base, raw_dir), under(base, stg_dir)
     if not exists(spark, source):
         raise FileNotFoundError(f"source folder {source} does not exist")
+    required = [f.name for f in schema if not f.nullable]
+    if rejects_dir is not None:
+        rows, broken = read_raw_checked(spark, source, schema, indented)
+        gap = F.lit(False)
+        for name in required:
+            gap = gap | F.col(name).isNull()
+        lacking = rows.where(gap).withColumn(RECORD, F.lit(None).cast("string"))
+        replace_dir(lacking.unionByName(broken), under(base, rejects_dir), "json")
+        replace_dir(rows.where(~gap).select(*schema.names), target, fmt)
+        return target
     rows = read_raw(spark, source, schema, indented).select(*schema.fieldNames())
     for f in schema:
         if not f.nullable:

@@ -56,7 +56,39 @@ def test_csv_typed_sets_bad_rows_apart(spark, base):
     schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("age", T.IntegerType())])
     good, bad = files.read_csv_typed(spark, base, schema)
     assert rows(good) == [(1, 20), (3, None)]
-    assert rows(bad) == [("2", "old")]
+    assert rows(bad) == [("2", "old", None)]
+
+
+def test_csv_typed_rejects_short_and_long_lines(spark, base):
+    _write(f"{base}/o.csv", 'id,age\n3\n4,5,6\n7,8\n"9","1,0"\n')
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("age", T.IntegerType())])
+    good, bad = files.read_csv_typed(spark, base, schema)
+    assert rows(good) == [(7, 8)]
+    assert {r["_record"] for r in bad.collect()} == {"3", "4,5,6", None}
+
+
+def test_lists_of_a_dump(spark, base):
+    head = "film_id,title,special_features"
+    lists = ["{}", '"{""x, y"",z}"', '"{a,b c}"', '"{""say \\""hi\\""""}"', ""]
+    _write(f"{base}/film.csv", "\n".join([head, *[f"{i},t,{x}" for i, x in enumerate(lists)]]) + "\n")
+    read = files.read_csv(spark, base, "film_id INT, title STRING, special_features STRING", escape='"')
+    got = read.select("film_id", files.list_items(F.col("special_features")).alias("x")).collect()
+    assert {r["film_id"]: r["x"] for r in got} == {
+        0: [], 1: ["x, y", "z"], 2: ["a", "b c"], 3: ['say "hi"'], 4: None,
+    }
+
+
+def test_raw_read_sees_what_is_no_record(spark, base):
+    _write(f"{base}/raw/1.json", [SALE, SALE])
+    with pytest.raises(Exception, match="not a JSON record"):
+        files.read_raw(spark, f"{base}/raw", SALES_DDL).collect()
+    _, rejects = files.read_raw_checked(spark, f"{base}/raw", SALES_DDL)
+    assert rejects.count() > 2
+    assert files.read_raw(spark, f"{base}/raw", SALES_DDL, indented=True).count() == 2
+    with open(f"{base}/raw/1.json", "w") as f:
+        f.write(json.dumps(SALE) + "\n" + json.dumps([SALE, SALE]) + '\n{"client": 1, "pri\n')
+    good, bad = files.read_raw_checked(spark, f"{base}/raw", SALES_DDL)
+    assert good.count() == 3 and [r["_record"] for r in bad.collect()] == ['{"client": 1, "pri']
 
 
 def test_csv_quoted_comma_and_inference(spark, base):
@@ -151,6 +183,29 @@ def test_land_without_rows_keeps_the_old_folder(spark, base):
     assert spark.read.schema("id long").json(f"{base}/raw/x").count() == 0
 
 
+def test_land_reads_its_input_once(spark, base):
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        seen.add(1)
+        yield from batches
+
+    sinks.land(spark.range(0, 5, 1, 1).mapInArrow(watched, "id long"), base, "raw/x")
+    assert seen.value == 1
+
+
+def test_a_stop_between_the_renames_is_repaired(spark, base):
+    sinks.land(spark.range(2), base, "raw/x")
+    os.rename(f"{base}/raw/x", f"{base}/raw/x__old-1")
+    os.makedirs(f"{base}/raw/x__new-1")
+    paths.repair_dir(spark, f"{base}/raw/x")
+    assert os.listdir(f"{base}/raw") == ["x"] and spark.read.json(f"{base}/raw/x").count() == 2
+    os.rename(f"{base}/raw/x", f"{base}/raw/x__old-2")
+    with pytest.raises(ValueError, match="no rows"):
+        sinks.land(spark.range(0), base, "raw/x")
+    assert os.listdir(f"{base}/raw") == ["x"] and spark.read.json(f"{base}/raw/x").count() == 2
+
+
 # ---- staged folder ---------------------------------------------------------
 
 
@@ -175,6 +230,18 @@ def test_stage_reads_every_file(spark, base, n_files, per_file):
     assert staged.count() == n_files * per_file
 
 
+def test_stage_sets_rejects_apart(spark, base):
+    os.makedirs(f"{base}/raw/s")
+    with open(f"{base}/raw/s/1.json", "w") as f:
+        f.write(json.dumps(SALE) + '\n{"client": "B"}\n{"client": 1, "pri\n')
+    with pytest.raises(Exception):
+        _stage(spark, base, indented=False)
+    target = sinks.stage(spark, base, "raw/s", "stg/s", sales_schema(), rejects_dir="bad/s")
+    assert spark.read.parquet(target).count() == 1
+    bad = spark.read.schema("client STRING, _record STRING").json(f"{base}/bad/s")
+    assert rows(bad) == sorted([("B", None), (None, '{"client": 1, "pri')], key=repr)
+
+
 def test_stage_empty_folder_writes_no_rows(spark, base):
     os.makedirs(f"{base}/raw/s")
     assert spark.read.parquet(_stage(spark, base)).count() == 0
@@ -252,6 +319,13 @@ def test_empty_list_ends_a_date(spark):
     assert _feed(spark, feeds.empty_list_at_end, {"2022-08-09": [[_rec(1)], [], [_rec(2)]]}).count() == 1
 
 
+@pytest.mark.parametrize("lanes", [1, 2, 3, 4])
+def test_lanes_do_not_change_the_rows(spark, lanes):
+    pages = {"2022-08-09": [[_rec(1)], [], [_rec(2)], [_rec(3)]], "2022-08-10": [[_rec(4)], [_rec(5)]]}
+    got = _feed(spark, feeds.empty_list_at_end, pages, lanes=lanes)
+    assert rows(got) == [(i, "p", i * 10) for i in (1, 4, 5)]
+
+
 def test_no_dates(spark):
     assert _feed(spark, feeds.memory, {}).count() == 0
 
@@ -261,8 +335,9 @@ def test_page_error_fails_or_stops(spark):
     with pytest.raises(Exception, match="status 500"):
         _feed(spark, feeds.broken_second_page, pages).collect()
     assert rows(_feed(spark, feeds.broken_second_page, pages, on_error="stop")) == [(1, "p", 10)]
-    with pytest.raises(ValueError):
-        _feed(spark, feeds.broken_second_page, pages, on_error="stop", lanes=2)
+    pages["2022-08-09"].append([_rec(3)])
+    got = _feed(spark, feeds.broken_second_page, pages, on_error="stop", lanes=2)
+    assert rows(got) == [(1, "p", 10)]
 
 
 # ---- monthly store ---------------------------------------------------------

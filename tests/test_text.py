@@ -50,6 +50,21 @@ def test_token_index_and_search(spark, docs, tmp_path):
     assert rows(text.search_tokens(index, ["the", "absent"])) == []
 
 
+@pytest.mark.parametrize("buckets", [None, 1, 64])
+def test_search_takes_the_buckets_and_tokens_of_the_index(spark, tmp_path, buckets):
+    path = str(tmp_path / "index")
+    docs = spark.createDataFrame([(1, "a well-known İstanbul"), (2, "known")], "id long, text string")
+    text.build_token_index(docs, "id", ["text"], path, buckets=buckets)
+    index = spark.read.parquet(path)
+    assert rows(text.search_tokens(index, ["Well-Known"])) == [(1,)]
+    assert rows(text.search_tokens(index, ["İstanbul", "known"])) == [(1,)]
+    for nothing in ([], ["-"], [""]):
+        with pytest.raises(ValueError, match="no token"):
+            text.search_tokens(index, nothing)
+    with pytest.raises(ValueError, match="token_buckets"):
+        text.search_tokens(index.drop("token_buckets"), ["known"])
+
+
 def test_search_reads_only_the_buckets_of_the_query(spark, docs, tmp_path):
     path = str(tmp_path / "index")
     text.build_token_index(docs, "id", ["text"], path)
