@@ -7,10 +7,12 @@ rejected only far below the threshold), then linked if the full sets say so. Lin
 components by large-star and small-star.
 
 No bucket is turned into all its pairs. Members are first compared with two hubs of their
-bucket, then, for some rounds, those that are not yet in the component of another hub with
-that one; in the end what is left, members of one bucket in different components, is compared
-pair by pair, so no link between components is lost. What remains to be paired is what links
-did not join, not what they did.
+bucket; those that are not yet in the component of a third hub with that one; in the end
+members of one bucket in different components meet each other, so no link between components
+is lost. Pairs leave that join only if their parity bitmaps allow the similarity: bit i is
+the parity of the number of shingles with hash i modulo 1024, so the bits in which two
+documents differ are at most the shingles in which they differ. That bound is exact, and
+leaves out nearly all pairs below the threshold before anything is fetched for them.
 
 With the parameters given, two documents at the threshold share no bucket with probability
 (1 - 0.75 ** 4) ** 32, about 5 in a million, more similar ones less; a pair that is linked is
@@ -39,9 +41,10 @@ from .registry import query
 WORDS = 5
 BANDS, ROWS = 32, 4
 PERCENT = 75
+# Words of 64 bits in a parity bitmap.
+BITMAP = 16
 # Estimates below this are rejected without the sets: more than six deviations under 0.75.
 LEAST_ESTIMATE = 0.5
-ROUNDS = 3
 # A task remembers the hashes of this many words, and the sets of this many classes.
 MEMORY = 500_000
 SETS = 32
@@ -105,10 +108,15 @@ class _Hashing:
         return out.view(np.int64)
 
 
+def _parities(found: np.ndarray) -> np.ndarray:
+    bits = np.bincount((found % _U(64 * BITMAP)).astype(np.int64), minlength=64 * BITMAP) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def _sign(tool: _Hashing, doc_id, th, text):
     found = shingles(text, tool.words)
     if not len(found):
-        return doc_id, th, 0, None, [], b""
+        return doc_id, th, 0, None, [], [], b""
     name = np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())).astype(np.int64)
     minima = tool.minima(found)
     return (
@@ -117,18 +125,20 @@ def _sign(tool: _Hashing, doc_id, th, text):
         len(found),
         int(name),
         tool.keys(minima),
+        _parities(found),
         (minima & _U(0xFF)).astype(np.uint8).tobytes(),
     )
 
 
 def sign(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Per row: id, text hash, set size n, class, band keys and signature."""
+    """Per row: id, text hash, set size n, class, band keys, parity bitmap and signature."""
     rows = pick(docs, doc_id=id_column, text=text_column)
     kind = dict(rows.dtypes)["doc_id"]
     signed = map_rows(
         rows.select(F.col("doc_id").cast("string"), F.xxhash64("text").alias("th"), "text"),
         _sign,
-        "doc_id string, th bigint, n bigint, class bigint, keys array<bigint>, signature binary",
+        "doc_id string, th bigint, n bigint, class bigint, keys array<bigint>, "
+        "bits array<bigint>, signature binary",
         setup=lambda: _Hashing(BANDS, ROWS),
     )
     return signed.withColumn("doc_id", F.col("doc_id").cast(kind))
@@ -138,12 +148,21 @@ def _sizes_fit(a: Column, b: Column) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
-def _alike(first, a, b, sa, sb):
-    same = np.frombuffer(sa, dtype=np.uint8) == np.frombuffer(sb, dtype=np.uint8)
-    return a, b, bool(same.mean() >= LEAST_ESTIMATE)
+def _bits_fit(n: Column, bits: Column, m: Column, others: Column) -> Column:
+    """False only if the sets differ in too many shingles to be linked."""
+    differ = sum(
+        (F.bit_count(F.get(bits, F.lit(i)).bitwiseXOR(F.get(others, F.lit(i)))) for i in range(BITMAP)),
+        F.lit(0),
+    )
+    # 100 I >= P U for the intersection I and union U, with n + m = 2 I + differing shingles.
+    return (100 + PERCENT) * differ <= (100 - PERCENT) * (n + m)
 
 
-def _linked(memory, a, b, ta, tb):
+def _linked(memory, a, b, sa, sb, ta, tb):
+    """(a, b, linked): signatures first, then the full sets."""
+    same = np.frombuffer(sa, dtype=np.uint8) == np.frombuffer(sb, dtype=np.uint8)
+    if same.mean() < LEAST_ESTIMATE:
+        return a, b, False
     words, sets = memory
 
     def of(name, text):
@@ -161,29 +180,32 @@ def _linked(memory, a, b, ta, tb):
 
 def verify(pairs: DataFrame, sets: DataFrame, label: str) -> DataFrame:
     """The pairs (a, b) that are linked; ``sets`` has class, signature and text."""
-
-    def with_sides(pairs, column, kind):
-        a = sets.select(F.col("class").alias("a"), F.col(column).alias("x"))
-        b = sets.select(F.col("class").alias("b"), F.col(column).alias("y"))
-        return pairs.join(a, "a").join(b, "b").select("a", "b", "x", "y")
-
-    schema = "a bigint, b bigint, good boolean"
-    near = map_rows(with_sides(pairs, "signature", "binary"), _alike, schema, setup=lambda: None)
-    near = materialize(near.where("good").select("a", "b"), f"{label}-near")
-    memory = lambda: (_WordHashes(), OrderedDict())
-    links = map_rows(with_sides(near, "text", "string"), _linked, schema, setup=memory)
+    a = sets.select(F.col("class").alias("a"), F.col("signature").alias("sa"), F.col("text").alias("ta"))
+    b = sets.select(F.col("class").alias("b"), F.col("signature").alias("sb"), F.col("text").alias("tb"))
+    rows = pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb", "ta", "tb")
+    links = map_rows(
+        rows,
+        _linked,
+        "a bigint, b bigint, good boolean",
+        setup=lambda: (_WordHashes(), OrderedDict()),
+    )
     links = links.where("good").select(F.col("a").alias("u"), F.col("b").alias("v"))
     return materialize(links, f"{label}-links")
 
 
-def _hub_pairs(members: DataFrame, hub: Column) -> DataFrame:
-    """Distinct pairs of members and the hub of their bucket, given as a struct of class and n."""
-    pairs = members.withColumn("hub", hub).where(
+def _hub_pairs(members: DataFrame, hubs: list[Column], sides: DataFrame) -> DataFrame:
+    """Distinct pairs of members and hubs of their bucket (structs of class and n) that may be
+    linked; ``sides`` has class, n and bits."""
+    pairs = members.withColumn("hub", F.explode(F.array(*hubs))).where(
         (F.col("hub.class") != F.col("class")) & _sizes_fit(F.col("n"), F.col("hub.n"))
     )
-    return pairs.select(
+    pairs = pairs.select(
         F.least("class", "hub.class").alias("a"), F.greatest("class", "hub.class").alias("b")
     ).distinct()
+    a = sides.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"))
+    b = sides.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
+    fits = _bits_fit(F.col("na"), F.col("ba"), F.col("nb"), F.col("bb"))
+    return pairs.join(a, "a").join(b, "b").where(fits).select("a", "b")
 
 
 def find_links(signed: DataFrame, docs: DataFrame, id_column: str, text_column: str):
@@ -195,9 +217,7 @@ def find_links(signed: DataFrame, docs: DataFrame, id_column: str, text_column:
             F.count(F.lit(1)).alias("copies"),
             F.min(F.struct("doc_id", "th")).alias("first"),
             F.min("doc_id").alias("least_id"),
-            F.first("n").alias("n"),
-            F.first("keys").alias("keys"),
-            F.first("signature").alias("signature"),
+            *[F.first(c).alias(c) for c in ("n", "keys", "bits", "signature")],
         ),
         "dedup-classes",
     )
@@ -208,29 +228,26 @@ def find_links(signed: DataFrame, docs: DataFrame, id_column: str, text_column:
     buckets = materialize(buckets.where("low.class <> high.class"), "dedup-buckets")
     members = materialize(rows.join(buckets, "key"), "dedup-members")
     named = members.select("class").distinct().join(classes, "class")
-    named = named.select("class", "signature", F.col("first.doc_id").alias("id"), F.col("first.th").alias("th"))
+    named = named.select(
+        "class", "n", "bits", "signature", F.col("first.doc_id").alias("id"), F.col("first.th").alias("th")
+    )
     texts = pick(docs, id=id_column, text=text_column).withColumn("th", F.xxhash64("text"))
     same = texts["id"].eqNullSafe(named["id"]) & (texts["th"] == named["th"])
-    found = texts.join(named.hint("shuffle_hash"), same).select("class", "signature", texts["text"])
+    found = texts.join(named.hint("shuffle_hash"), same).select(
+        "class", "n", "bits", "signature", texts["text"]
+    )
     sets = materialize(found.dropDuplicates(["class"]), "dedup-sets")
 
-    pairs = _hub_pairs(members, F.col("low")).union(_hub_pairs(members, F.col("high"))).distinct()
-    links = verify(pairs, sets, "dedup-0")
+    hubs = [F.struct("low.class", "low.n"), F.struct("high.class", "high.n")]
+    links = verify(_hub_pairs(members, hubs, sets), sets, "dedup-hubs")
     roots = components(links)
     members = members.select("key", "class", "n")
-    for turn in range(1, ROUNDS + 1):
-        last = turn == ROUNDS
+    for find in (_third_hub_pairs, _all_pairs):
         members = _mixed_members(members, roots)
-        if members.isEmpty():
-            break
-        pairs = _all_pairs(members) if last else _new_hub_pairs(members, turn)
-        more = verify(pairs, sets, f"dedup-{turn}")
-        if more.isEmpty():
-            if last:
-                break
-            continue
-        links = links.union(more)
-        roots = components(materialize(links, "dedup-links"))
+        more = verify(find(members, sets), sets, "dedup-more")
+        if not more.isEmpty():
+            links = links.union(more)
+            roots = components(materialize(links, "dedup-links"))
     return classes, links, roots
 
 
@@ -247,22 +264,29 @@ def _mixed_members(members: DataFrame, roots: DataFrame) -> DataFrame:
     return materialize(named.join(mixed, "key"), "dedup-left")
 
 
-def _new_hub_pairs(members: DataFrame, turn: int) -> DataFrame:
+def _third_hub_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Another hub per bucket, by a new order; only members of other components are compared."""
-    me = F.struct(F.xxhash64(F.lit(turn), "class").alias("order"), "class", "n", "root")
-    hubs = materialize(members.groupBy("key").agg(F.min(me).alias("hub")), "dedup-hubs")
-    return _hub_pairs(members.join(hubs, "key").where("root <> hub.root"), F.col("hub"))
+    me = F.struct(F.xxhash64(F.lit(3), "class").alias("order"), "class", "n", "root")
+    hubs = materialize(members.groupBy("key").agg(F.min(me).alias("third")), "dedup-third")
+    others = members.join(hubs, "key").where("root <> third.root")
+    return _hub_pairs(others, [F.struct("third.class", "third.n")], sets)
 
 
-def _all_pairs(members: DataFrame) -> DataFrame:
+def _all_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs of members of one bucket that no link has brought together so far."""
+    members = materialize(members.join(sets.select("class", "bits"), "class"), "dedup-last")
     other = members.select(
-        "key", F.col("class").alias("other"), F.col("n").alias("m"), F.col("root").alias("other_root")
+        "key",
+        F.col("class").alias("other"),
+        F.col("n").alias("m"),
+        F.col("root").alias("other_root"),
+        F.col("bits").alias("other_bits"),
     )
     pairs = members.join(other, "key").where(
         (F.col("class") < F.col("other"))
         & (F.col("root") != F.col("other_root"))
         & _sizes_fit(F.col("n"), F.col("m"))
+        & _bits_fit(F.col("n"), F.col("bits"), F.col("m"), F.col("other_bits"))
     )
     return pairs.select(F.col("class").alias("a"), F.col("other").alias("b")).distinct()
 
