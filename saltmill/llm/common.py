@@ -100,18 +100,19 @@ def counted_join(
 ) -> DataFrame:
     """Join ``left`` to one right row per key, whose column ``n`` counts the left rows.
 
-    Keys above HOT_SHARE of all rows (at most 1 / HOT_SHARE of them) are read from the
-    counts; their left rows are dealt over salts by a hash of ``spread``, and their right
+    Keys above HOT_SHARE of all rows (at most 1 / HOT_SHARE of them) are known by their
+    hashes from the counts; their left rows are dealt over salts by a hash of ``spread``, and their right
     row is repeated once per salt. ``right`` should be materialized: it is read twice more.
     """
     total = right.agg(F.sum(n)).first()[0] or 0
     bar = max(HOT_ROWS, int(total * HOT_SHARE))
-    hot = {r[0]: r[1] // bar + 1 for r in right.where(F.col(n) >= bar).select(key, n).collect()}
+    found = right.where(F.col(n) >= bar).select(F.xxhash64(key), n).collect()
+    hot = {r[0]: r[1] // bar + 1 for r in found}
     right = right.drop(n)
     if not hot:
         return left.join(right, key, how)
     table = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
-    salts = F.coalesce(F.try_element_at(table, F.col(key)), F.lit(1))
-    left = left.withColumn("_salt", F.pmod(F.xxhash64(spread), salts).cast("long"))
-    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)).cast("long"))
+    salts = F.coalesce(F.try_element_at(table, F.xxhash64(key)), F.lit(1)).cast("long")
+    left = left.withColumn("_salt", F.pmod(F.xxhash64(spread), salts))
+    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
     return left.join(right, [key, "_salt"], how).drop("_salt")

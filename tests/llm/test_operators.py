@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import brute
 import fixtures
 from saltmill.llm import (
+    common,
     components,
     decontamination,
     language_id,
@@ -31,6 +32,23 @@ def bag(df, *columns):
     return Counter(tuple(r) for r in df.select(*columns).collect())
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_counted_join_with_hot_keys(spark, monkeypatch, how):
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    left = spark.range(300).select(F.col("id"), F.when(F.col("id") < 200, 1).otherwise(F.col("id")).alias("x"))
+    left = left.withColumn("k", F.struct("x", F.lit("a").alias("y")))
+    right = left.where("x <> 299").groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("m"))
+    salted = common.counted_join(left, right, "k", "n", F.col("id"), how)
+    plain = left.join(right.drop("n"), "k", how)
+    assert "_salt" in salted._jdf.queryExecution().analyzed().toString()
+    assert bag(salted, "id", "x", "m") == bag(plain, "id", "x", "m")
+
+
+def test_line_dedup_with_hot_lines(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 2)
+    test_line_dedup(spark)
+
+
 # Secret scan
 
 KEY = "token = 'Zk81jfKQ02mdPw77qLx0'"
