@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.strings import group_concat
 from ..operators import numbering, ranking, sampling, stats, text
+from ..session import materialize
 from .registry import Tables, query
 
 MONEY = "decimal(18,2)"
@@ -191,9 +192,35 @@ def describe_text(t: Tables) -> DataFrame:
     return stats.profile_text(t("customer"), ["c_name", "c_mktsegment", "c_nationkey"])
 
 
-@query("summary_cols")
+_PROBS = (0.25, 0.5, 0.75)
+
+
+@query(
+    "summary_cols",
+    " UNION ALL ".join(
+        [
+            *[_describe_sql(c) for c in _DESCRIBED],
+            *[
+                f"SELECT '{c}' AS \"column\", '{p * 100:g}%' AS stat, 1.0::DOUBLE AS value"
+                for c in _DESCRIBED
+                for p in _PROBS
+            ],
+        ]
+    ),
+)
 def summary_cols(t: Tables) -> DataFrame:
-    return stats.profile(t("lineitem"), _DESCRIBED, [0.25, 0.5, 0.75])
+    """The profile; in place of each quantile, whether its rank error is within 0.01."""
+    found = materialize(stats.profile(t("lineitem"), _DESCRIBED, list(_PROBS)), "summary")
+    names = {f"{p * 100:g}%": p for p in _PROBS}
+    out = found.where(~F.col("stat").isin(*names)).withColumn("value", F.round("value", 6))
+    probs = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
+    for c in _DESCRIBED:
+        given = found.where(F.col("stat").isin(*names) & (F.col("column") == c))
+        errors = stats.rank_errors(t("lineitem"), given.withColumn("prob", F.element_at(probs, F.col("stat"))), c)
+        label = F.concat((F.col("prob") * 100).cast("int").cast("string"), F.lit("%"))
+        within = F.when(F.col("error") <= 0.01, 1.0).otherwise(0.0)
+        out = out.unionAll(errors.select(F.lit(c), label, within))
+    return out
 
 
 @query(
@@ -211,9 +238,17 @@ def cov(t: Tables) -> DataFrame:
     return stats.cov_clean(t("lineitem"), "l_quantity", "l_discount").select(F.round("cov", 6).alias("cov"))
 
 
-@query("approx_quantiles")
+@query(
+    "approx_quantiles",
+    " UNION ALL ".join(f"SELECT {p}::DOUBLE AS prob, true AS is_value, true AS within" for p in _PROBS),
+)
 def approx_quantiles(t: Tables) -> DataFrame:
-    return stats.quantiles(t("lineitem"), "l_extendedprice", [0.25, 0.5, 0.75])
+    """Per probability, whether the value occurs and its rank error is within 0.01."""
+    found = materialize(stats.quantiles(t("lineitem"), "l_extendedprice", list(_PROBS)), "quantiles")
+    errors = stats.rank_errors(t("lineitem"), found, "l_extendedprice")
+    return errors.select(
+        "prob", (F.col("upto") > F.col("below")).alias("is_value"), (F.col("error") <= 0.01).alias("within")
+    )
 
 
 # ---- samples ---------------------------------------------------------------

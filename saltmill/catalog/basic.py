@@ -262,7 +262,7 @@ def extract_parts(t: Tables) -> DataFrame:
     ) GROUP BY days""",
 )
 def overdue_days(t: Tables) -> DataFrame:
-    rented = joins.hot_join(
+    rented = joins.small_join(
         t.star.rented_lines(), t.star.items(), "inventory_id", hot_from=t.star.returns()
     )
     days = whole_days_over(F.col("rental_date"), F.col("return_date"), F.col("rental_duration"))
@@ -411,9 +411,10 @@ def comma_join(t: Tables) -> DataFrame:
     SELECT l_suppkey, count(*) AS n FROM lineitem JOIN promo ON l_partkey = p_partkey GROUP BY l_suppkey""",
 )
 def cte_join(t: Tables) -> DataFrame:
+    """Lines of the chosen parts first, then one aggregation."""
     promo = t("part").where("p_type = 'PROMO'").select(F.col("p_partkey").alias("l_partkey"))
-    sold = t("lineitem").groupBy("l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("n"))
-    return sold.join(promo, "l_partkey").groupBy("l_suppkey").agg(F.sum("n").alias("n"))
+    sold = joins.small_join(t("lineitem").select("l_partkey", "l_suppkey"), promo, "l_partkey")
+    return sold.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(
@@ -513,7 +514,7 @@ def except_all(t: Tables) -> DataFrame:
 
 @query("distinct_rows", "SELECT DISTINCT text, lang FROM documents")
 def distinct_rows(t: Tables) -> DataFrame:
-    return t("documents").select("text", "lang").distinct().dropDuplicates()
+    return sets.distinct_texts(t("documents").select("text", "lang"), "text")
 
 
 @query(
@@ -522,7 +523,8 @@ def distinct_rows(t: Tables) -> DataFrame:
     QUALIFY row_number() OVER (PARTITION BY text ORDER BY doc_id) = 1""",
 )
 def dedup_subset(t: Tables) -> DataFrame:
-    return ranking.first_per_key(t("documents").select("text", "doc_id", "source"), ["text"], "doc_id")
+    keyed = t("documents").select("text", "doc_id", "source", sets.text_key("text").alias("_text"))
+    return ranking.first_per_key(keyed, ["_text"], "doc_id").drop("_text")
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from .. import schemas
 from ..operators import numbering, quality
 from .registry import Tables, query
 
@@ -119,6 +120,32 @@ def dq_summary(t: Tables) -> DataFrame:
     return quality.summarize(dq_unique(t))
 
 
+_RATINGS = ", ".join(f"'{r}'" for r in schemas.RATINGS)
+
+
+@query(
+    "dq_rental",
+    f"""SELECT 'film' AS "table", 'enum(rating)' AS rule, p_type AS "key", count(*) AS n
+    FROM part WHERE p_type NOT IN ({_RATINGS}) GROUP BY p_type
+    UNION ALL SELECT 'film_actor', 'unique(actor_id, film_id)', l_suppkey || '|' || l_partkey, count(*)
+    FROM lineitem GROUP BY l_suppkey, l_partkey HAVING count(*) > 1
+    UNION ALL SELECT 'film_category', 'foreign_key(category_id)', p_type, count(*)
+    FROM part WHERE p_type = 'PROMO' GROUP BY p_type""",
+)
+def dq_rental(t: Tables) -> DataFrame:
+    """The declared rules on the star tables; one category is left out of its table."""
+    s = t.star
+    return schemas.check_rental(
+        {
+            "film": s.film(),
+            "film_actor": s.film_actor_lines(),
+            "film_category": s.film_category(),
+            "actor": s.actor(),
+            "category": s.category().where("category_id <> 'PROMO'"),
+        }
+    )
+
+
 @query(
     "dq_defaults",
     f"""SELECT o_orderkey, coalesce(status, 'open') AS status, coalesce(priority, 'none') AS priority FROM ({_DIRTY})""",

@@ -82,6 +82,20 @@ def r_actor_info(t: Tables) -> DataFrame:
     )
 
 
+@query(
+    "r_actor_info_rows",
+    f"""SELECT l_suppkey AS actor_id, p_type AS name, p_name AS title
+    FROM {_BRIDGE} JOIN part ON l_partkey = p_partkey""",
+)
+def r_actor_info_rows(t: Tables) -> DataFrame:
+    """The titles of every actor as rows, of which the report makes lists."""
+    s = t.star
+    cast = rental.actor_titles(
+        s.film_actor(), s.film_category(), s.category(), s.film(), s.film_actor_lines()
+    )
+    return cast.select("actor_id", "name", "title")
+
+
 def _places(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Nations as addresses and cities, regions as countries."""
     n = t("nation")
@@ -166,6 +180,17 @@ def r_film_list_nice(t: Tables) -> DataFrame:
     return _film_list(t, True)
 
 
+@query(
+    "r_film_list_rows",
+    f"""SELECT l_partkey AS film_id, s_name || ' ' || n_name AS actor
+    FROM {_BRIDGE} JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey""",
+)
+def r_film_list_rows(t: Tables) -> DataFrame:
+    """The cast of every film as rows, of which the report makes lists."""
+    s = t.star
+    return rental.film_cast(s.film_actor(), s.actor(), hot_from=s.film_actor_lines())
+
+
 # ---- stock -----------------------------------------------------------------
 
 

@@ -107,20 +107,23 @@ def latest_per_key(t: Tables) -> DataFrame:
 @query(
     "stream_upsert",
     """SELECT 'driver' AS part, event_type AS id, 'driver ' || max(event_id) AS name FROM events GROUP BY event_type
-    UNION ALL SELECT 'user', CAST(user_id AS VARCHAR), 'user ' || max(event_id) FROM events GROUP BY user_id""",
+    UNION ALL SELECT 'user', CAST(user_id AS VARCHAR), 'user ' || max(event_id) FROM events GROUP BY user_id
+    UNION ALL SELECT 'ride', CAST(event_id AS VARCHAR), event_type FROM events""",
 )
 def stream_upsert(t: Tables) -> DataFrame:
-    """Payloads logged by a stream; drivers read after a compaction, users without one."""
+    """Payloads logged by a stream; drivers read after a compaction, users and rides without."""
     root = t.scratch("upsert")
     stream = _payload(ingest.table_stream(t.spark, t.sf_dir, "events"))
     upsert.log_changes(stream, root, t.scratch("upsert-state")).awaitTermination()
     schema = payload_schema()
     upsert.compact(t.spark, root, schema, "driver", [RIDE_KEYS["driver"]], "seq")
     out = []
-    for part in ("driver", "user"):
+    for part, name in (("driver", "name"), ("user", "name"), ("ride", "driver_uuid")):
         rows = upsert.current(t.spark, root, schema, part, [RIDE_KEYS[part]], "seq")
-        out.append(rows.select(F.lit(part).alias("part"), F.col(RIDE_KEYS[part]).alias("id"), "name"))
-    return out[0].unionAll(out[1])
+        out.append(
+            rows.select(F.lit(part).alias("part"), F.col(RIDE_KEYS[part]).alias("id"), F.col(name).alias("name"))
+        )
+    return out[0].unionAll(out[1]).unionAll(out[2])
 
 
 @query(

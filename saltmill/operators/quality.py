@@ -17,7 +17,7 @@ def _report(df: DataFrame, table: str, rule: str, key: Column, n: Column) -> Dat
 
 
 def _key_text(keys: list[str]) -> Column:
-    return F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    return F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
 
 
 def check_not_null(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
@@ -29,8 +29,9 @@ def check_not_null(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
 
 
 def check_unique(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
-    """Keys that occur more than once."""
-    found = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    """Keys that occur more than once; a key with a NULL in it passes, as in a unique index."""
+    whole = df.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    found = whole.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     return _report(found, table, f"unique({', '.join(keys)})", _key_text(keys), F.col("_n"))
 
 
@@ -68,6 +69,32 @@ def check_enum(df: DataFrame, table: str, col: str, values: list[str]) -> DataFr
     return check_where(df, table, f"enum({col})", col, F.col(col).isin(*values))
 
 
+def check_values(
+    df: DataFrame,
+    table: str,
+    required: list[str],
+    ranges: dict[str, tuple] | None = None,
+    enums: dict[str, list[str]] | None = None,
+) -> DataFrame:
+    """NULLs, ranges and enums of a table in one scan and one aggregation.
+
+    A row gives an entry per rule it breaks; entries are counted per rule and value. The
+    rows are those of the single checks.
+    """
+    rules = [("not_null", F.lit(c), F.col(c).isNull()) for c in required]
+    for c, (low, high) in (ranges or {}).items():
+        rules.append((f"range({c})", F.col(c), ~F.col(c).between(F.lit(low), F.lit(high))))
+    for c, values in (enums or {}).items():
+        rules.append((f"enum({c})", F.col(c), ~F.col(c).isin(*values)))
+    entries = [
+        F.when(broken, F.struct(F.lit(rule).alias("rule"), key.cast("string").alias("_k")))
+        for rule, key, broken in rules
+    ]
+    broken = F.filter(F.array(*entries), lambda x: x.isNotNull())
+    found = df.select(F.inline(broken)).groupBy("rule", "_k").agg(F.count(F.lit(1)).alias("_n"))
+    return found.select(F.lit(table).alias("table"), "rule", F.col("_k").alias("key"), F.col("_n").alias("n"))
+
+
 def summarize(violations: DataFrame) -> DataFrame:
     """Broken keys and rows per table and rule."""
     return violations.groupBy("table", "rule").agg(

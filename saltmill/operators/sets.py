@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Copies of one row emitted by one task before the work is spread further.
 COPIES_PER_TASK = 100_000
@@ -43,3 +43,14 @@ def all_users(riders: DataFrame, drivers: DataFrame) -> DataFrame:
         F.col("driver_uuid").alias("user_uuid"), "name", "surname", F.lit(True).alias("is_driver")
     )
     return riders.select("user_uuid", "name", "surname", "is_driver").unionByName(recast)
+
+
+def text_key(text: str) -> Column:
+    """A 256-bit hash that stands for a long text as a key; NULL for NULL."""
+    return F.unhex(F.sha2(text, 256))
+
+
+def distinct_texts(df: DataFrame, text: str) -> DataFrame:
+    """Distinct rows; the long text column is compared and sorted by its hash."""
+    rest = [c for c in df.columns if c != text]
+    return df.withColumn("_text", text_key(text)).dropDuplicates(["_text", *rest]).drop("_text")

@@ -75,6 +75,32 @@ def quantiles(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
     return _sketches(df, [col]).select(F.inline(F.array(*entries)))
 
 
+def rank_errors(df: DataFrame, found: DataFrame, col: str) -> DataFrame:
+    """``found`` (prob, value) with the share of values below and up to each value, and ``error``:
+    how far the probability lies outside of that span. One pass; NULLs are left out.
+
+    ``found`` is a handful of rows and is read by the driver.
+    """
+    probes = [(r["prob"], r["value"]) for r in found.select("prob", "value").collect()]
+    x = F.col(col).cast("double")
+    counts = [F.count(x).alias("n")]
+    for i, (_, v) in enumerate(probes):
+        value = F.lit(v).cast("double")
+        counts += [F.count_if(x < value).alias(f"b{i}"), F.count_if(x <= value).alias(f"u{i}")]
+    entries = [
+        F.struct(
+            F.lit(p).alias("prob"),
+            F.lit(v).cast("double").alias("value"),
+            (F.col(f"b{i}") / F.nullif("n", F.lit(0))).alias("below"),
+            (F.col(f"u{i}") / F.nullif("n", F.lit(0))).alias("upto"),
+        )
+        for i, (p, v) in enumerate(probes)
+    ]
+    spans = df.agg(*counts).select(F.inline(F.array(*entries)))
+    error = F.greatest(F.lit(0.0), F.col("below") - F.col("prob"), F.col("prob") - F.col("upto"))
+    return spans.withColumn("error", error)
+
+
 def corr_clean(df: DataFrame, a: str, b: str, name: str = "corr") -> DataFrame:
     """Pearson correlation over rows where both values are present."""
     return df.agg(F.corr(a, b).alias(name))

@@ -8,6 +8,7 @@ from ..functions.dates import month_start_back, whole_days_over
 from ..functions.strings import capitalize, group_concat, pg_concat
 from ..operators.joins import hot_join, small_join, unmatched
 from ..operators.ranking import first_per_key, top_k
+from ..session import materialize
 from ..sources.paths import children, exists
 
 # ---- facts, combined per item before any join ------------------------------
@@ -134,6 +135,20 @@ def films_without_items(film: DataFrame, inventory: DataFrame) -> DataFrame:
     return unmatched(film.select("film_id", "title"), inventory, "film_id").select("title")
 
 
+def actor_titles(
+    film_actor: DataFrame,
+    film_category: DataFrame,
+    category: DataFrame,
+    film: DataFrame,
+    hot_from: DataFrame | None = None,
+) -> DataFrame:
+    """The rows under ``actor_info``: (film_id, actor_id, title, category_id, name)."""
+    films = film.select("film_id", "title").join(film_category.select("film_id", "category_id"), "film_id")
+    # Written once: the size check and the join read the result.
+    films = materialize(small_join(films, category.select("category_id", "name"), "category_id"), "films")
+    return small_join(film_actor.select("actor_id", "film_id"), films, "film_id", hot_from=hot_from)
+
+
 def actor_info(
     actor: DataFrame,
     film_actor: DataFrame,
@@ -143,17 +158,27 @@ def actor_info(
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """``category: title, title`` pieces per actor; NULL for an actor without films."""
-    films = film.select("film_id", "title").join(film_category.select("film_id", "category_id"), "film_id")
-    films = small_join(films, category.select("category_id", "name"), "category_id")
-    cast = small_join(
-        film_actor.select("actor_id", "film_id"), films, "film_id", rows_of=film_category, hot_from=hot_from
-    )
-    titles = group_concat(cast, ["actor_id", "category_id", "name"], "title", "titles")
+    cast = actor_titles(film_actor, film_category, category, film, hot_from)
+    titles = group_concat(cast, ["actor_id", "category_id", "name"], "title", "titles", count_copies=False)
     pieces = titles.select("actor_id", F.concat("name", F.lit(": "), "titles").alias("piece"))
-    info = group_concat(pieces, ["actor_id"], "piece", "film_info", distinct=True)
+    info = group_concat(pieces, ["actor_id"], "piece", "film_info", distinct=True, count_copies=False)
     return actor.select("actor_id", "first_name", "last_name").join(info, "actor_id", "left")
 
 
+def film_cast(
+    film_actor: DataFrame, actor: DataFrame, nice: bool = False, hot_from: DataFrame | None = None
+) -> DataFrame:
+    """The rows under ``film_list``: (film_id, actor), a row per actor of a film."""
+    if nice:
+        name = F.concat(capitalize("first_name"), capitalize("last_name"))
+    else:
+        name = F.concat("first_name", F.lit(" "), "last_name")
+    # Written once: the size check and the join read the result.
+    names = materialize(actor.select("actor_id", name.alias("actor")), "cast-names")
+    cast = small_join(film_actor.select("film_id", "actor_id"), names, "actor_id", hot_from=hot_from)
+    return cast.select("film_id", "actor")
+
+
 def film_list(
     film: DataFrame,
     film_category: DataFrame,
@@ -167,13 +192,8 @@ def film_list(
 
     ``nice`` writes names with a capital and no blank between first and last name.
     """
-    if nice:
-        name = F.concat(capitalize("first_name"), capitalize("last_name"))
-    else:
-        name = F.concat("first_name", F.lit(" "), "last_name")
-    names = actor.select("actor_id", name.alias("_name"))
-    cast = small_join(film_actor.select("film_id", "actor_id"), names, "actor_id", hot_from=hot_from)
-    actors = group_concat(cast, ["film_id"], "_name", "actors")
+    cast = film_cast(film_actor, actor, nice, hot_from)
+    actors = group_concat(cast, ["film_id"], "actor", "actors", count_copies=False)
     films = film.select(
         "film_id", "title", "description", F.col("rental_rate").alias("price"), "length", "rating"
     )
@@ -342,10 +362,11 @@ def balance(
 
     ``items`` has inventory_id, rental_rate, rental_duration (and replacement_cost,
     charged on top for items overdue by more than twice the allowed days, if asked for).
-    Fees and payments go through one aggregation instead of three joined ones.
-    ``hot_from`` is a cheaper table with the inventory ids, see ``hot_join``.
+    Fees and payments go through one aggregation instead of three joined ones. Items that
+    fit are broadcast, so the rentals are not shuffled for them; ``hot_from`` is a cheaper
+    table with the inventory ids for the other case, see ``hot_join``.
     """
-    rented = hot_join(
+    rented = small_join(
         rental.where(F.col("rental_date") <= as_of).select(
             "customer_id", "inventory_id", "rental_date", "return_date"
         ),

@@ -5,7 +5,7 @@ Fixed values: column names, types, keys and bounds that stored data must match.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .operators import quality
 
@@ -107,6 +107,10 @@ DEFAULTS = {
     "film": {"rental_duration": 3, "rental_rate": "4.99", "replacement_cost": "19.99", "rating": "G"},
     "staff": {"active": True},
 }
+# Columns that default to the day of the write.
+TODAY = {"customer": ["create_date"]}
+RANGES = {"film": {"release_year": YEARS}}
+ENUMS = {"film": {"rating": RATINGS}}
 
 
 def rental_schema(table: str) -> T.StructType:
@@ -123,27 +127,37 @@ def payload_schema() -> T.StructType:
     return T.StructType([*parts, T.StructField("seq", T.LongType(), False)])
 
 
-def typed_defaults(table: str) -> dict:
-    """Defaults of a table in its column types."""
-    from pyspark.sql import functions as F
+def typed_defaults(table: str, as_of: Column | None = None) -> dict[str, Column]:
+    """Defaults of a table in its column types.
 
+    The time of the write is a default too (``last_update``, and today for CURRENT_DATE);
+    it is ``as_of``, so that a run can be repeated. Without it those columns have none.
+    """
     schema = rental_schema(table)
-    return {c: F.lit(v).cast(schema[c].dataType) for c, v in DEFAULTS.get(table, {}).items()}
+    given = {c: F.lit(v) for c, v in DEFAULTS.get(table, {}).items()}
+    if as_of is not None:
+        given |= {c: as_of for c in ["last_update", *TODAY.get(table, [])] if c in schema.names}
+    return {c: v.cast(schema[c].dataType) for c, v in given.items()}
 
 
 def check_rental(tables: dict[str, DataFrame]) -> DataFrame:
-    """All declared rules over the given rental tables, as violation rows."""
+    """All declared rules over the given rental tables, as violation rows.
+
+    Rules on values are checked in one scan per table; columns a table does not have are
+    left out.
+    """
     found = []
     for name, df in tables.items():
         required = [f.name for f in rental_schema(name) if not f.nullable and f.name in df.columns]
-        found.append(quality.check_not_null(df, name, required))
-        found += [quality.check_unique(df, name, keys) for keys in UNIQUE[name]]
+        ranges = {c: r for c, r in RANGES.get(name, {}).items() if c in df.columns}
+        enums = {c: v for c, v in ENUMS.get(name, {}).items() if c in df.columns}
+        found.append(quality.check_values(df, name, required, ranges, enums))
+        found += [
+            quality.check_unique(df, name, keys) for keys in UNIQUE[name] if set(keys) <= set(df.columns)
+        ]
     for child, col, parent, parent_col in FOREIGN_KEYS:
-        if child in tables and parent in tables:
+        if child in tables and parent in tables and col in tables[child].columns:
             found.append(quality.check_fk(tables[child], child, col, tables[parent], parent_col))
-    if "film" in tables:
-        found.append(quality.check_range(tables["film"], "film", "release_year", *YEARS))
-        found.append(quality.check_enum(tables["film"], "film", "rating", RATINGS))
     out = found[0]
     for f in found[1:]:
         out = out.unionAll(f)

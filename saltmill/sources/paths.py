@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,13 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def remove_older(spark: SparkSession, path: str, seconds: float) -> bool:
+    """Delete a folder last changed more than ``seconds`` ago; True if it was deleted."""
+    fs, p = _fs(spark, path)
+    changed = fs.getFileStatus(p).getModificationTime() / 1000
+    return time.time() - changed > seconds and bool(fs.delete(p, True))
+
+
 def under(base: str, path: str) -> str:
     """``path`` inside ``base``: leading and trailing slashes go, ``..`` is refused."""
     parts = [p for p in path.split("/") if p]

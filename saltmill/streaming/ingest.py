@@ -73,13 +73,18 @@ def write_batches(
     return writer.trigger(**trigger).start()
 
 
-def read_batches(spark: SparkSession, out_dir: str, schema: T.StructType) -> DataFrame:
-    """All written batches with ``batch_id``, ``rejected`` and ``_corrupt``."""
+def read_batches(
+    spark: SparkSession, out_dir: str, schema: T.StructType, batches: list[int] | None = None
+) -> DataFrame:
+    """Written batches (all, or those listed) with ``batch_id``, ``rejected`` and ``_corrupt``."""
     extra = [(CORRUPT, T.StringType()), ("batch_id", T.LongType()), ("rejected", T.BooleanType())]
     full = T.StructType([*schema.fields, *[T.StructField(n, t) for n, t in extra]])
-    if not children(spark, out_dir):
+    if not (children(spark, out_dir) if batches is None else batches):
         return spark.createDataFrame([], full)
-    return spark.read.schema(full).parquet(out_dir)
+    read = spark.read.schema(full).option("basePath", out_dir)
+    if batches is None:
+        return read.parquet(out_dir)
+    return read.parquet(*[f"{out_dir}/batch_id={b}" for b in batches])
 
 
 def ingest_stream(

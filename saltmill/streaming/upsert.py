@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.ranking import first_per_key
-from ..sources.paths import children, exists
+from ..sources.paths import children, exists, remove_older
 from .ingest import CORRUPT, read_batches, write_batches
 
 
@@ -44,11 +44,20 @@ def log_changes(stream: DataFrame, root: str, checkpoint: str, every: str | None
 def changes(
     spark: SparkSession, root: str, schema: T.StructType, after: int = -1, upto: int | None = None
 ) -> DataFrame:
-    """Logged rows of the batches past ``after``, up to ``upto``; other folders are not read."""
-    rows = read_batches(spark, f"{root}/changes", schema).where(
-        ~F.col("rejected") & (F.col("batch_id") > after)
-    )
-    return rows if upto is None else rows.where(F.col("batch_id") <= upto)
+    """Logged rows of the complete batches past ``after``, up to ``upto``; other folders, and
+    a batch that is being written or was left half done, are not read."""
+    done = [b for b in complete_batches(spark, root, after) if upto is None or b <= upto]
+    return read_batches(spark, f"{root}/changes", schema, done).where(~F.col("rejected"))
+
+
+def complete_batches(spark: SparkSession, root: str, after: int = -1) -> list[int]:
+    """Numbers past ``after`` of the batches that were written to the end.
+
+    The list is as long as the time since the last ``trim`` makes it.
+    """
+    base = f"{root}/changes"
+    ids = [int(d.removeprefix("batch_id=")) for d in children(spark, base) if d.startswith("batch_id=")]
+    return sorted(b for b in ids if b > after and exists(spark, f"{base}/batch_id={b}/_SUCCESS"))
 
 
 def newest_snapshot(spark: SparkSession, root: str, name: str) -> int | None:
@@ -84,19 +93,35 @@ def current(
 def compact(
     spark: SparkSession, root: str, schema: T.StructType, part: str, keys: list[str], seq: str
 ) -> int | None:
-    """Write a new snapshot up to the last complete batch; old folders are left alone."""
-    ids = [
-        int(d.removeprefix("batch_id="))
-        for d in children(spark, f"{root}/changes")
-        if d.startswith("batch_id=") and exists(spark, f"{root}/changes/{d}/_SUCCESS")
-    ]
+    """Write a new snapshot up to the last complete batch; old folders wait for ``trim``.
+
+    Returns the number of the newest snapshot, None if there is nothing to write.
+    """
+    snap = newest_snapshot(spark, root, part)
+    ids = complete_batches(spark, root, -1 if snap is None else snap)
     if not ids:
-        return None
-    upto, snap = max(ids), newest_snapshot(spark, root, part)
-    if snap is None or upto > snap:
-        rows = current(spark, root, schema, part, keys, seq, upto)
-        rows.write.mode("overwrite").parquet(f"{root}/snapshots/{part}/upto={upto}")
-    return upto
+        return snap
+    rows = current(spark, root, schema, part, keys, seq, ids[-1])
+    rows.write.mode("overwrite").parquet(f"{root}/snapshots/{part}/upto={ids[-1]}")
+    return ids[-1]
+
+
+def trim(spark: SparkSession, root: str, parts: list[str], grace_seconds: float) -> list[str]:
+    """Delete what no reader needs: batches that the newest snapshots of all ``parts`` hold, and
+    older snapshots. Returns the folders deleted.
+
+    Folders younger than ``grace_seconds`` stay, for readers that have listed them; the grace
+    must be longer than any read. A part without a snapshot keeps all batches.
+    """
+    newest = {p: newest_snapshot(spark, root, p) for p in parts}
+    if not parts or any(n is None for n in newest.values()):
+        return []
+    held = min(newest.values())
+    doomed = [f"{root}/changes/batch_id={b}" for b in complete_batches(spark, root) if b <= held]
+    for p, n in newest.items():
+        names = [d for d in children(spark, f"{root}/snapshots/{p}") if d.startswith("upto=")]
+        doomed += [f"{root}/snapshots/{p}/{d}" for d in names if int(d.removeprefix("upto=")) < n]
+    return [d for d in doomed if remove_older(spark, d, grace_seconds)]
 
 
 def merge_touch(

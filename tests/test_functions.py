@@ -26,6 +26,9 @@ def test_group_concat(spark):
     df = spark.createDataFrame(data, "k int, v string")
     assert rows(strings.group_concat(df, ["k"], "v", "c")) == [(1, "a, b, b"), (2, None), (3, "it's")]
     assert rows(strings.group_concat(df, ["k"], "v", "c", distinct=True)) == [(1, "a, b"), (2, None), (3, "it's")]
+    for distinct, text in ((False, "a, b, b"), (True, "a, b")):
+        got = strings.group_concat(df, ["k"], "v", "c", distinct=distinct, count_copies=False)
+        assert rows(got) == [(1, text), (2, None), (3, "it's")]
     assert rows(strings.group_concat(df, ["k"], "v", "c", sep="'|\\")) == [(1, "a'|\\b'|\\b"), (2, None), (3, "it's")]
 
 

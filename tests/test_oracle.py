@@ -8,8 +8,7 @@ import __spark_entry__ as entry_points
 from oracle import compare, connect
 from saltmill.catalog import ORACLES, QUERIES
 
-# Sketch results depend on the merge order: no SQL, see test_stats.
-WITHOUT_SQL = {"summary_cols", "approx_quantiles"}
+WITHOUT_SQL: set[str] = set()
 
 
 @pytest.fixture(scope="module")

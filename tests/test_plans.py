@@ -44,13 +44,37 @@ def test_scans_read_only_used_columns(spark, sf_dir):
 
 
 def test_facts_are_combined_before_joins(spark, sf_dir, no_broadcast):
-    for name in ("topk_category_revenue", "join_chain", "cte_join", "agg_two_level"):
+    for name in ("topk_category_revenue", "join_chain", "agg_two_level"):
         plan = _plan(QUERIES[name](spark, sf_dir))
         deepest = plan.splitlines()
         scan = next(i for i, line in enumerate(deepest) if re.search(r"FileScan parquet \[.*(l_partkey|o_custkey)", line))
         assert any("HashAggregate" in line and "partial" in line for line in deepest[scan - 4 : scan]), name
 
 
+def test_fees_shuffle_the_fact_once(spark, sf_dir, no_broadcast):
+    for name in ("r_balance", "overdue_days"):
+        plan = _plan(QUERIES[name](spark, sf_dir))
+        # Lines meet their order by shuffle, and their item by a checked broadcast.
+        assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1, name
+        assert len(re.findall(r"Exchange hashpartitioning\((rental_id|l_orderkey|o_orderkey)", plan)) <= 2, name
+
+
+def test_chosen_parts_filter_lines_before_the_count(spark, sf_dir, no_broadcast):
+    plan = _plan(QUERIES["cte_join"](spark, sf_dir))
+    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in plan
+
+
+def test_texts_are_keyed_by_hash(spark, sf_dir):
+    for name in ("distinct_rows", "dedup_subset"):
+        plan = _plan(QUERIES[name](spark, sf_dir))
+        assert re.search(r"hashpartitioning\(_text", plan) and not re.search(r"hashpartitioning\(text", plan), name
+
+
+def test_report_lists_need_few_shuffles(spark, sf_dir, no_broadcast):
+    for name in ("r_actor_info", "r_film_list", "r_film_list_nice"):
+        assert _plan(QUERIES[name](spark, sf_dir)).count("Exchange hashpartitioning") <= 6, name
+
+
 def test_top_k_does_not_sort_the_table(spark, sf_dir):
     assert "TakeOrderedAndProject" in _plan(QUERIES["topk_actors"](spark, sf_dir))
 

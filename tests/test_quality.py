@@ -26,8 +26,33 @@ def test_unique(spark):
     df = spark.createDataFrame([(1, "x"), (1, "x"), (1, "y"), (None, "z"), (None, "z")], "a int, b string")
     assert rows(quality.check_unique(df, "t", ["a", "b"])) == [
         ("t", "unique(a, b)", "1|x", 2),
-        ("t", "unique(a, b)", "NULL|z", 2),
     ]
+    named = spark.createDataFrame([("NULL", 1), ("NULL", 1), (None, 1), (None, 1)], "a string, b int")
+    assert rows(quality.check_unique(named, "t", ["a", "b"])) == [("t", "unique(a, b)", "NULL|1", 2)]
+
+
+def test_values_in_one_pass(spark):
+    df = spark.createDataFrame([(1900, "G"), (1901, "X"), (2155, None), (2156, "G"), (None, "X")], "y int, r string")
+    single = (
+        quality.check_not_null(df, "f", ["y", "r"])
+        .unionAll(quality.check_range(df, "f", "y", *schemas.YEARS))
+        .unionAll(quality.check_enum(df, "f", "r", schemas.RATINGS))
+    )
+    whole = quality.check_values(df, "f", ["y", "r"], {"y": schemas.YEARS}, {"r": schemas.RATINGS})
+    assert rows(whole) == rows(single) and len(rows(whole)) == 5
+    plan = whole._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[0].count("Scan") == 1
+
+
+def test_time_defaults_come_from_outside(spark):
+    as_of = F.lit("2022-02-03 04:05:06").cast("timestamp")
+    empty = spark.createDataFrame([(None, None, None)], "activebool boolean, create_date date, last_update timestamp")
+    row = quality.apply_defaults(empty, schemas.typed_defaults("customer", as_of)).first()
+    assert (row["activebool"], str(row["create_date"]), str(row["last_update"])) == (
+        True, "2022-02-03", "2022-02-03 04:05:06",
+    )
+    assert set(schemas.typed_defaults("customer")) == {"activebool"}
+    assert set(schemas.typed_defaults("actor", as_of)) == {"last_update"}
 
 
 def test_foreign_key_lets_null_pass(child, parent):

@@ -114,6 +114,34 @@ def test_half_written_batch_is_replaced(feed, spark):
     assert feed.now("ride") == [("r1", 1.0)]
 
 
+def test_unfinished_batch_is_not_read(feed, spark):
+    feed.poll(_payload(1, "r1", "d1", "u1"))
+    feed.run()
+    half = spark.createDataFrame([_payload(8, "x", "x", "x")], log_schema())
+    half.write.parquet(f"{feed.base}/log/changes/batch_id=1/rejected=false")
+    assert feed.now("ride") == [("r1", 1.0)] and feed.compact("ride") == 0
+    assert feed.now("ride") == [("r1", 1.0)]
+
+
+def test_trim_keeps_what_readers_need(feed, spark):
+    log = f"{feed.base}/log"
+    for i in range(3):
+        feed.poll(_payload(i, f"r{i}", "d1", "u1"))
+        feed.run()
+        feed.compact("ride")
+    before = {p: feed.now(p) for p in PARTS}
+    assert upsert.trim(spark, log, ["ride", "driver"], 0) == []
+    feed.compact("driver")
+    feed.compact("user")
+    feed.poll(_payload(9, "r9", "d9", "u9"))
+    feed.run()
+    assert upsert.trim(spark, log, list(PARTS), 3600) == []
+    gone = upsert.trim(spark, log, list(PARTS), -1)
+    assert sorted(os.listdir(f"{log}/changes")) == ["batch_id=3"] and len(gone) == 5
+    assert os.listdir(f"{log}/snapshots/ride") == ["upto=2"]
+    assert {p: [r for r in feed.now(p) if r[0] not in ("r9", "d9", "u9")] for p in PARTS} == before
+
+
 def test_current_of_an_empty_log(feed):
     assert feed.now("ride") == [] and feed.compact("ride") is None
 
