@@ -184,9 +184,84 @@ def labelled_outcomes(pages: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-@query("op3_url_filter")
+def _level_sql(name: str, groups: str, parent: str) -> str:
+    """One level of the shrinkage: its strength, and the parameters a and b."""
+    return f"""
+{name}_p as (select *, {parent} as parent from {groups}),
+{name}_k as (
+  select least(1000, greatest(2, coalesce(
+    case when s <= 1.0 / 1001 then 1000 else 1 / s - 1 end, 1000))) as k
+  from (
+    select (sum(n * (bad / n - parent) * (bad / n - parent)) - sum(parent * (1 - parent)))
+      / nullif(sum((n - 1) * parent * (1 - parent)), 0) as s
+    from {name}_p where n > 0
+  )
+),
+{name} as (select *, bad + k * parent as a, n - bad + k * (1 - parent) as b from {name}_p, {name}_k)"""
+
+
+@query(
+    "op3_url_filter",
+    sql=rf"""
+with rest as (
+  select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest
+  from pages
+),
+hosts as (select page_id, rest, regexp_extract(rest, '^[^/?#]*') as raw from rest),
+p as (
+  select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') as path
+  from hosts
+),
+graded as (select doc_id, min(quality) as quality from labels where quality is not null group by doc_id),
+outcomes as (
+  select host, count(*) as n, count(*) filter (quality = 0) as bad
+  from (select host, regexp_extract(path, '/([0-9]{{1,18}})(?:\.html)?/?$', 1) as number from p) x
+  join graded on number <> '' and try_cast(number as bigint) = doc_id
+  group by host
+),
+labels_of as (
+  select host, string_split(regexp_replace(host, ':\d*$', ''), '.') as l,
+    coalesce(n, 0)::double as n, coalesce(bad, 0)::double as bad
+  from (select distinct host from p) left join outcomes using (host)
+),
+named as (
+  select host, n, bad, array_to_string(l[greatest(1, len(l) - m) : len(l)], '.') as domain,
+    array_to_string(l[greatest(1, len(l) - m + 1) : len(l)], '.') as suffix
+  from (
+    select *, case when array_to_string(l[greatest(1, len(l) - 1) : len(l)], '.')
+      in ({', '.join(f"'{x}'" for x in TWO_LABEL_SUFFIXES)}) then 2 else 1 end as m
+    from labels_of
+  )
+),
+domains as (select domain, suffix, sum(n) as n, sum(bad) as bad from named group by domain, suffix),
+suffixes as (select suffix, sum(n) as n, sum(bad) as bad from domains group by suffix),
+{_level_sql("s", "suffixes", "(select (coalesce(sum(bad), 0) + 1) / (coalesce(sum(n), 0) + 2) from suffixes)")},
+dm as (select domains.*, s.a / (s.a + s.b) as up from domains join s using (suffix)),
+{_level_sql("d", "dm", "up")},
+hm as (select named.*, d.a / (d.a + d.b) as up from named join d using (domain)),
+{_level_sql("h", "hm", "up")},
+judged as (
+  select page_id, p.host, path, cast(n as bigint) as host_labels, a / (a + b) as bad_rate,
+    a / (a + b) - 1.645 * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) as bad_bound,
+    case when (p.host = 'example.org' or p.host like '%.example.org') and path like '/en/1%' then 'example.org/en/1'
+      when (p.host = 'example.org' or p.host like '%.example.org') and path like '/es/%' then 'example.org/es/'
+      when (p.host = 'com' or p.host like '%.com') and path like '/fr/%' then 'com/fr/'
+      when (p.host = 'com' or p.host like '%.com') and path like '/de/%' then 'com/de/'
+      when (p.host = 'org' or p.host like '%.org') and path like '/%' then 'org/' end as rule
+  from p join h using (host)
+)
+select page_id, host, path, rule,
+  case when rule in ('org/', 'com/fr/') then 'allow' when rule is not null then 'block'
+    when bad_bound > 0.5 then 'block' else 'allow' end as verdict,
+  host_labels, round(bad_rate, 6) as bad_rate, round(bad_bound, 6) as bad_bound
+from judged
+""",
+)
 def op3_url_filter(load) -> DataFrame:
     """Every page; outcomes from the quality labels of the documents that pages show."""
     pages = load("pages")
     outcomes = materialize(labelled_outcomes(pages, load("labels")), "url-outcomes")
-    return judge(pages, outcomes, RULES)
+    return judge(pages, outcomes, RULES).withColumns(
+        {c: F.round(c, 6) for c in ("bad_rate", "bad_bound")}
+    )
