@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from functools import cache
@@ -65,12 +67,19 @@ def scratch(spark: SparkSession, label: str) -> str:
 
 @cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="saltmill-")
+    """A folder for this process, deleted when it ends."""
+    folder = tempfile.mkdtemp(prefix="saltmill-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write once to the scratch folder and read back: cuts lineage, survives lost executors."""
+    """Write once to the scratch folder and read back: cuts lineage, survives lost executors.
+
+    Zstandard instead of Spark's default: smaller, and its writers hold no direct buffers,
+    which pile up outside of the heap over many short writes.
+    """
     spark = df.sparkSession
     path = scratch(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
