@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from ..session import tune
 
@@ -58,6 +58,34 @@ def remainder(id_column: str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.col(id_column).cast("string")), F.lit(modulus))
 
 
+def hashed_sample(rows: DataFrame, group: str, key: str, k: int, max_groups: int) -> DataFrame:
+    """At most ``k`` rows per group, the first by a hash of ``key``; ``max_groups`` groups at most.
+
+    Groups are counted first, and rows thinned by their hash to about 4 k per group before they
+    meet, so what a task ranks does not grow with the table. The hash of a key is the same in
+    every run. NULL groups and keys are left out; rows of one key are taken together or not
+    at all, up to the bound.
+    """
+    rows = rows.where(F.col(group).isNotNull() & F.col(key).isNotNull())
+    # One row per group, max_groups at most.
+    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), group)
+    share = {r[0]: min(1.0, 4 * k / r["n"]) for r in counts.limit(max_groups).collect()}
+    if not share:
+        return rows.limit(0)
+    shares = F.create_map(*[F.lit(x) for pair in share.items() for x in pair])
+    place = F.xxhash64(F.lit("sample"), F.col(key))
+    # The upper 32 bits of the hash as a number from 0 to 1.
+    part = F.shiftrightunsigned(place, 32) / F.lit(float(1 << 32))
+    first = Window.partitionBy(group).orderBy("_place", key)
+    return (
+        rows.where(part < F.coalesce(F.try_element_at(shares, F.col(group)), F.lit(0.0)))
+        .withColumn("_place", place)
+        .withColumn("_rank", F.row_number().over(first))
+        .where(F.col("_rank") <= k)
+        .drop("_place", "_rank")
+    )
+
+
 def map_rows(df: DataFrame, fn: Callable[..., list], schema: str, setup: Callable | None = None):
     """Apply ``fn(*column values) -> tuple`` to every row in Arrow batches.
 

@@ -7,7 +7,7 @@ back to fit a temperature and the rejection bar: the lowest confidence above whi
 ``precision`` of the kept-back rows are right.
 
 Training reads a bounded sample (``per_language`` rows of each language, the first by a hash of
-the id, texts of at most ``train_chars`` characters); prediction reads every whole text.
+the id; of those the texts of at most ``train_chars`` characters); prediction reads every whole text.
 
 NULL text, or text without a letter, is ``und``, with score 0, and rejected. Rows without a
 language or id do not train. Repeated rows get equal results. Without any labelled row every
@@ -20,9 +20,9 @@ from collections.abc import Callable
 
 import numpy as np
 import regex
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import map_rows, pick, remainder
+from .common import hashed_sample, map_rows, pick, remainder
 from .registry import query
 
 BUCKETS = 1 << 15
@@ -159,21 +159,12 @@ def train(
     lang_column: str = "lang",
 ) -> Model:
     """Fit on the rows where ``trains`` (on doc_id) holds; see the module for the sample."""
-    rows = pick(docs, doc_id=id_column, text=text_column, lang=lang_column).where(
-        trains & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()
-        & F.length("text").between(1, train_chars)
-    )
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    # Only ids go through the window, and at most per_language of a task and language.
-    ids = (
-        rows.select("lang", "doc_id", F.xxhash64("text").alias("text"))
-        .withColumn("rank", F.row_number().over(first))
-        .where(F.col("rank") <= per_language)
-        .select("lang", "doc_id")
-        .limit(per_language * max_languages)
-        .distinct()
-    )
-    sample = rows.join(F.broadcast(ids), ["lang", "doc_id"]).select("text", "lang", "doc_id")
+    rows = pick(docs, doc_id=id_column, text=text_column, lang=lang_column)
+    ids = hashed_sample(rows.where(trains).select("lang", "doc_id"), "lang", "doc_id", per_language, max_languages)
+    # At most per_language ids of max_languages languages.
+    ids = F.broadcast(ids.distinct())
+    sample = rows.where(F.length("text").between(1, train_chars)).join(ids, ["lang", "doc_id"])
+    sample = sample.select("text", "lang", "doc_id").limit(2 * per_language * max_languages)
     sample = sorted((r["doc_id"], r["text"], r["lang"]) for r in sample.collect())
     return fit([(text, lang) for _, text, lang in sample], precision)
 

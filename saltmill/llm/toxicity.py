@@ -6,7 +6,7 @@ trained from document labels alone, so the sentences that carry a label are foun
 and the worst ones are reported.
 
 Training reads a bounded sample (``per_class`` labelled rows of each class, the first by a hash
-of the id, texts of at most ``train_chars`` characters); scoring reads every whole text.
+of the id; of those the texts of at most ``train_chars`` characters); scoring reads every whole text.
 
 NULL and empty texts have no sentence and score 0. Unlabelled rows and rows without an id do not
 train. Repeated rows get equal results. Without labels, or with one class only, all scores are
@@ -20,9 +20,9 @@ import re
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import map_rows, pick, remainder
+from .common import hashed_sample, map_rows, pick, remainder
 from .registry import query
 
 # Ends of sentences; a long stretch without one is cut into sentences of this many words.
@@ -132,12 +132,11 @@ def train(
     )
     # Several labels of one document: toxic if any says so.
     graded = graded.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    first = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = graded.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_class)
-    # At most two classes of per_class ids.
-    chosen = F.broadcast(chosen.select("doc_id", "toxic"))
+    # At most per_class ids of two classes.
+    chosen = F.broadcast(hashed_sample(graded, "toxic", "doc_id", per_class, 2))
     texts = pick(docs, doc_id=id_column, text=text_column)
     texts = texts.where(F.length("text").between(1, train_chars)).join(chosen, "doc_id")
+    texts = texts.limit(4 * per_class)
     rows = sorted((r["doc_id"], r["text"], r["toxic"]) for r in texts.collect())
     return fit([(text, toxic) for _, text, toxic in rows])
 

@@ -49,6 +49,16 @@ def test_line_dedup_with_hot_lines(spark, monkeypatch):
     test_line_dedup(spark)
 
 
+def test_hashed_sample_is_bounded_and_the_same(spark):
+    rows = spark.range(5000).select(F.when(F.col("id") % 10 == 0, "b").when(F.col("id") > 5, "a").alias("g"), "id")
+    got = common.hashed_sample(rows, "g", "id", 100, 5)
+    assert dict(map(tuple, got.groupBy("g").count().collect())) == {"a": 100, "b": 100}
+    again = common.hashed_sample(rows.repartition(7), "g", "id", 100, 5)
+    assert bag(got, "g", "id") == bag(again, "g", "id")
+    assert common.hashed_sample(rows, "g", "id", 9999, 1).count() == rows.where("g = 'a'").count()
+    assert common.hashed_sample(rows.limit(0), "g", "id", 5, 5).count() == 0
+
+
 # Secret scan
 
 KEY = "token = 'Zk81jfKQ02mdPw77qLx0'"
