@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -45,7 +46,12 @@ def merge_group() -> Column:
 
 
 def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list[int]:
-    """Hashes of the keys holding at least ``share`` of the rows (about 1 / share at most).
+    """Hashes of the keys holding at least ``share`` of the rows (about 1 / share at most)."""
+    return list(hot_shares(df, keys, share))
+
+
+def hot_shares(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> dict[int, float]:
+    """The same, each with its share of the rows.
 
     One pass over the key columns with a mergeable sketch: no shuffle by key.
     A key missed or added by the sketch changes the balance, never the result.
@@ -65,7 +71,7 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> list[i
         total += group["n"]
         for item, n in group["top"]:
             seen[item] += n
-    return [h for h, n in seen.most_common(limit) if n >= total * share]
+    return {h: n / total for h, n in seen.most_common(limit) if n >= total * share}
 
 
 def hot_join(
@@ -76,9 +82,10 @@ def hot_join(
     salts: int | None = None,
     hot_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi-join whose hot left keys are spread over ``salts`` tasks.
+    """Equi-join whose hot left keys are spread over several tasks.
 
-    Left rows of a hot key get a salt from a hash of the whole row and of the task
+    A hot key gets salts by its share of the rows, two at least, ``salts`` (the number of
+    shuffle partitions) for half of the rows or more. Left rows of a hot key get a salt from a hash of the whole row and of the task
     they come from, so equal rows are spread too and a retry gives the same salt;
     the matching right rows are repeated once per salt. Without a hot key this is a
     plain join. ``right`` should have few rows per key (a dimension, or an aggregate).
@@ -96,17 +103,16 @@ def hot_join(
             raise TypeError(f"join key {k}: {a.simpleString()} against {b.simpleString()}")
     if how in ("left_semi", "left_anti"):
         right = right.select(*keys).distinct()
-    hot = hot_keys(left if hot_from is None else hot_from, keys)
+    hot = hot_shares(left if hot_from is None else hot_from, keys)
     if not hot:
         return left.join(right, keys, how)
     salts = salts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    is_hot = F.xxhash64(*keys).isin(hot)
-    row_salt = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
-    all_salts = F.sequence(F.lit(0), F.lit(salts - 1))
-    salted_left = left.withColumn("_salt", F.when(is_hot, row_salt).otherwise(F.lit(0)))
-    salted_right = right.withColumn(
-        "_salt", F.explode(F.when(is_hot, all_salts).otherwise(F.array(F.lit(0))))
-    )
+    of_key = {h: max(2, min(salts, math.ceil(2 * share * salts))) for h, share in hot.items()}
+    table = F.create_map(*[F.lit(x) for pair in of_key.items() for x in pair])
+    key_salts = F.coalesce(F.try_element_at(table, F.xxhash64(*keys)), F.lit(1))
+    row_salt = F.pmod(F.xxhash64(*left.columns, F.spark_partition_id()), key_salts)
+    salted_left = left.withColumn("_salt", row_salt.cast("int"))
+    salted_right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), key_salts - 1)))
     return salted_left.join(salted_right, keys + ["_salt"], how).drop("_salt")
 
 

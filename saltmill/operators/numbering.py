@@ -37,7 +37,11 @@ def number_rows(df: DataFrame, order: list[str | Column], name: str, start: int
 
 
 def assign_ids(df: DataFrame, id_col: str, order: list[str | Column]) -> DataFrame:
-    """Fill NULL ids with max(id) + 1, max(id) + 2, ... in ``order``; given ids stay."""
+    """Fill NULL ids with max(id) + 1, max(id) + 2, ... in ``order``; given ids stay.
+
+    The input is written once, so that one that is not stable cannot give an id twice.
+    """
+    df = materialize(df, "assign-ids")
     top = df.agg(F.max(id_col)).first()[0] or 0
     missing = number_rows(df.where(F.col(id_col).isNull()).drop(id_col), order, id_col, top + 1)
     given = df.where(F.col(id_col).isNotNull())
