@@ -25,10 +25,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import hashed_sample, map_rows, pick, remainder
 from .registry import query
 
-# Ends of sentences; a long stretch without one is cut into sentences of this many words.
+# Ends of sentences. Shorter parts are joined to the next one ("NO!! WAY!! EVER!!" is not three
+# sentences), and a long stretch without an end is cut.
 _SENTENCE = re.compile(r"[.!?\n]+")
 _WORD = re.compile(r"[^\W\d_]+")
-SENTENCE_WORDS = 40
+LEAST_WORDS, SENTENCE_WORDS = 5, 40
 PREFIXES = (4, 5, 6)
 # A feature needs this many training documents; a task remembers this many words.
 LEAST_DOCS = 4
@@ -37,11 +38,13 @@ MEMORY = 500_000
 
 def sentences(text: str | None) -> list[list[str]]:
     """Words of each sentence, in lower case; sentences without words are left out."""
-    out = []
+    out, words = [], []
     for part in _SENTENCE.split(text.lower()) if text else ():
-        words = _WORD.findall(part)
-        out += [words[i : i + SENTENCE_WORDS] for i in range(0, len(words), SENTENCE_WORDS)]
-    return out
+        words += _WORD.findall(part)
+        if len(words) >= LEAST_WORDS:
+            out += [words[i : i + SENTENCE_WORDS] for i in range(0, len(words), SENTENCE_WORDS)]
+            words = []
+    return [*out, words] if words else out
 
 
 def features(word: str) -> list[str]:
@@ -75,7 +78,7 @@ def noisy_or(p: list[float]) -> float:
     return -math.expm1(sum(math.log1p(-min(x, 1 - 1e-12)) for x in p)) if p else 0.0
 
 
-def fit(rows: list[tuple[str, int]], epochs: int = 150, l1: float = 2e-4) -> Model:
+def fit(rows: list[tuple[str, int]], epochs: int = 300, l1: float = 4e-4) -> Model:
     """Train on (text, label) rows by proximal gradient steps with momentum (Adam)."""
     bags = [(sentences(t), y) for t, y in rows]
     bags = [(s, y) for s, y in bags if s]
@@ -95,7 +98,8 @@ def fit(rows: list[tuple[str, int]], epochs: int = 150, l1: float = 2e-4) -> Mod
     y = np.array([t for _, t in bags], dtype=float)
     # Both classes weigh the same, so a rare class is not drowned.
     weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
-    w, bias = np.zeros(len(names)), -math.log(len(doc) / len(bags)) - 2.0
+    # A document of many plain sentences starts out as clean as one of few.
+    w, bias = np.zeros(len(names)), -math.log(np.bincount(doc).max()) - 2.0
     m, v, mb, vb = np.zeros(len(names)), np.zeros(len(names)), 0.0, 0.0
     for step in range(1, epochs + 1):
         rate = 0.1 * (1 - step / (epochs + 1)) + 0.002

@@ -464,7 +464,7 @@ def test_toxicity(spark, docs, no_docs):
     model = toxicity.fit(rows)
     assert np.mean([(model.score(t) >= 0.5) == y for t, y in rows]) > 0.97
     # Only the document's label was given, but the sentence is found.
-    text = "the day was fine. you vile thing. and so on"
+    text = "the long day was just fine. you are a vile thing. and so it went on"
     found = toxicity.score(fixtures.table(spark, [(1, text)]), model).first()
     assert found["score"] >= 0.5 and found["sentence"] == [1]
     got = toxicity.score(docs, model).collect()
