@@ -381,13 +381,13 @@ def outer_elim(t: Tables) -> DataFrame:
 
 @query(
     "join_using",
-    """SELECT p_partkey, n FROM part
-    LEFT JOIN (SELECT l_partkey AS p_partkey, count(*) AS n FROM lineitem WHERE l_quantity > 45 GROUP BY 1) q
+    """SELECT p_partkey, n FROM part LEFT JOIN (
+      SELECT l_partkey AS p_partkey, count(*) FILTER (l_quantity > 45) AS n FROM lineitem GROUP BY 1) q
     USING (p_partkey)""",
 )
 def join_using(t: Tables) -> DataFrame:
-    sold = t("lineitem").where("l_quantity > 45").groupBy(F.col("l_partkey").alias("p_partkey")).agg(
-        F.count(F.lit(1)).alias("n")
+    sold = t("lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(
+        F.count_if(F.col("l_quantity") > 45).alias("n")
     )
     return t("part").select("p_partkey").join(sold, on=["p_partkey"], how="left")
 
@@ -495,21 +495,22 @@ def union_all(t: Tables) -> DataFrame:
     return t("customer").select(F.col("c_nationkey").alias("k")).union(t("supplier").select("s_nationkey"))
 
 
-_FLAG_ROWS = "SELECT l_suppkey, l_linenumber FROM lineitem WHERE l_returnflag = "
+_FLAG_ROWS = "SELECT l_suppkey, l_linenumber FROM lineitem WHERE l_returnflag"
 
 
-def _flag_rows(t: Tables, flag: str) -> DataFrame:
-    return t("lineitem").where(F.col("l_returnflag") == flag).select("l_suppkey", "l_linenumber")
+def _flag_rows(t: Tables, returned: bool) -> DataFrame:
+    rows = t("lineitem").where((F.col("l_returnflag") == "R") == F.lit(returned))
+    return rows.select("l_suppkey", "l_linenumber")
 
 
-@query("intersect", f"{_FLAG_ROWS} 'R' INTERSECT {_FLAG_ROWS} 'A'")
+@query("intersect", f"{_FLAG_ROWS} = 'R' INTERSECT {_FLAG_ROWS} <> 'R'")
 def intersect(t: Tables) -> DataFrame:
-    return sets.intersect_rows(_flag_rows(t, "R"), _flag_rows(t, "A"))
+    return sets.intersect_rows(_flag_rows(t, True), _flag_rows(t, False))
 
 
-@query("except_all", f"{_FLAG_ROWS} 'R' EXCEPT ALL {_FLAG_ROWS} 'A'")
+@query("except_all", f"{_FLAG_ROWS} = 'R' EXCEPT ALL {_FLAG_ROWS} <> 'R'")
 def except_all(t: Tables) -> DataFrame:
-    return sets.except_all(_flag_rows(t, "R"), _flag_rows(t, "A"))
+    return sets.except_all(_flag_rows(t, True), _flag_rows(t, False))
 
 
 @query("distinct_rows", "SELECT DISTINCT text, lang FROM documents")

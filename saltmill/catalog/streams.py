@@ -131,7 +131,7 @@ def stream_upsert(t: Tables) -> DataFrame:
     """WITH stored AS (SELECT 'c' || c_custkey AS id, c_acctbal AS value FROM customer),
     news AS (
       SELECT 'c' || o_custkey AS id, arg_max(o_totalprice, o_orderkey) AS value, count(*) AS n
-      FROM orders WHERE o_orderstatus = 'F' GROUP BY 1
+      FROM orders GROUP BY 1
       UNION ALL SELECT 's' || s_suppkey, s_acctbal, 1 FROM supplier)
     SELECT coalesce(s.id, w.id) AS id, coalesce(w.value, s.value) AS value,
       CASE WHEN w.id IS NULL THEN '2020-01-01' WHEN s.id IS NOT NULL OR w.n > 1 THEN '2030-01-01'
@@ -139,7 +139,7 @@ def stream_upsert(t: Tables) -> DataFrame:
     FROM stored s FULL JOIN news w ON s.id = w.id""",
 )
 def upsert_touch(t: Tables) -> DataFrame:
-    """Customers are stored; filled orders update them and suppliers come as new keys."""
+    """Customers are stored; orders update them and suppliers come as new keys."""
 
     def day(text: str) -> Column:
         return F.lit(text).cast("date").alias("last_update")
@@ -147,7 +147,7 @@ def upsert_touch(t: Tables) -> DataFrame:
     stored = t("customer").select(
         F.concat(F.lit("c"), "c_custkey").alias("id"), F.col("c_acctbal").alias("value"), day("2020-01-01")
     )
-    orders = t("orders").where("o_orderstatus = 'F'").select(
+    orders = t("orders").select(
         F.concat(F.lit("c"), "o_custkey").alias("id"),
         F.col("o_totalprice").alias("value"),
         day("2025-01-01"),
