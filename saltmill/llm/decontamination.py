@@ -7,9 +7,10 @@ document that holds the window holds it. Documents are joined with the prefixes;
 must leave room for the whole window before and after the word (positional and length bounds)
 and is then compared with the window as a whole.
 
-The benchmark is the query set: it is joined in blocks of at most ``block`` windows, each
-broadcast after a check of its size, against all documents; a benchmark of any size is
-handled, at one pass over the documents per block. A block is at most BLOCK_BYTES of words.
+The benchmark is the query set: it is joined in blocks of at most ``block`` windows and
+BLOCK_BYTES of words, each broadcast, against all documents; a benchmark of any size is handled,
+at one pass over the documents per block. Which items hold a window is looked up after the
+join, by the hash of the set of items, so that many items with one passage cost nothing there.
 
 NULL text has no words and no hits. NULL items have no windows. Windows equal in several items
 belong to all of them, a NULL item id counts as no id. Repeated documents are told apart by a
@@ -32,7 +33,8 @@ BLOCK_BYTES = 64 << 20
 
 
 def item_windows(items: DataFrame, window: int, id_column: str, text_column: str) -> DataFrame:
-    """Distinct windows: the words as a phrase, their number, and the items that hold them."""
+    """Distinct windows: the words as a phrase, their number, the items that hold them, and
+    ``set``, a name for these items."""
     words = words_of(lower_ascii(F.col("text")), PLAIN_WORD)
     rows = pick(items, item_id=id_column, text=text_column).select("item_id", words.alias("w"))
     rows = rows.where(F.size("w") > 0).withColumn(
@@ -40,9 +42,10 @@ def item_windows(items: DataFrame, window: int, id_column: str, text_column: str
     )
     words = F.slice("w", F.col("i"), F.lit(window))
     rows = rows.select("item_id", F.array_join(words, " ").alias("phrase"), F.size(words).alias("length"))
-    return rows.groupBy("phrase", "length").agg(
+    windows = rows.groupBy("phrase", "length").agg(
         F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items")
     )
+    return windows.withColumn("set", F.xxhash64("items"))
 
 
 def with_prefix(windows: DataFrame, docs: DataFrame) -> DataFrame:
@@ -52,7 +55,7 @@ def with_prefix(windows: DataFrame, docs: DataFrame) -> DataFrame:
     the benchmark are counted, so the counts are no larger than its vocabulary.
     """
     each = windows.select(
-        "phrase", "length", "items", F.posexplode(F.split(F.lower("phrase"), " ")).alias("place", "word")
+        "phrase", "length", "set", F.posexplode(F.split(F.lower("phrase"), " ")).alias("place", "word")
     )
     vocabulary = each.select("word").distinct()
     found = docs.select(F.explode(words_of(F.col("text"), PLAIN_WORD)).alias("raw"))
@@ -63,7 +66,7 @@ def with_prefix(windows: DataFrame, docs: DataFrame) -> DataFrame:
     # Ties go to the word itself, then to the first place.
     order = Window.partitionBy("phrase").orderBy(F.coalesce("n", F.lit(0)), "word", "place")
     ranked = each.join(counts, "word", "left").withColumn("rank", F.row_number().over(order))
-    return ranked.where("rank = 1").select("phrase", "length", "items", F.col("word").alias("prefix"), "place")
+    return ranked.where("rank = 1").select("phrase", "length", "set", F.col("word").alias("prefix"), "place")
 
 
 def find_windows(
@@ -77,17 +80,22 @@ def find_windows(
     item_text_column: str = "text",
 ) -> DataFrame:
     """Every occurrence: doc_id, row hash ``th``, first word (from 0), length and items."""
-    texts = _texts(docs, id_column, text_column)
     windows = materialize(item_windows(items, window, item_column, item_text_column), "bench-windows")
+    hits = _find(_texts(docs, id_column, text_column), windows, block)
+    return hits.join(_item_sets(windows), "set").drop("set")
+
+
+def _item_sets(windows: DataFrame) -> DataFrame:
+    return windows.groupBy("set").agg(F.min("items").alias("items"))
+
+
+def _find(texts: DataFrame, windows: DataFrame, block: int) -> DataFrame:
+    """Every occurrence: doc_id, th, first, length and the name of the set of items."""
     prefixes = materialize(with_prefix(windows, texts), "bench-prefixes")
-    n_blocks = -(-max(1, prefixes.count()) // block)
-    while n_blocks > 1 or not fits(prefixes.limit(block), block, BLOCK_BYTES):
-        sizes = prefixes.groupBy(F.pmod(F.xxhash64("phrase"), F.lit(n_blocks)).alias("b")).agg(
-            F.sum(F.octet_length(F.concat_ws(" ", "phrase", "items")) + 64).alias("size")
-        )
-        if (sizes.agg(F.max("size")).first()[0] or 0) <= BLOCK_BYTES:
-            break
-        n_blocks *= 2
+    size = F.octet_length("phrase") + F.octet_length("prefix") + 64
+    total = prefixes.agg(F.count(F.lit(1)).alias("n"), F.sum(size).alias("size")).first()
+    # Blocks are dealt by hash, so they are about equal; half of the bound leaves room.
+    n_blocks = max(1, -(-total["n"] // block), -(-2 * (total["size"] or 0) // BLOCK_BYTES))
     number = F.pmod(F.xxhash64("phrase"), F.lit(n_blocks))
     found = [_hits(texts, prefixes.where(number == b)) for b in range(n_blocks)]
     out = found[0]
@@ -116,7 +124,7 @@ def _hits(texts: DataFrame, prefixes: DataFrame) -> DataFrame:
     )
     found = F.array_join(F.slice("w", start + 1, F.col("length")), " ")
     return candidates.where(lower_ascii(found) == F.col("phrase")).select(
-        "doc_id", "th", start.alias("first"), "length", "items"
+        "doc_id", "th", start.alias("first"), "length", "set"
     )
 
 
@@ -130,13 +138,10 @@ def contamination(
     item_text_column: str = "text",
 ) -> DataFrame:
     """One row per document: words, words hit, and the ids of the items found (sorted texts)."""
-    hits = find_windows(
-        docs, items, window, BLOCK, id_column, text_column, item_column, item_text_column
-    )
-    per_doc = _per_document(hits)
-    texts = _texts(docs, id_column, text_column).select(
-        "doc_id", "th", count_words(F.col("text"), PLAIN_WORD).alias("n_words")
-    )
+    windows = materialize(item_windows(items, window, item_column, item_text_column), "bench-windows")
+    texts = _texts(docs, id_column, text_column)
+    per_doc = _per_document(_find(texts, windows, BLOCK), _item_sets(windows))
+    texts = texts.select("doc_id", "th", count_words(F.col("text"), PLAIN_WORD).alias("n_words"))
     same = texts["doc_id"].eqNullSafe(per_doc["doc_id"]) & (texts["th"] == per_doc["th"])
     return texts.join(per_doc, same, "left").select(
         texts["doc_id"],
@@ -146,8 +151,9 @@ def contamination(
     )
 
 
-def _per_document(hits: DataFrame) -> DataFrame:
-    """Hits of a document are merged: at most one place per word and window length."""
+def _per_document(hits: DataFrame, sets: DataFrame) -> DataFrame:
+    """Hits of a document are merged: at most one place per word and window length, and each
+    set of items once."""
     covered = F.expr("""
         aggregate(places, named_struct('n', 0L, 'to', 0), (a, x) -> named_struct(
           'n', a.n + greatest(x.first + x.length - greatest(x.first, a.to), 0),
@@ -155,9 +161,13 @@ def _per_document(hits: DataFrame) -> DataFrame:
     """)
     places = hits.groupBy("doc_id", "th").agg(
         F.array_sort(F.collect_set(F.struct("first", "length"))).alias("places"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
+        F.collect_set("set").alias("sets"),
+    )
+    each = places.select("doc_id", "th", covered.alias("n_hit"), F.explode("sets").alias("set"))
+    return each.join(sets, "set").groupBy("doc_id", "th").agg(
+        F.first("n_hit").alias("n_hit"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
     )
-    return places.select("doc_id", "th", covered.alias("n_hit"), "items")
 
 
 def clean(
@@ -170,9 +180,8 @@ def clean(
     item_text_column: str = "text",
 ) -> DataFrame:
     """The rows of ``docs``, all columns, in which no window occurs."""
-    hits = find_windows(
-        docs, items, window, BLOCK, id_column, text_column, item_column, item_text_column
-    )
+    windows = materialize(item_windows(items, window, item_column, item_text_column), "bench-windows")
+    hits = _find(_texts(docs, id_column, text_column), windows, BLOCK)
     hit = hits.groupBy(F.col("doc_id").alias("_hit_id"), F.col("th").alias("_hit_th")).agg(
         F.count(F.lit(1)).alias("_hits")
     )

@@ -23,8 +23,8 @@ from .registry import query
 
 # Sources are a configured list, not data: more than this is taken for a mistake.
 MAX_SOURCES = 100_000
-# Shards are drawn on the driver.
-MAX_SHARDS = 4_096
+# Shards are drawn on the driver, with a count per shard and source.
+MAX_SHARDS, MAX_COUNTS = 4_096, 1_000_000
 # Packing units per corpus beside one per source: their table goes through the driver.
 MAX_UNITS = 16_384
 
@@ -184,7 +184,8 @@ def _slots(spark, sizes, targets, blocks, cap, seed) -> DataFrame:
         min(cap * b, round(t * b / s)) if s else 0
         for s, t, b in zip(sizes, targets, blocks, strict=True)
     ]
-    shards = int(min(MAX_SHARDS, max(16, sum(quotas) // 4096)))
+    most = min(MAX_SHARDS, MAX_COUNTS // max(1, len(quotas)))
+    shards = int(max(16, min(most, sum(quotas) // 4096)))
     counts = draw_shards(quotas, shards, seed)
     first = np.cumsum(counts, axis=0) - counts
     places = np.cumsum(counts, axis=1) - counts
