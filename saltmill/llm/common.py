@@ -34,6 +34,18 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(name) for name, c in columns.items()])
 
 
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names, with underscores in front where the table has such a column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def words_of(text: Column, pattern: str) -> Column:
     """Array of words; NULL text has none."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.joins import fits
 from ..session import materialize
-from .common import PLAIN_WORD, count_words, lower_ascii, pick, words_of
+from .common import PLAIN_WORD, count_words, free_names, lower_ascii, pick, words_of
 from .registry import query
 
 WINDOW = 10
@@ -182,13 +182,12 @@ def clean(
     """The rows of ``docs``, all columns, in which no window occurs."""
     windows = materialize(item_windows(items, window, item_column, item_text_column), "bench-windows")
     hits = _find(_texts(docs, id_column, text_column), windows, BLOCK)
-    hit = hits.groupBy(F.col("doc_id").alias("_hit_id"), F.col("th").alias("_hit_th")).agg(
-        F.count(F.lit(1)).alias("_hits")
+    id_, th = free_names(docs, "_id", "_th")
+    hit = hits.select(F.col("doc_id").alias(id_), F.col("th").alias(th)).distinct()
+    same = F.col(f"`{id_column}`").eqNullSafe(F.col(id_)) & (
+        F.xxhash64(F.col(f"`{text_column}`")) == F.col(th)
     )
-    same = F.col(f"`{id_column}`").eqNullSafe(F.col("_hit_id")) & (
-        F.xxhash64(F.col(f"`{text_column}`")) == F.col("_hit_th")
-    )
-    return docs.join(hit.drop("_hits").hint("shuffle_hash"), same, "left_anti")
+    return docs.join(hit.hint("shuffle_hash"), same, "left_anti")
 
 
 @query(

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
-from .common import SPACED_WORD, count_words, counted_join, pick, words_of
+from .common import SPACED_WORD, count_words, counted_join, free_names, pick, words_of
 from .registry import query
 
 
@@ -107,12 +107,17 @@ def dedup(
     min_words: int = 50,
     id_column: str = "doc_id",
     text_column: str = "text",
+    report: bool = True,
 ) -> DataFrame:
     """``docs``, all columns, with the later copies of repeated runs cut out of the text.
 
-    Three columns are added under names of their own: ``dedup_lines`` (lines deleted),
-    ``dedup_words`` (words deleted) and ``dedup_runs`` (stretches of line numbers, from 0).
+    With ``report`` three columns are added: ``dedup_lines`` (lines deleted), ``dedup_words``
+    (words deleted) and ``dedup_runs`` (stretches of line numbers, from 0). Where the table
+    has such a column, the new one gets an underscore in front.
     """
+    n_lines, n_words, stretches, id_, th, runs_ = free_names(
+        docs, "dedup_lines", "dedup_words", "dedup_runs", "_id", "_th", "_runs"
+    )
     texts = pick(docs, doc_id=id_column, text=text_column).where(F.col("text").isNotNull())
     texts = texts.select("doc_id", F.xxhash64("text").alias("th"), "text")
     runs = deleted_lines(texts, min_words)
@@ -124,33 +129,31 @@ def dedup(
             'first', element_at(a, -1).first, 'last', greatest(element_at(a, -1).last, x.last))))
           else concat(a, array(x)) end)
     """)
-    runs = runs.select(
-        F.col("doc_id").alias("_dedup_id"), F.col("th").alias("_dedup_th"), merged.alias("dedup_runs")
-    )
-    text, same = F.col(f"`{text_column}`"), F.col(f"`{id_column}`").eqNullSafe(F.col("_dedup_id"))
-    marked = docs.join(
-        runs.hint("shuffle_hash"), same & (F.xxhash64(text) == F.col("_dedup_th")), "left"
-    ).drop("_dedup_id", "_dedup_th")
+    runs = runs.select(F.col("doc_id").alias(id_), F.col("th").alias(th), merged.alias(runs_))
+    text = F.col(f"`{text_column}`")
+    same = F.col(f"`{id_column}`").eqNullSafe(F.col(id_)) & (F.xxhash64(text) == F.col(th))
+    marked = docs.join(runs.hint("shuffle_hash"), same, "left").drop(id_, th)
 
     def goes(line, i):
-        inside = F.exists("dedup_runs", lambda r: (r["first"] <= i) & (i <= r["last"]))
+        inside = F.exists(runs_, lambda r: (r["first"] <= i) & (i <= r["last"]))
         return inside & F.rlike(line, F.lit(SPACED_WORD))
 
-    lines = F.split(text, "\n")
+    lines, cut = F.split(text, "\n"), F.col(runs_).isNotNull()
+    left = F.array_join(F.filter(lines, lambda x, i: ~goes(x, i)), "\n")
+    columns = [
+        F.when(cut, left).otherwise(text).alias(c) if c == text_column else F.col(f"`{c}`")
+        for c in docs.columns
+    ]
+    if not report:
+        return marked.select(*columns)
     gone = F.filter(lines, goes)
-    cut = F.col("dedup_runs").isNotNull()
+    gone_words = F.size(words_of(F.array_join(gone, " "), SPACED_WORD))
+    none = F.array().cast("array<struct<first: int, last: int>>")
     return marked.select(
-        *[
-            F.when(cut, F.array_join(F.filter(lines, lambda x, i: ~goes(x, i)), "\n"))
-            .otherwise(text)
-            .alias(c)
-            if c == text_column
-            else F.col(f"`{c}`")
-            for c in docs.columns
-        ],
-        F.when(cut, F.size(gone)).otherwise(0).cast("long").alias("dedup_lines"),
-        F.when(cut, F.size(words_of(F.array_join(gone, " "), SPACED_WORD))).otherwise(0).cast("long").alias("dedup_words"),
-        F.coalesce("dedup_runs", F.array().cast("array<struct<first: int, last: int>>")).alias("dedup_runs"),
+        *columns,
+        F.when(cut, F.size(gone)).otherwise(0).cast("long").alias(n_lines),
+        F.when(cut, gone_words).otherwise(0).cast("long").alias(n_words),
+        F.coalesce(runs_, none).alias(stretches),
     )
 
 

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
-from .common import map_rows, pick
+from .common import free_names, map_rows, pick
 from .components import components
 from .registry import query
 
@@ -296,7 +296,8 @@ def near_duplicates(
 ) -> tuple[DataFrame, DataFrame]:
     """(membership, links).
 
-    Membership: per row doc_id, th (hash of the text), n_shingles, class and component_id.
+    Membership: per row doc_id, th (hash of the text), n_shingles, class, group (NULL if no other
+    row belongs to it) and component_id.
     Links: pairs (u, v) of classes at or above the threshold that join the components.
     """
     signed = materialize(sign(docs, id_column, text_column), "dedup-signed")
@@ -310,13 +311,15 @@ def near_duplicates(
         F.sum("copies").alias("copies"),
     )
     # Only groups of several rows need a look-up; the others are named by their own id.
+    # Only groups of several rows need a look-up; the others are named by their own id.
     groups = materialize(groups.where("copies > 1").drop("copies"), "dedup-groups")
-    named = materialize(
-        joined.select("class", "root").join(groups, "root").select("class", "component_id"), "dedup-names"
-    )
+    named = joined.select("class", "root").join(groups, "root").withColumnRenamed("root", "group")
+    named = materialize(named.select("class", "group", "component_id"), "dedup-names")
     rows = signed.select("doc_id", "th", F.col("n").alias("n_shingles"), "class")
     grouped = rows.where("class is not null").join(named, "class", "left")
-    alone = rows.where("class is null").withColumn("component_id", F.col("doc_id"))
+    alone = rows.where("class is null").withColumns(
+        {"group": F.lit(None).cast("long"), "component_id": F.col("doc_id")}
+    )
     members = grouped.unionByName(alone).withColumn(
         "component_id", F.coalesce("component_id", "doc_id")
     )
@@ -324,20 +327,29 @@ def near_duplicates(
 
 
 def survivors(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs``, all columns, with one document of each group: the one with the smallest id."""
+    """``docs``, all columns, with one document of each group: the one with the smallest id.
+
+    Of several rows with that id the one with the least text hash stays, of equal rows one.
+    Documents without words stay.
+    """
     members, _ = near_duplicates(docs, id_column, text_column)
+    members = members.where("group is not null").select("doc_id", "th", "group", "component_id")
     members = materialize(members, "dedup-members")
-    goes = members.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("_gone_id"), F.col("th").alias("_gone_th")
-    )
+    me = F.struct("doc_id", "th")
+    first = members.where("doc_id <=> component_id").groupBy("group").agg(F.min(me).alias("first"))
+    first = materialize(first, "dedup-first")
+    id_, th = free_names(docs, "_id", "_th")
+    names = [F.col("doc_id").alias(id_), F.col("th").alias(th)]
+    goes = members.join(first, "group").where(~me.eqNullSafe(F.col("first"))).select(*names).distinct()
     text, name = F.col(f"`{text_column}`"), F.col(f"`{id_column}`")
-    same = name.eqNullSafe(F.col("_gone_id")) & (F.xxhash64(text) == F.col("_gone_th"))
+    same = name.eqNullSafe(F.col(id_)) & (F.xxhash64(text) == F.col(th))
     kept = docs.join(goes.hint("shuffle_hash"), same, "left_anti")
-    # Rows equal in id and group are told apart by nothing; of those one stays too.
-    repeated = members.where("class is not null").groupBy("class", "doc_id").count().where("count > 1")
+    repeated = members.groupBy("doc_id", "th").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    repeated = materialize(repeated.select(*names), "dedup-repeated")
     if repeated.isEmpty():
         return kept
-    return kept.withColumn("_th", F.xxhash64(text)).dropDuplicates([id_column, "_th"]).drop("_th")
+    one = kept.join(repeated, same).drop(id_).dropDuplicates([id_column, th]).drop(th)
+    return kept.join(repeated, same, "left_anti").unionByName(one)
 
 
 @query("op10_minhash_dedup")

@@ -7,9 +7,10 @@ import random
 DOC_SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, "
     "key string, row bigint, th string, w string, n bigint, class string, kept boolean, "
-    "size string, _salt string, a string, b string, words string, prefix string, failed string"
+    "size string, _salt string, a string, b string, words string, prefix string, failed string, "
+    "_id string, _th string, _runs string, dedup_lines string, component_id string"
 )
-EXTRA = ("k", 1, "t", "w", 2, "c", True, "s", "x", "a", "b", "w", "p", "f")
+EXTRA = ("k", 1, "t", "w", 2, "c", True, "s", "x", "a", "b", "w", "p", "f", "i", "h", "r", "l", "d")
 
 
 def prose(seed, n, vocabulary=400):

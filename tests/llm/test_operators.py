@@ -384,9 +384,10 @@ def test_line_dedup(spark):
     rows = line_docs()
     table = fixtures.table(spark, rows)
     cut = line_dedup.dedup(table)
-    assert cut.columns == [*table.columns, "dedup_lines", "dedup_words", "dedup_runs"]
+    assert cut.columns == [*table.columns, "_dedup_lines", "dedup_words", "dedup_runs"]
+    assert line_dedup.dedup(table, report=False).columns == table.columns
     want = brute.cut_lines([d for d in rows if d[1] is not None])
-    assert bag(cut, "doc_id", "text", "dedup_lines", "dedup_words") == Counter(
+    assert bag(cut, "doc_id", "text", "_dedup_lines", "dedup_words") == Counter(
         (d[0], *(want[d] if d[1] is not None else (None, 0, 0))) for d in rows
     )
 
@@ -509,6 +510,9 @@ def near_docs():
             copy[k] = f"x{i}{k}"
         rows.append((i, " ".join(copy)))
     rows += [(400 + i, "four words only here" if i < 2 else "Four WORDS only\there") for i in range(3)]
+    # One id twice in one group, with other texts and with the same.
+    twice = " ".join(fixtures.prose(70, 90))
+    rows += [(500, twice), (500, twice + " end"), (501, twice), (502, "lone text"), (502, "lone text")]
     rng.shuffle(rows)
     return [(None if i is None else int(i), None if t is None else str(t)) for i, t in rows]
 
