@@ -11,6 +11,7 @@ empty table gives an empty result. Columns other than id and text are not read.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from functools import cache
 
 import ahocorasick
@@ -42,6 +43,7 @@ NOTICES = (
     ("all rights reserved", "reserved"),
 )
 CHARS_PER_EDIT = 10
+CELL = 64
 
 _TABLE = bytes(
     c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32
@@ -93,11 +95,15 @@ def fuzzy_finds(text: str, notices: tuple = NOTICES) -> list[tuple[int, int, int
             m = patterns[i].search(text, first, min(len(text), first + len(notice) + 3 * k))
             if m:
                 found[i, m.start(), m.end()] = sum(m.fuzzy_counts)
-    # Of overlapping finds those with the fewest edits stay, one per notice.
-    best = []
+    # Of overlapping finds those with the fewest edits stay, one per notice. Kept finds are
+    # looked up by place, so a text full of notices costs no more per find.
+    best, near = [], defaultdict(list)
     for (i, s, e), edits in sorted(found.items(), key=lambda x: (x[1], x[0])):
-        if not any(s < y and x < e and (j == i or least < edits) for j, x, y, least in best):
+        others = [b for cell in range(s // CELL, e // CELL + 1) for b in near[cell]]
+        if not any(s < y and x < e and (j == i or least < edits) for j, x, y, least in others):
             best.append((i, s, e, edits))
+            for cell in range(s // CELL, e // CELL + 1):
+                near[cell].append(best[-1])
     return sorted(best)
 
 

@@ -65,9 +65,13 @@ def find_spans(text: str | None) -> list[tuple[int, int, int, str]]:
             found.append((m.start(), m.end(), 0, m[2]))
     for kind in (1, 2):
         found += [(m.start(), m.end(), kind, m[0]) for m in _PATTERNS[kind].finditer(text)]
-    taken = sorted((s, e) for s, e, _, _ in found)
+    taken, at, reach = sorted((s, e) for s, e, _, _ in found), 0, 0
     for m in _PATTERNS[3].finditer(text):
-        if not any(s < m.end() and m.start() < e for s, e in taken):
+        # How far the finds reach that start before this token ends; tokens come in order.
+        while at < len(taken) and taken[at][0] < m.end():
+            reach = max(reach, taken[at][1])
+            at += 1
+        if reach <= m.start():
             found.append((m.start(), m.end(), 3, m[0]))
     return sorted(found)
 
