@@ -311,7 +311,6 @@ def near_duplicates(
         F.sum("copies").alias("copies"),
     )
     # Only groups of several rows need a look-up; the others are named by their own id.
-    # Only groups of several rows need a look-up; the others are named by their own id.
     groups = materialize(groups.where("copies > 1").drop("copies"), "dedup-groups")
     named = joined.select("class", "root").join(groups, "root").withColumnRenamed("root", "group")
     named = materialize(named.select("class", "group", "component_id"), "dedup-names")

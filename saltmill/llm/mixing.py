@@ -140,7 +140,7 @@ def mix(
     listed = sized.join(F.broadcast(sources), sized["source"].eqNullSafe(sources["source"])).drop(
         sources["source"]
     )
-    # A source is packed in units of equal hash ranges, so a large one is many tasks' work.
+    # A source is packed in units by a hash of the document, so a large one is many tasks' work.
     unit_words = max(1 << 20, total // MAX_UNITS + 1)
     n_units = F.greatest(F.lit(1), F.ceil(F.col("source_size") / F.lit(unit_words)))
     listed = listed.withColumn("unit", F.pmod(F.xxhash64("key"), n_units).cast("long"))
