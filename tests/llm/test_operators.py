@@ -563,3 +563,61 @@ def test_components(spark):
         root[y] = x
     assert got == {x: find(x) for x in root if find(x) != x}
     assert components.components(edges.limit(0)).count() == 0
+
+
+# All at once: documents put together at random from shared lines, passages and edits
+
+
+@pytest.fixture(scope="module", params=[1, 2])
+def random_docs(request):
+    rng = np.random.default_rng(request.param)
+    pool = [" ".join(fixtures.prose(1000 + i, int(rng.integers(1, 70)), 30)) for i in range(40)]
+    items = [(i, " ".join(fixtures.prose(2000 + i, int(rng.integers(3, 30)), 30))) for i in range(12)]
+    rows = []
+    for i in range(250):
+        if i > 20 and rng.random() < 0.4:
+            words = rows[int(rng.integers(len(rows)))][1].split(" ")
+            for _ in range(int(rng.integers(0, 8))):
+                words[int(rng.integers(len(words)))] = f"x{rng.integers(5)}"
+            text = " ".join(words)
+        else:
+            lines = [pool[int(k)] for k in rng.integers(0, len(pool), int(rng.integers(1, 9)))]
+            if rng.random() < 0.3:
+                lines.insert(0, items[int(rng.integers(len(items)))][1].upper())
+            if rng.random() < 0.3:
+                lines.append("")
+            text = "\n".join(lines)
+        rows.append((i, text))
+    return rows, items
+
+
+def test_random_line_dedup(spark, random_docs):
+    rows, _ = random_docs
+    want = brute.cut_lines(rows)
+    cut = line_dedup.dedup(fixtures.table(spark, rows), report=False)
+    assert bag(cut, "doc_id", "text") == Counter((d[0], want[d][0]) for d in rows)
+
+
+def test_random_contamination(spark, random_docs):
+    rows, items = random_docs
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = decontamination.contamination(fixtures.table(spark, rows), table).collect()
+    want = Counter()
+    for i, text in rows:
+        n, hit, found = brute.hits(text, items)
+        want[i, n, hit, tuple(sorted(map(str, found)))] += 1
+    assert Counter((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"])) for r in got) == want
+
+
+def test_random_near_duplicates(spark, random_docs):
+    rows, _ = random_docs
+    members, _ = minhash_dedup.near_duplicates(fixtures.table(spark, rows))
+    group, sizes = brute.near_groups([t for _, t in rows])
+    want = Counter((i, n, rows[g][0]) for (i, _), g, n in zip(rows, group, sizes, strict=True))
+    assert bag(members, "doc_id", "n_shingles", "component_id") == want
+
+
+def test_random_ledger(spark, random_docs):
+    rows, _ = random_docs
+    got = bag(quality_rules.ledger(fixtures.table(spark, rows)), "doc_id", "n_words", "n_repeat_words")
+    assert got == Counter((i, len(brute.spaced(t)), repeats(brute.spaced(t))) for i, t in rows)
