@@ -34,8 +34,13 @@ def small_star(edges: DataFrame) -> DataFrame:
     return materialize(links.distinct(), "small-star")
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _is_star_forest(edges: DataFrame) -> bool:
+    """True if every node has one root, and no root has a root: no step changes that."""
+    ends = edges.select("u", F.lit(1).alias("below"), F.lit(0).alias("above")).union(
+        edges.select("v", F.lit(0), F.lit(1))
+    )
+    nodes = ends.groupBy("u").agg(F.sum("below").alias("below"), F.max("above").alias("above"))
+    return nodes.where("below > 1 or (below = 1 and above = 1)").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -43,11 +48,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     ``edges`` has columns u and v of one type, u <> v, in any direction, and is a written table.
     """
-    before = _state(edges)
-    while before[0]:
+    while True:
         edges = small_star(large_star(edges))
-        after = _state(edges)
-        if after == before:
-            break
-        before = after
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+        if _is_star_forest(edges):
+            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
