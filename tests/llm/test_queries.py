@@ -8,7 +8,6 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 import brute
