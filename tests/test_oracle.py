@@ -9,7 +9,6 @@ from oracle import compare, connect
 from saltmill.catalog import ORACLES, QUERIES
 
 
-
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     return connect(sf_dir)
