@@ -3,8 +3,11 @@
 A text is the mean of the embeddings of its hashed character n-grams (one to three characters
 of a word between two blanks); a linear softmax gives the language. Embeddings and softmax are
 trained together by stochastic gradient descent in numpy. Part of the training rows is kept
-back to fit a temperature and the rejection bar: the lowest confidence above which at least
-``precision`` of the kept-back rows are right.
+back to fit a temperature and the rejection bar. The bar is the lowest confidence above which at
+least ``precision`` of the kept-back rows are right, and no lower than the confidence below which
+kept-back rows and letter noise (characters drawn from the kept-back texts, any label is wrong) are
+more often wrong than right; for noise at most a share of ``loss`` of the right rows is given up.
+With one language every confidence is 1, and only texts without a letter are rejected.
 
 Training reads a bounded sample (``per_language`` rows of each language, the first by a hash of
 the id; of those the texts of at most ``train_chars`` characters); prediction reads every whole text.
@@ -29,6 +32,8 @@ BUCKETS = 1 << 15
 WIDTH = 16
 ORDERS = (1, 2, 3)
 PIECE = 1 << 16
+# Rows of letter noise, and their length at most.
+NOISE_ROWS, NOISE_CHARS = 2_000, 2_000
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
 
@@ -86,7 +91,22 @@ def softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum()
 
 
-def fit(rows: list[tuple[str, str]], precision: float = 0.95, epochs: int = 8, seed: int = 5) -> Model:
+def letter_noise(texts: list[str], seed: int) -> list[str]:
+    """Texts as long as the given ones, at most NOISE_CHARS, of characters drawn from all of them."""
+    texts = [t[:NOISE_CHARS] for t in texts[:NOISE_ROWS] if _LETTER.search(t[:NOISE_CHARS])]
+    pool = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    rng = np.random.default_rng(seed)
+    drawn = (rng.choice(pool, len(t)).tobytes().decode("utf-32-le", "surrogatepass") for t in texts)
+    return [t for t in drawn if _LETTER.search(t)]
+
+
+def fit(
+    rows: list[tuple[str, str]],
+    precision: float = 0.95,
+    epochs: int = 8,
+    seed: int = 5,
+    loss: float = 0.01,
+) -> Model:
     """Train on (text, language) rows; every fifth row calibrates."""
     labels = sorted({lang for _, lang in rows})
     if not labels:
@@ -118,33 +138,59 @@ def fit(rows: list[tuple[str, str]], precision: float = 0.95, epochs: int = 8, s
             bias -= rate * 0.02 * gap
             emb[ids] -= rate * 5 * share[:, None] * back[None, :]
     model = Model(labels, emb @ out, bias)
-    _calibrate(model, kept, number, precision)
+    noise = letter_noise([t for t, _ in kept], seed)
+    _calibrate(model, kept, noise, number, precision, loss)
     return model
 
 
-def _calibrate(model: Model, kept: list, number: dict, precision: float) -> None:
+def _calibrate(
+    model: Model, kept: list, noise: list[str], number: dict, precision: float, loss: float
+) -> None:
     kept = [(model.scores(t), number[lang]) for t, lang in kept if t]
     if not kept:
         return
     z, y = np.array([s for s, _ in kept]), np.array([lang for _, lang in kept])
 
-    def confidences(t):
+    def confidences(z, t):
         e = np.exp((z - z.max(axis=1, keepdims=True)) / t)
         return e / e.sum(axis=1, keepdims=True)
 
+    # Rows that are all right would make any temperature too high, so a row's target is not quite 1.
+    spare = 1 / (len(y) + 2) / max(1, len(model.labels) - 1)
+    target = np.full(z.shape, spare)
+    target[np.arange(len(y)), y] = 1 - spare * (len(model.labels) - 1)
     grid = [2.0**x for x in np.arange(-6, 5, 0.25)]
-    loss = [-np.log(confidences(t)[np.arange(len(y)), y] + 1e-12).mean() for t in grid]
-    model.temperature = float(grid[int(np.argmin(loss))])
-    p = confidences(model.temperature)
-    best = p.max(axis=1)
+    misfit = [-(target * np.log(confidences(z, t) + 1e-12)).sum(axis=1).mean() for t in grid]
+    model.temperature = float(grid[int(np.argmin(misfit))])
+    p = confidences(z, model.temperature)
+    best, hit = p.max(axis=1), p.argmax(axis=1) == y
     order = np.argsort(-best)
-    right = np.cumsum(p.argmax(axis=1)[order] == y[order]) / np.arange(1, len(y) + 1)
+    right = np.cumsum(hit[order]) / np.arange(1, len(y) + 1)
     good = np.nonzero(right >= precision)[0]
-    # All kept-back rows above the bar are right often enough; if that holds for all, reject none.
+    # All kept-back rows above the bar are right often enough; if that holds for all, noise decides.
     if len(good) == 0:
         model.bar = float(best.max())
     elif good[-1] + 1 < len(y):
         model.bar = float(best[order][good[-1]])
+    if noise:
+        strange = confidences(np.array([model.scores(t) for t in noise]), model.temperature).max(axis=1)
+        model.bar = max(model.bar, _noise_bar(best, hit, strange, loss))
+
+
+def _noise_bar(best: np.ndarray, hit: np.ndarray, strange: np.ndarray, loss: float) -> float:
+    """Confidence with the most wrong rows less right ones below it; noise weighs as much as rows."""
+    values = np.concatenate([best, strange])
+    gains = np.concatenate([np.where(hit, -1.0, 1.0), np.full(len(strange), len(best) / len(strange))])
+    order = np.argsort(values)
+    values, gains = values[order], np.cumsum(gains[order])
+    # A bar stands between two values; equal ones are on one side.
+    ends = np.nonzero(np.append(values[1:] > values[:-1], False))[0]
+    if not len(ends) or gains[ends].max() <= 0:
+        return 0.0
+    at = ends[int(np.argmax(gains[ends]))]
+    bar = float(values[at] + values[at + 1]) / 2
+    sure = np.sort(best[hit])
+    return min(bar, float(sure[int(loss * len(sure))])) if len(sure) else bar
 
 
 def train(
@@ -154,6 +200,7 @@ def train(
     max_languages: int = 500,
     train_chars: int = 20_000,
     precision: float = 0.95,
+    loss: float = 0.01,
     id_column: str = "doc_id",
     text_column: str = "text",
     lang_column: str = "lang",
@@ -166,7 +213,7 @@ def train(
     sample = rows.where(F.length("text").between(1, train_chars)).join(ids, ["lang", "doc_id"])
     sample = sample.select("text", "lang", "doc_id").limit(2 * per_language * max_languages)
     sample = sorted((r["doc_id"], r["text"], r["lang"]) for r in sample.collect())
-    return fit([(text, lang) for _, text, lang in sample], precision)
+    return fit([(text, lang) for _, text, lang in sample], precision, loss=loss)
 
 
 def identify(

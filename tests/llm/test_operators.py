@@ -348,6 +348,26 @@ def test_rejection_is_calibrated():
     assert sum(rejected for *_, rejected in mixed) > 50
 
 
+def test_clean_corpus_rejects_what_is_no_language():
+    rng = np.random.default_rng(2)
+    syllables = {"xx": ["ka", "lo", "mi"], "yy": ["gru", "esch", "unt"], "zz": ["pod", "vek", "ryn"]}
+
+    def text(parts):
+        return " ".join("".join(rng.choice(parts, 3)) for _ in range(40))
+
+    model = language_id.fit([(text(parts), lang) for lang, parts in syllables.items() for _ in range(80)])
+    assert 0 < model.bar < 1
+    own = [model.predict(text(parts)) for parts in syllables.values() for _ in range(50)]
+    assert sum(rejected for *_, rejected in own) <= 0.03 * len(own)
+    letters = list("abcdefghijklmnopqrstuvwxyz   ")
+    noise = [model.predict("".join(rng.choice(letters, 250))) for _ in range(50)]
+    assert sum(rejected for *_, rejected in noise) >= 45
+    other = [model.predict(text(["baf", "hux", "jiw"])) for _ in range(50)]
+    assert sum(rejected for *_, rejected in other) >= 45
+    halves = [model.predict(text(syllables["xx"]) + " " + text(syllables["yy"])) for _ in range(50)]
+    assert sum(rejected for *_, rejected in halves) > sum(rejected for *_, rejected in own)
+
+
 def test_no_labels_are_unknown(docs, no_docs):
     model = language_id.train(no_docs, F.lit(True))
     assert {r["lang_pred"] for r in language_id.identify(docs, model).collect()} == {"und"}
