@@ -3,6 +3,8 @@
 Texts are cut into lower-case words joined by single blanks. A notice may differ by ``k``
 edits, so of its k + 1 equal pieces one must occur exactly: an automaton of all pieces finds
 these seeds, and around each seed the regex library matches the notice with at most k errors.
+The name that tells a notice from those of other licences ("mit", "lesser", "nc") may differ by at
+most half of its characters, and must not be the name of another licence.
 Finds carry their label, word span and number of edits.
 
 NULL text has no words. Every row is judged by itself: repeated rows get equal results. An
@@ -41,6 +43,17 @@ NOTICES = (
     ("subject to the terms of the mozilla public license", "mpl"),
     ("dedicated to the public domain", "public-domain"),
     ("all rights reserved", "reserved"),
+    ("licensed under the bsd license", "bsd"),
+    ("released under the bsd license", "bsd"),
+    ("licensed under the isc license", "isc"),
+    ("licensed under the gpl license", "gpl"),
+    ("licensed under the gnu affero general public license", "agpl"),
+    ("licensed under cc by nd 4 0", "cc-by-nd"),
+)
+# Words that tell a notice from those of other licences, and further names that are none of ours.
+NAMES = frozenset("affero apache bsd gpl isc lesser mit mozilla nc nd sa".split())
+OTHER_NAMES = NAMES | frozenset(
+    "afl agpl apsl bsl cddl cpl eclipse ecl epl eupl lgpl library lppl mpl ncsa nokia npl ofl osl upl wtfpl zlib".split()
 )
 CHARS_PER_EDIT = 10
 CELL = 64
@@ -67,6 +80,40 @@ def pieces(notice: str) -> list[tuple[int, str]]:
     return [(a, notice[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+def name_of(notice: str) -> str | None:
+    return next((w for w in notice.split() if w in NAMES), None)
+
+
+def _pattern(notice: str) -> str:
+    """The notice with its name as the group ``name``, if it has one."""
+    name = name_of(notice)
+    return " ".join(f"(?P<name>{w})" if w == name else regex.escape(w) for w in notice.split())
+
+
+def edits_between(a: str, b: str) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
+def _named(notice: str, text: str, m) -> bool:
+    """The match holds the notice's own name, with edits, and no other licence's."""
+    name = name_of(notice)
+    if name is None:
+        return True
+    s, e = m.span("name")
+    # Blanks do not count: "M.I.T." has the words "m i t".
+    if edits_between(name, text[s:e].replace(" ", "")) > max(1, len(name) // 2):
+        return False
+    # Edits beside the name can hide a part of the word ("lgpl" for "gpl"): whole words are looked up.
+    first, end = text.rfind(" ", 0, s + 1) + 1, text.find(" ", e)
+    words = text[first : end if end >= 0 else len(text)].split()
+    return not any(w != name and w in OTHER_NAMES for w in words)
+
+
 @cache
 def _tools(notices: tuple):
     seeds: dict[str, list] = {}
@@ -78,8 +125,7 @@ def _tools(notices: tuple):
         automaton.add_word(piece, (len(piece), places))
     automaton.make_automaton()
     patterns = [
-        regex.compile(f"(?be)(?:{regex.escape(n, literal_spaces=True)}){{e<={edits_allowed(n)}}}")
-        for n, _ in notices
+        regex.compile(f"(?be)(?:{_pattern(n)}){{e<={edits_allowed(n)}}}") for n, _ in notices
     ]
     return automaton, patterns
 
@@ -93,7 +139,7 @@ def fuzzy_finds(text: str, notices: tuple = NOTICES) -> list[tuple[int, int, int
             k, notice = edits_allowed(notices[i][0]), notices[i][0]
             first = max(0, end + 1 - length - offset - k)
             m = patterns[i].search(text, first, min(len(text), first + len(notice) + 3 * k))
-            if m:
+            if m and _named(notice, text, m):
                 found[i, m.start(), m.end()] = sum(m.fuzzy_counts)
     # Of overlapping finds those with the fewest edits stay, one per notice. Kept finds are
     # looked up by place, so a text full of notices costs no more per find.

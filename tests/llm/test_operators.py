@@ -305,6 +305,28 @@ def test_seeds_lose_no_match(notice):
         assert any(license_scan.NOTICES[i][0] == notice for i, *_ in found)
 
 
+@pytest.mark.parametrize(
+    ("phrase", "labels"),
+    [
+        ("licensed under the bsd license", "bsd"),
+        ("licensed under the isc license", "isc"),
+        ("licensed under the gpl license", "gpl"),
+        ("licensed under the gnu affero general public license", "agpl,gpl"),
+        ("licensed under cc by nd 4 0", "cc-by,cc-by-nd"),
+        ("licensed under the zlib license", ""),
+        ("licensed under the lgpl license", ""),
+        ("released under the xyz license", ""),
+        ("subject to the terms of the nokia public license", ""),
+        ("licensed under the mit license", "mit"),
+        ("licensed under the m i t license", "mit"),
+        ("licensed under the gnu leser general public license", "gpl,lgpl"),
+    ],
+)
+def test_notices_of_other_licenses(phrase, labels):
+    row = license_scan._scan_row(1, f"some words {phrase} more words")
+    assert row[6] == labels
+
+
 def test_license_scan_of_nothing(no_docs):
     assert license_scan.scan(no_docs).count() == 0
 
