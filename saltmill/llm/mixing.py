@@ -1,6 +1,7 @@
 """Mixing sources to target weights.
 
-Documents are packed per source into blocks of ``block`` words. Every output shard draws
+Documents are packed per source into blocks of ``block`` words, or of fewer for a source whose target
+spans only a few such blocks (``block_of``). Every output shard draws
 how many blocks it takes of each source from a multinomial; a source's slots run through a
 pseudorandom permutation of its block numbers (again from the start when they are used
 up), and slots and blocks are joined by number.
@@ -27,6 +28,9 @@ MAX_SOURCES = 100_000
 MAX_SHARDS, MAX_COUNTS = 4_096, 1_000_000
 # Packing units per corpus beside one per source: their table goes through the driver.
 MAX_UNITS = 16_384
+# A target spans about this many blocks at least, but blocks have this many words unless the
+# target is below two of them.
+LEAST_BLOCKS, LEAST_BLOCK = 16, 8
 
 
 def targets_of(sizes: list[int], weights: list[float], cap: float = 3.0) -> list[float]:
@@ -50,6 +54,12 @@ def targets_of(sizes: list[int], weights: list[float], cap: float = 3.0) -> list
     return out
 
 
+def block_of(target: float, block: int) -> int:
+    """Words of a block of a source with this target, so that a quota in blocks can come near it."""
+    small = max(LEAST_BLOCK, int(target) // LEAST_BLOCKS)
+    return max(1, min(block, small, int(target) // 2))
+
+
 def draw_shards(quotas: list[int], shards: int, seed: int) -> np.ndarray:
     """(shards, sources) block counts: a multinomial per shard over what is left of the quotas."""
     rng = np.random.default_rng(seed)
@@ -133,6 +143,7 @@ def mix(
     sizes = [r["size"] for r in totals]
     total = sum(sizes)
     targets = targets_of(sizes, [weights[i % len(weights)] for i in range(len(sizes))], cap)
+    words = [block_of(t, block) for t in targets]
     sources = spark.createDataFrame(
         [(i, r["source"], r["size"], float(t)) for i, (r, t) in enumerate(zip(totals, targets, strict=True))],
         "nr int, source string, source_size long, target double",
@@ -156,10 +167,10 @@ def mix(
     units = listed.groupBy("nr", "unit").agg(F.sum("size").alias("words")).collect()
     bases, blocks = [], [0] * len(sizes)
     for r in sorted(units, key=lambda r: (r["nr"], r["unit"])):
-        bases.append((r["nr"], r["unit"], blocks[r["nr"]]))
-        blocks[r["nr"]] += -(-r["words"] // block)
-    base = spark.createDataFrame(bases, "nr int, unit long, base long")
-    at = F.sequence(F.expr(f"first_word div {block}"), F.expr(f"(first_word + size - 1) div {block}"))
+        bases.append((r["nr"], r["unit"], blocks[r["nr"]], words[r["nr"]]))
+        blocks[r["nr"]] += -(-r["words"] // words[r["nr"]])
+    base = spark.createDataFrame(bases, "nr int, unit long, base long, block long")
+    at = F.sequence(F.expr("first_word div block"), F.expr("(first_word + size - 1) div block"))
     pieces = (
         packed.where("size > 0")
         .join(F.broadcast(base), ["nr", "unit"])
@@ -169,8 +180,8 @@ def mix(
             "doc_id",
             "nr",
             (F.col("base") + F.col("at")).alias("number"),
-            F.greatest(F.lit(0), F.col("at") * block - F.col("first_word")).alias("start"),
-            F.least(F.col("size"), (F.col("at") + 1) * block - F.col("first_word")).alias("stop"),
+            F.greatest(F.lit(0), F.col("at") * F.col("block") - F.col("first_word")).alias("start"),
+            F.least(F.col("size"), (F.col("at") + 1) * F.col("block") - F.col("first_word")).alias("stop"),
         )
     )
     slots = _slots(spark, sizes, targets, blocks, cap, seed)
@@ -185,7 +196,7 @@ def _slots(spark, sizes, targets, blocks, cap, seed) -> DataFrame:
         for s, t, b in zip(sizes, targets, blocks, strict=True)
     ]
     most = min(MAX_SHARDS, MAX_COUNTS // max(1, len(quotas)))
-    shards = int(max(16, min(most, sum(quotas) // 4096)))
+    shards = int(min(most, max(16, sum(quotas) // 4096)))
     counts = draw_shards(quotas, shards, seed)
     first = np.cumsum(counts, axis=0) - counts
     places = np.cumsum(counts, axis=1) - counts

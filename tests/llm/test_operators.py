@@ -143,6 +143,15 @@ def test_mix_of_awkward_rows(docs):
     assert slots.groupBy("shard", "slot").count().agg(F.max("count")).first()[0] == 1
 
 
+def test_mix_of_tiny_sources(spark):
+    """A long tail of sources below one block each: all take part, near their targets."""
+    rows = [(i, " ".join(fixtures.prose(i, 100)), "en", f"s{i:02}") for i in range(60)]
+    listed, pieces, slots = mixing.mix(fixtures.table(spark, rows))
+    got = mixing.taken_words(listed, pieces, slots).collect()
+    assert len(got) == 60 and all(0 < r["taken"] <= 300 for r in got)
+    assert all(abs(r["taken"] - r["target"]) <= 8 + r["target"] / 32 for r in got)
+
+
 def test_mix_of_nothing(no_docs):
     assert mixing.taken_words(*mixing.mix(no_docs)).count() == 0
 
