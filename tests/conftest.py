@@ -39,7 +39,3 @@ def conf(spark):
     yield set_
     for key, value in before.items():
         spark.conf.unset(key) if value is None else spark.conf.set(key, value)
-
-
-def rows(df) -> list[tuple]:
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from rows import rows
 from pyspark.sql import functions as F
 
 from saltmill.operators import joins

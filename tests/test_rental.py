@@ -6,7 +6,7 @@ import datetime as dt
 from decimal import Decimal as D
 
 import pytest
-from conftest import rows
+from rows import rows
 from pyspark.sql import functions as F
 from rental_fixture import rental_tables
 

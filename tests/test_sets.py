@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from rows import rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from saltmill.operators import sets

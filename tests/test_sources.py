@@ -10,7 +10,7 @@ from types import SimpleNamespace
 
 import feeds
 import pytest
-from conftest import rows
+from rows import rows
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import functions as F, types as T
 

@@ -4,7 +4,7 @@ import json
 import os
 
 import pytest
-from conftest import rows
+from rows import rows
 from pyspark.sql import functions as F, types as T
 
 from saltmill.schemas import RIDE_KEYS, payload_schema

@@ -4,7 +4,7 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import rows
+from rows import rows
 
 from saltmill.operators import text
 
