@@ -1,4 +1,4 @@
-"""The eleven registered queries on whole test tables: SQL, plain Python or held-out labels."""
+"""The registered queries on whole test tables: SQL, plain Python or held-out labels."""
 
 from __future__ import annotations
 
@@ -30,7 +30,7 @@ def result(spark, sf_dir, name):
 
 
 def test_registry():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry_points.queries())
     assert set(ORACLES) <= set(entry_points.oracle_sql())
 
