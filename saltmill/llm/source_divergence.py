@@ -1,12 +1,13 @@
 """Source divergence audit: which terms tell the sources of a language apart.
 
 Terms of a language are found by iceberg prefix refinement. Each document is written once as
-its distinct terms with their counts. Level by level, every document gives the distinct byte
+its distinct terms with their counts, documents of a language and source side by side (a large
+source is split over several files), so that tasks combine their counts well. Level by level, every document gives the distinct byte
 prefixes of its terms, the number of documents per (language, prefix) is added up, and prefixes
 in fewer than ``min_docs`` documents are discarded; the next level extends only those that are
-left. Levels are 1, 2, 4, 8, ... bytes wide, so a term of any length takes a logarithmic number
-of them. A term that ends within a level is a prefix of its own there, with an end mark; those
-that reach the threshold are the kept terms, and nothing else is counted by source afterwards.
+left. Terms carry an end mark, so a prefix with the mark is a complete term and is not extended.
+Levels are 3, 9, 27, ... bytes wide: a term of any length takes a logarithmic number of them.
+Complete terms that reach the threshold are kept, and only they are counted by source afterwards.
 
 What is left of a level reaches the tasks as a bitmap of BITMAP_BITS bits, a fixed size: a
 prefix that another one's bit lets through costs work only, since its documents are counted
@@ -27,13 +28,14 @@ not read. Ties of a value are ranked by the bytes of the item.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.joins import small_join
 from ..session import materialize
@@ -44,11 +46,15 @@ MIN_DOCS = 10
 TOP_TERMS = 10
 # Bits of a level's bitmap, as a power of two: 8 MB.
 BITMAP_BITS = 26
+# Bytes of the first level, and by how much the next one is wider.
+FIRST_WIDTH = 3
+WIDEN = 3
 # One word of Spark's bitmaps.
 WORD_BITS = 15
 # Partial counts of a task are passed on when there are this many of them.
 FLUSH = 500_000
-END = b"\0"
+# Ends every term; no byte of a term.
+END = b" "
 
 # Letters and bytes of other scripts stay, A to Z in lower case; all else separates.
 _FOLD = bytes(
@@ -63,7 +69,7 @@ def terms_of(text: bytes) -> list[bytes]:
 def term_table(
     docs: DataFrame, text_column: str = "text", lang_column: str = "lang", source_column: str = "source"
 ) -> DataFrame:
-    """One row per document: lang, source, its distinct terms (by blanks) and their counts."""
+    """One row per document: lang, source, its distinct terms, each with END, and their counts."""
     rows = pick(docs, lang=lang_column, source=source_column, text=text_column).select(
         *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")],
         F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text"),
@@ -76,23 +82,31 @@ def term_table(
                 [
                     batch.column(0),
                     batch.column(1),
-                    pa.array([b" ".join(c) for c in found], pa.binary()),
+                    pa.array([b"".join(t + END for t in c) for c in found], pa.binary()),
                     pa.array([np.fromiter(c.values(), "<i4", len(c)).tobytes() for c in found], pa.binary()),
                 ],
                 names=["lang", "source", "terms", "counts"],
             )
 
-    return materialize(rows.mapInArrow(run, "lang string, source string, terms binary, counts binary"), "terms")
+    table = rows.mapInArrow(run, "lang string, source string, terms binary, counts binary")
+    return materialize(table.hint("rebalance", "lang", "source"), "terms")
 
 
 def place_of(lang: str, prefix: bytes) -> int:
     """Bit of a prefix in a bitmap."""
-    return xxhash.xxh3_64_intdigest(lang.encode() + END + prefix) >> (64 - BITMAP_BITS)
+    return xxhash.xxh3_64_intdigest(lang.encode() + b"\0" + prefix) >> (64 - BITMAP_BITS)
 
 
 def bitmap(prefixes: DataFrame) -> bytes:
-    """Bits of the column ``place``; its size on the driver is fixed."""
-    words = prefixes.groupBy(F.shiftright("place", WORD_BITS).alias("word")).agg(
+    """Bits of the rows (lang, prefix); its size on the driver is fixed."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = map(place_of, batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(places, pa.int64())], names=["place"])
+
+    places = prefixes.select("lang", "prefix").mapInArrow(run, "place bigint").distinct()
+    words = places.groupBy(F.shiftright("place", WORD_BITS).alias("word")).agg(
         F.bitmap_construct_agg(F.col("place").bitwiseAND((1 << WORD_BITS) - 1)).alias("bits")
     )
     size = 1 << (WORD_BITS - 3)
@@ -102,115 +116,133 @@ def bitmap(prefixes: DataFrame) -> bytes:
     return bytes(bits)
 
 
-class Alive:
-    """Remembers, for one task, which prefixes a bitmap lets through."""
+class Alive(dict):
+    """Remembers, for one task, which prefixes of a language a bitmap lets through."""
+
+    def __init__(self, bits: bytes, lang: str):
+        self.bits, self.lang = bits, lang
+
+    def __missing__(self, prefix: bytes) -> bool:
+        place = place_of(self.lang, prefix)
+        found = self[prefix] = bool(self.bits[place >> 3] >> (place & 7) & 1)
+        return found
 
-    def __init__(self, bits: bytes):
-        self.bits = bits
-        self.known: dict[str, dict[bytes, bool]] = defaultdict(dict)
 
-    def of(self, lang: str) -> Callable[[bytes], bool]:
-        known, bits = self.known[lang], self.bits
+class Levels(dict):
+    """``Alive`` by language."""
 
-        def alive(prefix: bytes) -> bool:
-            found = known.get(prefix)
-            if found is None:
-                place = place_of(lang, prefix)
-                found = known[prefix] = bool(bits[place >> 3] >> (place & 7) & 1)
-            return found
+    def __init__(self, bits: bytes):
+        self.bits = bits
 
-        return alive
+    def __missing__(self, lang: str) -> Alive:
+        found = self[lang] = Alive(self.bits, lang)
+        return found
 
 
-def _added(table: DataFrame, keys: str, per_row: Callable) -> DataFrame:
-    """``per_row(row values) -> (group, {key: n})`` summed per task; rows of keys, place, n."""
-    schema = T.StructType.fromDDL(f"{keys}, place bigint, n bigint")
-    types = [pa.binary() if isinstance(f.dataType, T.BinaryType) else pa.string() for f in schema.fields[:-2]]
-    types += [pa.int64(), pa.int64()]
+def _added(
+    table: DataFrame, groups: list[str], per_batch: Callable, bits: bytes | None, before: int | None
+) -> DataFrame:
+    """Rows (groups, prefix, n) of all batches, added up by task and then by Spark.
 
-    def rows_of(counts: dict) -> pa.RecordBatch:
-        rows = [(*group, key, place_of(group[0], key), n) for group, c in counts.items() for key, n in c.items()]
-        columns = zip(*rows, strict=True) if rows else [[]] * len(types)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=schema.names
-        )
+    ``per_batch(batch, group number of each row)`` gives group numbers, prefixes and counts; the
+    groups are the first columns of the table.
+    ``bits``: leave out rows whose first ``before`` bytes (None: all) the bitmap does not hold.
+    """
+    shared = table.sparkSession.sparkContext.broadcast(bits)
+    names = [*groups, "prefix"]
+    schema = ", ".join(f"{g} string" for g in groups) + ", prefix binary, n bigint"
+
+    def combined(held: list[pa.RecordBatch], known: list[tuple], alive: Levels | None) -> pa.RecordBatch:
+        added = pa.Table.from_batches(held).group_by(["group", "prefix"], use_threads=False).aggregate([("n", "sum")])
+        if alive is not None:
+            rows = zip(added["group"].to_pylist(), added["prefix"].to_pylist(), strict=True)
+            lets = [alive[group[0]] for group in known]
+            added = added.filter(pa.array([lets[group][prefix[:before]] for group, prefix in rows], pa.bool_()))
+        number, prefix, n = (added[c].combine_chunks() for c in ("group", "prefix", "n_sum"))
+        columns = [pa.array([g[i] for g in known], pa.string()).take(number) for i in range(len(groups))]
+        return pa.RecordBatch.from_arrays([*columns, prefix, n], names=[*names, "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, add = defaultdict(Counter), per_row()
+        held, size, number = [], 0, {}
+        alive = None if shared.value is None else Levels(shared.value)
         for batch in batches:
-            for row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                add(counts, *row)
-            if sum(map(len, counts.values())) > FLUSH:
-                yield rows_of(counts)
-                counts.clear()
-        yield rows_of(counts)
-
-    names = [*schema.names[:-1]]
+            rows = zip(*[batch.column(i).to_pylist() for i in range(len(groups))], strict=True)
+            group = np.array([number.setdefault(row, len(number)) for row in rows], np.int64)
+            held.append(pa.RecordBatch.from_arrays(per_batch(batch, group), names=["group", "prefix", "n"]))
+            size += held[-1].num_rows
+            if size > FLUSH:
+                yield combined(held, list(number), alive)
+                held, size = [], 0
+        if held:
+            yield combined(held, list(number), alive)
+
     return table.mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("n"))
 
 
-def prefix_counts(terms: DataFrame, width: int, before: int, bits: bytes | None) -> DataFrame:
-    """lang, prefix, place and n, the number of documents, at one level.
+def _flat(blobs: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """All terms of a batch with END, the number of their row, and their lengths."""
+    texts = blobs.to_pylist()
+    data = b"".join(texts)
+    ends = (np.flatnonzero(np.frombuffer(data, np.uint8) == END[0]) + 1).astype(np.int32)
+    offsets = np.concatenate([np.zeros(1, np.int32), ends])
+    terms = pa.Array.from_buffers(
+        pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)]
+    )
+    row = np.searchsorted(np.cumsum([len(t) for t in texts]), offsets[:-1], side="right")
+    return terms, row, np.diff(offsets)
 
-    Terms longer than ``before``, the width of the last level, take part if the bitmap of that
-    level lets their prefix through (None: all do); those that end here carry END.
-    """
-    shared = terms.sparkSession.sparkContext.broadcast(bits)
 
-    def per_row() -> Callable:
-        level = None if shared.value is None else Alive(shared.value)
+def prefix_counts(terms: DataFrame, width: int, before: int, bits: bytes | None) -> DataFrame:
+    """lang, prefix and n, the number of documents, at one level.
 
-        def add(counts, lang, blob):
-            found = blob.split()
-            if level is not None:
-                alive = level.of(lang)
-                found = [t for t in found if len(t) > before and alive(t[:before])]
-            # A Counter adds 1 for every member of the set: the document counts once.
-            counts[(lang,)].update({t[:width] if len(t) > width else t + END for t in found})
+    Terms of more than ``before`` bytes with their END, the width of the last level, take part
+    if the bitmap of that level lets their prefix through (None: all do).
+    """
 
-        return add
+    def per_batch(batch: pa.RecordBatch, group: np.ndarray) -> list[pa.Array]:
+        found, row, size = _flat(batch.column(1))
+        longer = size > before
+        prefix = pc.binary_slice(found.filter(pa.array(longer)), 0, width).dictionary_encode()
+        of, n = prefix.indices.to_numpy(zero_copy_only=False).astype(np.int64), max(1, len(prefix.dictionary))
+        # A document counts once per prefix.
+        once = np.unique(row[longer] * n + of)
+        key, docs = np.unique(group[once // n] * n + once % n, return_counts=True)
+        return [pa.array(key // n), prefix.dictionary.take(pa.array(key % n)), pa.array(docs, pa.int64())]
 
-    return _added(terms.select("lang", "terms"), "lang string, prefix binary", per_row)
+    return _added(terms.select("lang", "terms"), ["lang"], per_batch, bits, before)
 
 
 def kept_terms(terms: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
-    """lang, term and place (of the term with its end mark) of all terms in ``min_docs`` documents."""
-    width, before, bits, ended = 1, 0, None, []
+    """lang and term, as prefix with its end mark, of all terms in ``min_docs`` documents."""
+    width, before, bits, ended = FIRST_WIDTH, 0, None, []
     while True:
-        level = prefix_counts(terms, width, before, bits).where(F.col("n") >= min_docs).drop("n")
-        level = materialize(level, "prefixes")
-        is_term = F.expr("right(hex(prefix), 2) = '00'")
+        level = prefix_counts(terms, width, before, bits).where(F.col("n") >= min_docs)
+        level = materialize(level.select("lang", "prefix"), "prefixes")
+        is_term = F.expr("substring(prefix, -1, 1) = X'20'")
         ended.append(level.where(is_term))
         longer = level.where(~is_term)
         if longer.isEmpty():
             break
-        bits, before, width = bitmap(longer), width, 2 * width
+        bits, before, width = bitmap(longer), width, WIDEN * width
     kept = ended[0]
     for more in ended[1:]:
         kept = kept.unionAll(more)
-    return kept.select("lang", F.expr("substring(prefix, 1, octet_length(prefix) - 1)").alias("term"), "place")
+    return kept
 
 
 def source_counts(terms: DataFrame, kept: DataFrame) -> DataFrame:
     """lang, source, term, n: occurrences of kept terms, where there are any."""
-    shared = terms.sparkSession.sparkContext.broadcast(bitmap(kept))
-
-    def per_row() -> Callable:
-        level = Alive(shared.value)
-
-        def add(counts, lang, source, blob, numbers):
-            alive, mine = level.of(lang), counts[lang, source]
-            for term, n in zip(blob.split(), np.frombuffer(numbers, "<i4").tolist(), strict=True):
-                term += END
-                if alive(term):
-                    mine[term] += n
 
-        return add
+    def per_batch(batch: pa.RecordBatch, group: np.ndarray) -> list[pa.Array]:
+        found, row, _ = _flat(batch.column(2))
+        counts = np.frombuffer(b"".join(batch.column(3).to_pylist()), "<i4")
+        return [pa.array(group[row]), found, pa.array(counts, pa.int64())]
 
-    found = _added(terms, "lang string, source string, term binary", per_row)
-    found = found.withColumn("term", F.expr("substring(term, 1, octet_length(term) - 1)")).drop("place")
+    found = _added(terms, ["lang", "source"], per_batch, bitmap(kept), None)
     # Exact: the bitmap may have let other terms through.
-    return found.join(kept.select("lang", "term"), ["lang", "term"]).select("lang", "source", "term", "n")
+    found = found.join(kept, ["lang", "prefix"])
+    term = F.expr("substring(prefix, 1, octet_length(prefix) - 1)")
+    return found.select("lang", "source", term.alias("term"), "n")
 
 
 def rate(n: Column, total: Column) -> Column:
@@ -265,6 +297,7 @@ def pair_values(rated: DataFrame, groups: DataFrame) -> DataFrame:
 
     # Combined before both directions of a pair get them.
     both = one_sided.unionAll(shared).groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
+    both = materialize(both, "pair-sums")
     turned = both.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "value")
     every = lacking.unionAll(both).unionAll(turned)
     return every.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))

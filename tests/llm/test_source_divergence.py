@@ -98,8 +98,8 @@ def test_prefixes_below_the_threshold_are_not_extended(spark):
     first = source_divergence.prefix_counts(terms, 1, 0, None)
     assert {(r["prefix"], r["n"]) for r in first.collect()} == {(b"a", 3), (b"b", 1)}
     bits = source_divergence.bitmap(first.where("n >= 2"))
-    second = source_divergence.prefix_counts(terms, 2, 1, bits)
-    assert {(bytes(r["prefix"]), r["n"]) for r in second.collect()} == {(b"aa\0", 3), (b"ab\0", 3)}
+    second = source_divergence.prefix_counts(terms, 3, 1, bits)
+    assert {(bytes(r["prefix"]), r["n"]) for r in second.collect()} == {(b"aa ", 3), (b"ab ", 3)}
 
 
 def test_a_saturated_bitmap_keeps_the_result(spark):
