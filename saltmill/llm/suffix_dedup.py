@@ -23,7 +23,8 @@ between the rounds of Spark, written one after the other in the shared scratch f
 
 Bounds. A group of more than ``max_group`` different pieces (a short text in very many
 surroundings) is not put into one task: its windows are hashed to 128 bits and counted by Spark,
-which is exact but for collisions. Hot anchors and pieces are joined with salts.
+which is exact but for collisions. Hot anchors, pieces and rows are joined with salts. Texts
+move twice, by their key, whatever the size of the table.
 
 NULL text is empty. Repeated rows repeat their strings, and all get the same result. Texts
 shorter than ``length`` lose nothing. Without documents there are no rows. Other columns are
@@ -39,7 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..operators.joins import small_join
+from ..operators.joins import hot_join, small_join
 from ..session import materialize
 from .common import counted_join, map_rows, pick
 from .registry import query
@@ -285,7 +286,7 @@ def _bytes_of(rows: DataFrame, one: DataFrame, length: int) -> DataFrame:
     """The pieces with their bytes, cut out of one document each."""
     wanted = F.collect_list(F.struct("start", "anchor", "piece", "copies", "windows", "before")).alias("wanted")
     wanted = materialize(one.groupBy("k1", "k2").agg(wanted), "wanted-pieces")
-    found = small_join(rows.select("k1", "k2", "text"), wanted, ["k1", "k2"])
+    found = hot_join(rows.select("k1", "k2", "text"), wanted, ["k1", "k2"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows repeated with their id: a task gives a piece once, the collections skip the rest.
@@ -337,7 +338,7 @@ def cut_repeats(
     if gram & (gram - 1) or not 0 < gram <= length:
         raise ValueError("gram must be a power of two and at most length")
     places = repeats(docs, length, gram, max_group, id_column, text_column)
-    rows = small_join(keyed(docs, id_column, text_column), places, ["k1", "k2"], "left")
+    rows = hot_join(keyed(docs, id_column, text_column), places, ["k1", "k2"], "left")
     cuts = T.StructType.fromDDL("n_bytes bigint, starts array<bigint>, ends array<bigint>, kept binary")
     schema = T.StructType([*rows.select("doc_id").schema, *cuts])
 
