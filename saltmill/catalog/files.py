@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..schemas import SALES_DDL, sales_schema
 from ..sources import files, paged, paths, sinks
+from ..streaming import ingest
 from .registry import Tables, query
 
 _CUSTOMER = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
@@ -158,12 +159,12 @@ def stage_sales(t: Tables) -> DataFrame:
 _PAGE_ROWS = 2000
 
 
-@query(
-    "paged_source",
-    "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-01') AS month, o_totalprice FROM orders",
-)
-def paged_source(t: Tables) -> DataFrame:
-    """Orders as a feed of JSON pages per month, read back page by page."""
+_ORDER_PAGES = "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-01') AS month, o_totalprice FROM orders"
+_ORDER_PAGE = "o_orderkey BIGINT, month STRING, o_totalprice DOUBLE"
+
+
+def _order_feed(t: Tables) -> tuple[str, list[str]]:
+    """Orders written as JSON pages per month; the folder and its months."""
     root = t.scratch("feed")
     month = F.date_format("o_orderdate", "yyyy-MM-01")
     (
@@ -180,15 +181,28 @@ def paged_source(t: Tables) -> DataFrame:
         for m in range(1, 13)
         if (span.a.year, span.a.month) <= (y, m) <= (span.b.year, span.b.month)
     ]
+    return paths.qualified(t.spark, root), months
+
+
+@query("paged_source", _ORDER_PAGES)
+def paged_source(t: Tables) -> DataFrame:
+    """Orders as a feed of JSON pages per month, read back page by page."""
+    root, months = _order_feed(t)
     return paged.read_paged(
-        t.spark,
-        paged.FolderPages(),
-        months,
-        "o_orderkey BIGINT, month STRING, o_totalprice DOUBLE",
-        root=paths.qualified(t.spark, root),
-        lanes=4,
-        tasks=4 * t.spark.sparkContext.defaultParallelism,
-    )
+        t.spark, paged.FolderPages(), months, _ORDER_PAGE, root=root,
+        lanes=4, tasks=4 * t.spark.sparkContext.defaultParallelism,
+    )
+
+
+@query("stream_paged", _ORDER_PAGES)
+def stream_paged(t: Tables) -> DataFrame:
+    """The same feed as a stream that stops after half of the months and goes on from its checkpoint."""
+    root, months = _order_feed(t)
+    out, state = t.scratch("paged-stream"), t.scratch("paged-stream-state")
+    for known in (months[: len(months) // 2], months):
+        stream = paged.stream_paged(t.spark, paged.FolderPages(), known, _ORDER_PAGE, root)
+        ingest.land_batches(stream, out, state).awaitTermination()
+    return t.spark.read.schema(_ORDER_PAGE).parquet(out).drop("batch_id")
 
 
 # ---- monthly store ---------------------------------------------------------

@@ -101,8 +101,11 @@ def _read_records(
         .json(raw_dir, multiLine=indented, pathGlobFilter=pattern, recursiveFileLookup=False)
     )
     # Spark refuses a query of the record text alone, so a condition that always holds reads a
-    # declared column as well.
-    return read.where(F.length(F.to_json(F.struct(fields.names[0]))) > 0)
+    # declared column as well. Maps have no hash.
+    plain = [f.name for f in fields if "map<" not in f.dataType.simpleString()]
+    if not plain:
+        return read.where(F.length(F.to_json(F.struct(fields.names[0]))) > 0)
+    return read.where(F.xxhash64(F.col(f"`{plain[0]}`")) >= F.lit(-(2**63)))
 
 
 def read_raw_checked(

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..operators.joins import small_join
@@ -78,6 +78,64 @@ class PagedReader(DataSourceReader):
             raise
 
 
+class PageRange(InputPartition):
+    """Pages first..last of a date."""
+
+    def __init__(self, date: str, first: int, last: int):
+        self.date, self.first, self.last = date, first, last
+
+
+class PagedStreamReader(DataSourceStreamReader):
+    """A feed that grows; an offset is the number of pages taken of each date.
+
+    The offsets of a batch are in the stream's checkpoint before it is read, so a batch that
+    runs again after a stop reads the same pages. Pages must not change once they are there.
+    """
+
+    def __init__(self, fetch: Fetch, schema: T.StructType, options: dict[str, str]):
+        self.fetch = fetch
+        self.columns = to_arrow_schema(schema)
+        self.dates = [d for d in options["dates"].split(",") if d]
+        self.pages_per_task = int(options.get("pages_per_task", "8"))
+        self.root = options.get("root", "")
+        self.known: dict[str, int] = {}
+
+    def initialOffset(self) -> dict:
+        return {}
+
+    def latestOffset(self) -> dict:
+        self.known = {date: self._count(date, self.known.get(date, 0)) for date in self.dates}
+        return self.known
+
+    def _count(self, date: str, known: int) -> int:
+        """Pages of a date. A feed that cannot tell is probed: a logarithmic number of fetches."""
+        if hasattr(self.fetch, "pages"):
+            return self.fetch.pages(self.root, date)
+        step = 1
+        while self.fetch(self.root, date, known + step):
+            known, step = known + step, 2 * step
+        # ``known`` is there and ``known + step`` is not.
+        while step > 1:
+            step //= 2
+            if self.fetch(self.root, date, known + step):
+                known += step
+        return known
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        return [
+            PageRange(date, first + 1, min(first + self.pages_per_task, last))
+            for date, last in end.items()
+            for first in range(start.get(date, 0), last, self.pages_per_task)
+        ]
+
+    def read(self, partition: PageRange) -> Iterator[pa.RecordBatch]:
+        for page in range(partition.first, partition.last + 1):
+            records = self.fetch(self.root, partition.date, page)
+            if not records:
+                raise PageError(f"page {page} of {partition.date} is gone")
+            yield pa.RecordBatch.from_pylist(records, schema=self.columns)
+
+
 def _source(fetch: Fetch) -> type[DataSource]:
     class PagedSource(DataSource):
         @classmethod
@@ -90,9 +148,33 @@ def _source(fetch: Fetch) -> type[DataSource]:
         def reader(self, schema: T.StructType) -> DataSourceReader:
             return PagedReader(fetch, schema, dict(self.options))
 
+        def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
+            return PagedStreamReader(fetch, schema, dict(self.options))
+
     return PagedSource
 
 
+def stream_paged(
+    spark: SparkSession, fetch: Fetch, dates: list[str], schema: str, root: str = "", pages_per_task: int = 8
+) -> DataFrame:
+    """The feed as a stream: each batch holds the pages that came since the last one.
+
+    Where a stream stopped is in its checkpoint. Dates may be added on a restart; one that is
+    left out is not read further. A feed may offer ``pages(root, date)``, the number of pages
+    there are; else it is probed page by page with growing steps. A page that cannot be read,
+    or is gone, fails its task and is tried again.
+    """
+    spark.dataSource.register(_source(fetch))
+    return (
+        spark.readStream.format("paged")
+        .schema(schema)
+        .option("dates", ",".join(dates))
+        .option("pages_per_task", str(pages_per_task))
+        .option("root", root)
+        .load()
+    )
+
+
 def read_paged(
     spark: SparkSession,
     fetch: Fetch,
@@ -141,19 +223,27 @@ class FolderPages:
     def __init__(self) -> None:
         self.files: dict[str, list[str]] = {}
 
+    def pages(self, root: str, date: str) -> int:
+        """Number of pages now; files that come later must sort behind those that are there."""
+        self.files.clear()
+        return len(self._pages(root, date)[1])
+
     def _list(self, store: fs.FileSystem, folder: str) -> list[str]:
         if folder not in self.files:
             found = store.get_file_info(fs.FileSelector(folder, allow_not_found=True))
             self.files[folder] = sorted(f.path for f in found if f.base_name.endswith(".json"))
         return self.files[folder]
 
-    def __call__(self, root: str, date: str, page: int) -> list[dict] | None:
+    def _pages(self, root: str, date: str) -> tuple[fs.FileSystem, list[str]]:
         url = urlparse(root)
         if url.scheme in ("", "file"):
             store, base = fs.LocalFileSystem(), url.path
         else:
             store, base = fs.FileSystem.from_uri(root)
-        files = self._list(store, f"{base.rstrip('/')}/date={date}")
+        return store, self._list(store, f"{base.rstrip('/')}/date={date}")
+
+    def __call__(self, root: str, date: str, page: int) -> list[dict] | None:
+        store, files = self._pages(root, date)
         if page > len(files):
             return None
         try:

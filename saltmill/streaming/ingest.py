@@ -73,6 +73,16 @@ def write_batches(
     return writer.trigger(**trigger).start()
 
 
+def land_batches(stream: DataFrame, out_dir: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Write the rows of a stream, a folder per batch; see ``write_batches`` for the replay and ``every``."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+
+    writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**({"processingTime": every} if every else {"availableNow": True})).start()
+
+
 def read_batches(
     spark: SparkSession, out_dir: str, schema: T.StructType, batches: list[int] | None = None
 ) -> DataFrame:

@@ -2,15 +2,20 @@ from __future__ import annotations
 
 import json
 import os
+from pathlib import Path
 
+import feeds
 import pytest
 from rows import rows
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import functions as F, types as T
 
 from saltmill.schemas import RIDE_KEYS, payload_schema
-from saltmill.sources import files
+from saltmill.sources import files, paged
 from saltmill.streaming import ingest, upsert
 
+register_pickle_by_value(feeds)
+
 PARTS = ["ride", "driver", "user"]
 
 
@@ -232,3 +237,68 @@ def test_text_pairs(spark):
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         files.read_kafka(spark, "localhost:9092", "topic")
+
+
+# ---- paged feed as a stream --------------------------------------------------
+
+
+def _pages(sizes, date):
+    """Pages of the given sizes; a row names its date, page and place."""
+    return [[{"name": f"{date}/{p}/{i}"} for i in range(n)] for p, n in enumerate(sizes, 1)]
+
+
+def _land(spark, fetch, feed, out, state, **settings):
+    stream = paged.stream_paged(spark, fetch, sorted(feed), "name STRING", json.dumps(feed), **settings)
+    ingest.land_batches(stream, out, state).awaitTermination()
+    return sorted(r[0] for r in spark.read.schema("name STRING").parquet(out).collect())
+
+
+def _names(feed):
+    return sorted(r["name"] for pages in feed.values() for page in pages for r in page)
+
+
+@pytest.mark.parametrize("fetch", [feeds.memory, feeds.empty_list_at_end, feeds.Counted()])
+def test_paged_stream_goes_on_where_it_stopped(spark, tmp_path, fetch):
+    """Pages and dates added between runs are read once; a run without news adds nothing."""
+    out, state = f"{tmp_path}/out", f"{tmp_path}/state"
+    a, b, c = "2024-01-01", "2024-01-02", "2024-01-03"
+    feed = {a: _pages([3], a), b: []}
+    assert _land(spark, fetch, feed, out, state) == _names(feed)
+    feed = {a: _pages([3, 2, 1, 4, 1, 1], a), b: _pages([1], b), c: _pages([2] * 13, c)}
+    assert _land(spark, fetch, feed, out, state, pages_per_task=3) == _names(feed)
+    assert _land(spark, fetch, feed, out, state) == _names(feed)
+
+
+def test_paged_stream_replays_a_batch_that_was_not_committed(spark, tmp_path):
+    """A stop between the write and the commit: the batch runs again over the same pages."""
+    out, state, day = f"{tmp_path}/out", f"{tmp_path}/state", "2024-01-01"
+    feed = {day: _pages([2, 2, 3], day)}
+    _land(spark, feeds.memory, feed, out, state)
+    commits = sorted(Path(f"{state}/commits").glob("[0-9]*"))
+    for path in [commits[-1], Path(f"{state}/commits/.{commits[-1].name}.crc")]:
+        path.unlink(missing_ok=True)
+    grown = {day: _pages([2, 2, 3, 1], day)}
+    assert _land(spark, feeds.memory, grown, out, state)[:7] == _names(feed)
+    # News that came in between is taken at the latest by the run after the replay.
+    assert _land(spark, feeds.memory, grown, out, state) == _names(grown)
+
+
+def test_paged_stream_fails_at_a_page_that_is_gone(spark, tmp_path):
+    day = "2024-01-01"
+    feed = {day: _pages([1, 1], day)}
+    with pytest.raises(Exception, match="is gone"):
+        _land(spark, feeds.gone_page, feed, f"{tmp_path}/out", f"{tmp_path}/state")
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 7, 8, 9, 100])
+@pytest.mark.parametrize("known", [0, 1])
+def test_probing_finds_the_last_page(n, known):
+    asked = []
+
+    def fetch(root, date, page):
+        asked.append(page)
+        return [{"name": "x"}] if page <= n else None
+
+    reader = paged.PagedStreamReader(fetch, T.StructType.fromDDL("name STRING"), {"dates": "d"})
+    assert reader._count("d", min(known, n)) == n
+    assert len(asked) <= 2 * (n + 2).bit_length() + 1
