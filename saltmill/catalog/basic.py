@@ -461,6 +461,25 @@ def win_rank(t: Tables) -> DataFrame:
     return ranking.rank_first(lines, ["l_returnflag"], "l_linenumber")
 
 
+@query(
+    "win_running_sum",
+    """SELECT o_orderstatus, o_orderkey, row_number() OVER w AS row_number,
+      rank() OVER (PARTITION BY o_orderstatus ORDER BY date_trunc('month', o_orderdate)) AS rank,
+      dense_rank() OVER (PARTITION BY o_orderstatus ORDER BY date_trunc('month', o_orderdate)) AS dense_rank,
+      CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS running_sum
+    FROM orders WINDOW w AS (PARTITION BY o_orderstatus ORDER BY date_trunc('month', o_orderdate), o_orderkey)""",
+)
+def win_running_sum(t: Tables) -> DataFrame:
+    """All orders numbered, ranked by month and added up within their status."""
+    orders = t("orders").select(
+        "o_orderstatus",
+        F.date_trunc("month", "o_orderdate").alias("month"),
+        "o_orderkey",
+        F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"),
+    )
+    return ranking.running(orders, ["o_orderstatus"], ["month"], ["o_orderkey"], "cents").drop("month", "cents")
+
+
 @query(
     "win_dense_rank",
     """SELECT o_orderpriority, o_orderstatus, o_orderkey, CAST(r AS INTEGER) AS dense_rank FROM (

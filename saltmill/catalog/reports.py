@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..plans import rental
+from ..plans import maintained, rental
+from ..plans.star import MONEY
 from .registry import Tables, query
 
 _BRIDGE = "(SELECT DISTINCT l_suppkey, l_partkey FROM lineitem)"
 _ACTOR = "(SELECT s_suppkey, s_name || ' ' || n_name AS full_name FROM supplier JOIN nation ON s_nationkey = n_nationkey)"
 _CENTS = "CAST(l_extendedprice AS DECIMAL(18,2))"
+MONEY_SUM = "decimal(28,2)"
 _OPEN = "(l_returnflag = 'N' AND l_shipdate >= TIMESTAMP '2001-01-01')"
 
 
@@ -288,6 +290,32 @@ def r_refresh(t: Tables) -> DataFrame:
     return rental.read_sales(t.spark, root, f"category STRING, total_sales {total}")
 
 
+@query("r_refresh_delta", _BY_TYPE)
+def r_refresh_delta(t: Tables) -> DataFrame:
+    """The view from sums per film kept up by batches: lines, more lines, corrections, one batch twice.
+
+    Returned lines come with double their price first and are corrected by the third batch.
+    """
+    root, schema = t.scratch("film-sums"), f"film_id BIGINT, amount {MONEY_SUM}"
+    lines = t("lineitem").select(
+        F.col("l_partkey").alias("film_id"),
+        F.col("l_extendedprice").cast(MONEY).alias("amount"),
+        (F.col("l_returnflag") == "R").alias("returned"),
+    )
+    came, went = F.lit(1).alias("sign"), F.lit(-1).alias("sign")
+    wrong = lines.where("returned").select("film_id", (F.col("amount") * 2).alias("amount"))
+    right = lines.where("returned").select("film_id", "amount")
+    batches = [
+        wrong.select("*", came),
+        lines.where("NOT returned").select("film_id", "amount", came),
+        wrong.select("*", went).unionAll(right.select("*", came)),
+    ]
+    for number in (1, 2, 2, 3):
+        maintained.apply_changes(batches[number - 1], root, number, schema, "amount")
+    sums = maintained.read_sums(t.spark, root, schema)
+    return rental.sales_by_category(sums, t.star.film_category(), t.star.category())
+
+
 @query(
     "r_sales_by_store",
     f"""SELECT s_suppkey AS store_id, n_name || ',' || r_name AS store, s_name || ' Manager' AS manager,

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialize
 from .joins import small_join
+from .numbering import POSITION_BITS
 
 
 def top_k(df: DataFrame, k: int, *order: str | Column) -> DataFrame:
@@ -58,3 +59,73 @@ def dense_rank_upto(
     ranks = materialize(ranks, "dense-rank")
     rows = df.withColumn("_k", F.struct(*keys)).withColumn("_v", F.struct(order))
     return small_join(rows, ranks, ["_k", "_v"]).select(*df.columns, name)
+
+
+def running(
+    df: DataFrame,
+    keys: list[str],
+    peers: list[str],
+    ties: list[str],
+    total: str | None = None,
+    names: tuple[str, str, str, str] = ("row_number", "rank", "dense_rank", "running_sum"),
+) -> DataFrame:
+    """Row number, rank, dense rank and running sum of every row, whatever the share of its key.
+
+    Rows of a key are ordered by ``peers``, which decide the ranks, then by ``ties``, which must
+    settle the order (both ascending, NULL first). The table is sorted by ranges of key and
+    order, so a large key is spread over many ranges, and windows run within a range only. What
+    a range needs of those before it (rows, sum, distinct values, where its first value began)
+    comes from one row per range and key; only keys of several ranges have such rows, at
+    most two per range. ``total`` should be a whole number or a decimal: sums of
+    doubles depend on the order of addition.
+    """
+    order = [*keys, *peers, *ties]
+    stored = materialize(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()), "running")
+    stored = stored.withColumn("_part", F.shiftright("_id", POSITION_BITS))
+    value, key, add = F.struct(*peers), F.struct(*keys), F.col(total) if total else F.lit(0).cast("long")
+    rows = stored.withColumns({"_k": key, "_v": value, "_add": add})
+    local = Window.partitionBy("_part", "_k").orderBy("_id")
+    by_value = Window.partitionBy("_part", "_k").orderBy("_v")
+    rows = rows.withColumns({
+        "_rn": F.row_number().over(local),
+        "_rank": F.rank().over(by_value),
+        "_dense": F.dense_rank().over(by_value),
+        "_sum": F.sum("_add").over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+    })
+    ranges = rows.groupBy("_part", "_k").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum("_add").alias("s"),
+        F.max("_dense").alias("d"),
+        F.min("_v").alias("first"),
+        F.max("_v").alias("last"),
+        F.max("_rank").alias("last_rank"),
+    )
+    ranges = materialize(ranges, "running-ranges")
+    several = ranges.groupBy("_k").agg(F.count(F.lit(1)).alias("parts")).where("parts > 1").select("_k")
+    ranges = small_join(ranges, materialize(several, "running-keys"), "_k", "left_semi")
+    # One row per range of a key.
+    w = Window.partitionBy("_k").orderBy("_part")
+    before, upto = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = ranges.withColumns({
+        "_rows": F.coalesce(F.sum("n").over(before), F.lit(0)),
+        "_total": F.sum("s").over(before),
+        "_goes_on": F.coalesce(F.col("first").eqNullSafe(F.lag("last").over(w)) & (F.row_number().over(w) > 1), F.lit(False)),
+    })
+    # Where the last value of a range began; a range of one value that goes on began earlier.
+    began = F.when(~F.col("_goes_on") | (F.col("d") > 1), F.col("_rows") + F.col("last_rank"))
+    ranges = ranges.withColumn("_began", F.last(began, ignorenulls=True).over(upto))
+    ranges = ranges.select(
+        "_part", "_k", "_rows", "_total", "_goes_on",
+        F.lag("_began").over(w).alias("_first_rank"),
+        (F.coalesce(F.sum("d").over(before), F.lit(0)) - F.sum(F.col("_goes_on").cast("int")).over(upto)).alias("_values"),
+    )
+    rows = small_join(rows, materialize(ranges, "running-carry"), ["_part", "_k"], "left")
+    ahead = F.coalesce("_rows", F.lit(0))
+    out = [
+        (ahead + F.col("_rn")).cast("long"),
+        F.when(F.col("_goes_on") & (F.col("_rank") == 1), F.col("_first_rank")).otherwise(ahead + F.col("_rank")).cast("long"),
+        (F.coalesce("_values", F.lit(0)) + F.col("_dense")).cast("long"),
+        F.when(F.col("_total").isNull(), F.col("_sum")).otherwise(F.col("_total") + F.coalesce("_sum", F.lit(0))),
+    ]
+    wanted = list(zip(out, names, strict=True))[: 4 if total else 3]
+    return rows.select(*df.columns, *[c.alias(name) for c, name in wanted])

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from rows import rows
 from pyspark.sql import Window, functions as F
@@ -54,3 +56,51 @@ def test_assign_ids_keeps_given_ids(spark):
     got = numbering.assign_ids(df, "id", ["name"])
     assert got.schema == df.schema
     assert rows(got) == [(3, "a"), (7, "d"), (8, "b"), (9, "c")]
+
+
+# ---- all rows of hot keys -----------------------------------------------------
+
+
+def _all_windows(docs):
+    """(key, peer, tie, amount) with row number, rank, dense rank and running sum, plainly."""
+    out, none_first = [], lambda v: (v is not None, v)
+    for key in {d[0] for d in docs}:
+        mine = sorted((d for d in docs if d[0] == key), key=lambda d: (none_first(d[1]), d[2]))
+        values = [d[1] for d in mine]
+        distinct = sorted(set(values), key=none_first)
+        done = None
+        for i, d in enumerate(mine):
+            done = done if d[3] is None else (done or 0) + d[3]
+            out.append((*d, i + 1, values.index(d[1]) + 1, distinct.index(d[1]) + 1, done))
+    return sorted(out, key=repr)
+
+
+def _running_rows(n, seed, keys="aaab", values=5):
+    rng = random.Random(seed)
+    docs = []
+    for i in range(n):
+        key, value = rng.choice([*keys, None]), rng.choice([None, *range(values)])
+        docs.append((key, value, i, rng.choice([None, rng.randrange(-50, 50)])))
+    return docs
+
+
+@pytest.mark.parametrize("n, values", [(0, 5), (1, 5), (400, 1), (400, 3), (400, 100)])
+@pytest.mark.parametrize("parts", ["1", "13"])
+def test_running_over_ranges_of_hot_keys(spark, conf, n, values, parts):
+    """One key with most rows and values that fill whole ranges."""
+    conf("spark.sql.shuffle.partitions", parts)
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    docs = _running_rows(n, values, values=values)
+    df = spark.createDataFrame(docs, "key string, value int, tie int, amount long")
+    assert rows(ranking.running(df, ["key"], ["value"], ["tie"], "amount")) == _all_windows(docs)
+
+
+def test_running_keeps_a_hot_key_out_of_one_task(spark, conf):
+    conf("spark.sql.shuffle.partitions", "8")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    df = spark.range(4000).selectExpr("'k' AS key", "0 AS value", "id AS tie")
+    got = ranking.running(df, ["key"], ["value"], ["tie"], names=("i", "r", "d", "s"))
+    assert got.columns == ["key", "value", "tie", "i", "r", "d"]
+    assert got.where("i <> tie + 1 OR r <> 1 OR d <> 1").count() == 0
+    tasks = got.groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 3 and max(t["count"] for t in tasks) < 2000
