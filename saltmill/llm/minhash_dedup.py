@@ -8,8 +8,16 @@ components by large-star and small-star.
 
 No bucket is turned into all its pairs. Members are first compared with two hubs of their
 bucket; those that are not yet in the component of a third hub with that one; in the end
-members of one bucket in different components meet each other, so no link between components
-is lost. Pairs leave that join only if their parity bitmaps allow the similarity: bit i is
+members of one bucket in different components are compared, so no link between components
+is lost. Buckets with few members left are joined by their key. Members of larger ones meet
+only if they share one of their rarest shingles (a prefix filter): of sets of n and m shingles
+at least 3 (n + m) / 7 must be common, so the n - 3 (n + m) / 7 + 1 rarest of one and the
+rarest of the other cannot all differ. Sizes lie in bands a twentieth wide, and a set gives one
+prefix per band of partners, since m decides its length. Documents that share a boilerplate
+but stay below the threshold hold more shingles of their own than a prefix has, so they do not
+meet at all. Members of one component are not paired.
+
+Pairs leave the joins only if their parity bitmaps allow the similarity: bit i is
 the parity of the number of shingles with hash i modulo 1024, so the bits in which two
 documents differ are at most the shingles in which they differ. That bound is exact, and
 leaves out nearly all pairs below the threshold before anything is fetched for them.
@@ -27,6 +35,7 @@ hashes; classes are 64-bit hashes of the sorted set.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import OrderedDict
 
 import numpy as np
@@ -34,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
-from .common import free_names, map_rows, pick
+from .common import counted_join, free_names, map_rows, pick
 from .components import components
 from .registry import query
 
@@ -45,6 +54,10 @@ PERCENT = 75
 BITMAP = 16
 # Estimates below this are rejected without the sets: more than six deviations under 0.75.
 LEAST_ESTIMATE = 0.5
+# Buckets with at most this many members left are joined by key, larger ones by rare shingles.
+PAIRED = 32
+# A size band ends where the size has grown by this factor.
+GROWTH = 1.05
 # A task remembers the hashes of this many words, and the sets of this many classes.
 MEMORY = 500_000
 SETS = 32
@@ -52,6 +65,21 @@ SETS = 32
 _U = np.uint64
 
 
+def _band_edges(most: int = 2**31) -> list[int]:
+    edges = [1]
+    while edges[-1] < most:
+        edges.append(max(edges[-1] + 1, int(edges[-1] * GROWTH)))
+    return edges
+
+
+# The least size of every band.
+EDGES = _band_edges()
+
+
+def _band(n: int) -> int:
+    return bisect_right(EDGES, n) - 1
+
+
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= MEMORY:
@@ -201,7 +229,12 @@ def _hub_pairs(members: DataFrame, hubs: list[Column], sides: DataFrame) -> Data
     )
     pairs = pairs.select(
         F.least("class", "hub.class").alias("a"), F.greatest("class", "hub.class").alias("b")
-    ).distinct()
+    )
+    return _allowed(pairs.distinct(), sides)
+
+
+def _allowed(pairs: DataFrame, sides: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose parity bitmaps allow a link."""
     a = sides.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"))
     b = sides.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
     fits = _bits_fit(F.col("na"), F.col("ba"), F.col("nb"), F.col("bb"))
@@ -242,7 +275,7 @@ def find_links(signed: DataFrame, docs: DataFrame, id_column: str, text_column:
     links = verify(_hub_pairs(members, hubs, sets), sets, "dedup-hubs")
     roots = components(links)
     members = members.select("key", "class", "n")
-    for find in (_third_hub_pairs, _all_pairs):
+    for find in (_third_hub_pairs, _last_pairs):
         members = _mixed_members(members, roots)
         more = verify(find(members, sets), sets, "dedup-more")
         if not more.isEmpty():
@@ -272,8 +305,19 @@ def _third_hub_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     return _hub_pairs(others, [F.struct("third.class", "third.n")], sets)
 
 
-def _all_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+def _last_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs of members of one bucket that no link has brought together so far."""
+    held = members.groupBy("key").agg(F.count(F.lit(1)).alias("held"))
+    held = materialize(held, "dedup-held")
+    few = members.join(held.where(F.col("held") <= PAIRED).select("key"), "key")
+    many = members.join(held.where(F.col("held") > PAIRED).select("key"), "key")
+    many = materialize(many.select("class", "n", "root").distinct(), "dedup-many")
+    pairs = _bucket_pairs(few, sets)
+    return pairs if many.isEmpty() else pairs.union(_rare_pairs(many, sets)).distinct()
+
+
+def _bucket_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs within buckets of at most ``PAIRED`` members: at most that many per member."""
     members = materialize(members.join(sets.select("class", "bits"), "class"), "dedup-last")
     other = members.select(
         "key",
@@ -291,6 +335,74 @@ def _all_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.select(F.col("class").alias("a"), F.col("other").alias("b")).distinct()
 
 
+def _shingles_of(words, name, text):
+    return name, shingles(text, words).view(np.int64).tolist()
+
+
+def _prefixes(name, n, root, rare):
+    """Keys of the rarest shingles, as the smaller and as the larger of a pair.
+
+    ``rare`` has the shingles that other members hold as well, rarest first; the others of
+    the ``n`` come before them and can match nothing, so they only use up the prefix.
+    """
+    tokens = np.array(rare, dtype=np.int64).view(np.uint64)
+    own, band, least = n - len(tokens), _band(n), -(-PERCENT * n // 100)
+
+    def keys(partners, pair):
+        out = [np.empty(0, dtype=np.uint64)]
+        for other in partners:
+            common = -(-PERCENT * (n + max(EDGES[other], least)) // (100 + PERCENT))
+            low, high = pair(other)
+            length = n - common + 1 - own
+            if length > 0:
+                out.append(_mixed(tokens[:length] * _U(0x9E3779B97F4A7C15) + _U(low << 32 | high)))
+        return np.concatenate(out).view(np.int64).tolist()
+
+    smaller = keys(range(band, _band(100 * n // PERCENT) + 1), lambda other: (band, other))
+    larger = keys(range(_band(least), band + 1), lambda other: (other, band))
+    return name, n, root, smaller, larger
+
+
+def _rare_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of members (class, n, root) of different roots that may be linked, by prefixes."""
+    texts = members.join(sets.select("class", "text"), "class").select("class", "text")
+    held = map_rows(
+        texts, _shingles_of, "class bigint, tokens array<bigint>", setup=_WordHashes
+    )
+    tokens = materialize(held, "dedup-shingles").select("class", F.explode("tokens").alias("token"))
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    counts = materialize(counts.withColumn("rarity", F.col("held")), "dedup-rarity")
+    # A shingle that one member only has is in no pair, so it is not sorted either.
+    shared = counted_join(tokens, counts, "token", "held", F.col("class"))
+    ranked = shared.groupBy("class").agg(
+        F.array_sort(F.collect_list(F.struct("rarity", "token"))).alias("rare")
+    )
+    prefixes = map_rows(
+        ranked.join(members, "class").select("class", "n", "root", "rare.token"),
+        _prefixes,
+        "class bigint, n bigint, root bigint, smaller array<bigint>, larger array<bigint>",
+    )
+    prefixes = materialize(prefixes, "dedup-prefixes")
+    low = prefixes.select("class", "n", "root", F.explode("smaller").alias("k"))
+    high = prefixes.select(
+        F.col("class").alias("other"),
+        F.col("n").alias("m"),
+        F.col("root").alias("other_root"),
+        F.explode("larger").alias("k"),
+    )
+    # Roots meet first, so the members of one component are never paired with each other.
+    low_roots = low.select("k", "root").distinct()
+    high_roots = high.select("k", "other_root").distinct()
+    met = low_roots.join(high_roots, "k").where("root <> other_root")
+    met = materialize(met, "dedup-roots")
+    pairs = low.join(met, ["k", "root"]).join(high, ["k", "other_root"])
+    # Of two members of one band each is the smaller once.
+    first = F.struct("n", "class") < F.struct(F.col("m").alias("n"), F.col("other").alias("class"))
+    pairs = pairs.where(first & _sizes_fit(F.col("n"), F.col("m")))
+    pairs = pairs.select(F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b"))
+    return _allowed(pairs.distinct(), sets)
+
+
 def near_duplicates(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 ) -> tuple[DataFrame, DataFrame]:

@@ -590,6 +590,61 @@ def test_near_duplicates(spark):
     assert Counter(got) == Counter(empty + roots)
 
 
+def loose_sets(spark, texts, roots):
+    """(members, sets) of texts as the last step of near-dedup gets them."""
+    table = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    signed = minhash_dedup.sign(table).join(table, "doc_id")
+    root = F.element_at(F.array(*[F.lit(r) for r in roots]), (F.col("doc_id") + 1).cast("int"))
+    rows = signed.withColumn("root", root.cast("long"))
+    return rows.select("class", "n", "root"), rows.select("class", "n", "bits", "signature", "text", "doc_id")
+
+
+def test_rare_pairs_lose_no_link(spark):
+    rng = np.random.default_rng(8)
+    texts = []
+    for g in range(6):
+        base = fixtures.prose(80 + g, int(rng.integers(20, 120)))
+        for i in range(14):
+            copy = list(base[: len(base) - int(rng.integers(0, len(base) // 4))])
+            for k in rng.integers(0, len(copy), int(rng.integers(0, 4))):
+                copy[k] = f"y{g}{i}{k}"
+            texts.append(" ".join([*copy, f"end{g}{i}"]))
+    roots = [int(rng.integers(0, 60)) for _ in texts]
+    members, sets = loose_sets(spark, texts, roots)
+    names = {r["class"]: r["doc_id"] for r in sets.select("class", "doc_id").collect()}
+    got = {
+        tuple(sorted((names[r["a"]], names[r["b"]])))
+        for r in minhash_dedup._rare_pairs(members, sets).collect()
+    }
+    tool = minhash_dedup._WordHashes()
+    held = [set(minhash_dedup.shingles(t, tool).tolist()) for t in texts]
+    want = {
+        (i, j)
+        for j in range(len(texts))
+        for i in range(j)
+        if roots[i] != roots[j] and 100 * len(held[i] & held[j]) >= 75 * len(held[i] | held[j])
+    }
+    assert len(want) > 50 and want <= got
+    assert all(roots[i] != roots[j] for i, j in got)
+
+
+def test_loose_group_is_not_paired(spark, monkeypatch):
+    """Documents that share four fifths of their words and no more never meet."""
+    shared = fixtures.prose(90, 160)
+    texts = [" ".join(shared + [f"own{i}x{k}" for k in range(40)]) for i in range(300)]
+    members, sets = loose_sets(spark, texts, range(300))
+    monkeypatch.setattr(minhash_dedup, "_allowed", lambda pairs, sides: pairs)
+    assert minhash_dedup._rare_pairs(members, sets).count() == 0
+    # One component, whatever its size, is not paired with itself.
+    members, sets = loose_sets(spark, [" ".join([*shared, f"end{i}"]) for i in range(300)], [1] * 300)
+    assert minhash_dedup._rare_pairs(members, sets).count() == 0
+
+
+def test_near_duplicates_by_rare_shingles(spark, monkeypatch):
+    monkeypatch.setattr(minhash_dedup, "PAIRED", 0)
+    test_near_duplicates(spark)
+
+
 def test_near_duplicates_of_nothing(no_docs):
     assert minhash_dedup.near_duplicates(no_docs)[0].count() == 0
     assert minhash_dedup.survivors(no_docs).count() == 0
