@@ -4,7 +4,8 @@ Texts are cut into lower-case words joined by single blanks. A notice may differ
 edits, so of its k + 1 equal pieces one must occur exactly: an automaton of all pieces finds
 these seeds, and around each seed the regex library matches the notice with at most k errors.
 The name that tells a notice from those of other licences ("mit", "lesser", "nc") may differ by at
-most half of its characters, and must not be the name of another licence.
+most half of its characters, and must not be the name of another licence; a label with a version
+needs its numbers. A stretch that lacks more letters of the notice than edits are allowed is passed over.
 Finds carry their label, word span and number of edits.
 
 NULL text has no words. Every row is judged by itself: repeated rows get equal results. An
@@ -13,10 +14,11 @@ empty table gives an empty result. Columns other than id and text are not read.
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 from functools import cache
 
 import ahocorasick
+import numpy as np
 import regex
 from pyspark.sql import DataFrame, functions as F
 
@@ -38,6 +40,8 @@ NOTICES = (
     ("redistribution and use in source and binary forms", "bsd"),
     ("licensed under cc by nc 4 0", "cc-by-nc"),
     ("licensed under cc by sa 4 0", "cc-by-sa"),
+    ("licensed under cc by nc sa 4 0", "cc-by-nc-sa"),
+    ("licensed under cc by nc nd 4 0", "cc-by-nc-nd"),
     ("licensed under the gnu general public license", "gpl"),
     ("licensed under the gnu lesser general public license", "lgpl"),
     ("subject to the terms of the mozilla public license", "mpl"),
@@ -114,6 +118,17 @@ def _named(notice: str, text: str, m) -> bool:
     return not any(w != name and w in OTHER_NAMES for w in words)
 
 
+def _letters_lacking(letters: tuple, stretch: str) -> int:
+    """Letters of a notice that a stretch does not hold; every one of them costs an edit."""
+    return sum(max(0, n - stretch.count(c)) for c, n in letters)
+
+
+def _version_fits(label: str, match: str) -> bool:
+    """A label that names a version is not given to a match with other numbers."""
+    numbers = {c for c in label if c.isdigit()}
+    return not numbers or all(w in numbers for w in match.split() if w.isdigit())
+
+
 @cache
 def _tools(notices: tuple):
     seeds: dict[str, list] = {}
@@ -127,19 +142,27 @@ def _tools(notices: tuple):
     patterns = [
         regex.compile(f"(?be)(?:{_pattern(n)}){{e<={edits_allowed(n)}}}") for n, _ in notices
     ]
-    return automaton, patterns
+    return automaton, patterns, [tuple(Counter(n).items()) for n, _ in notices]
 
 
 def fuzzy_finds(text: str, notices: tuple = NOTICES) -> list[tuple[int, int, int, int]]:
     """(notice number, start, end, edits) in a normal text, one per place, best first."""
-    automaton, patterns = _tools(notices)
-    found = {}
+    automaton, patterns, letters = _tools(notices)
+    found, searched = {}, set()
     for end, (length, places) in automaton.iter(text):
         for i, offset in places:
-            k, notice = edits_allowed(notices[i][0]), notices[i][0]
+            notice, label = notices[i]
+            k = edits_allowed(notice)
             first = max(0, end + 1 - length - offset - k)
-            m = patterns[i].search(text, first, min(len(text), first + len(notice) + 3 * k))
-            if m and _named(notice, text, m):
+            # The pieces of one notice point to the same stretch.
+            if (i, first) in searched:
+                continue
+            searched.add((i, first))
+            stop = min(len(text), first + len(notice) + 3 * k)
+            if _letters_lacking(letters[i], text[first:stop]) > k:
+                continue
+            m = patterns[i].search(text, first, stop)
+            if m and _named(notice, text, m) and _version_fits(label, m.group()):
                 found[i, m.start(), m.end()] = sum(m.fuzzy_counts)
     # Of overlapping finds those with the fewest edits stay, one per notice. Kept finds are
     # looked up by place, so a text full of notices costs no more per find.
@@ -154,34 +177,43 @@ def fuzzy_finds(text: str, notices: tuple = NOTICES) -> list[tuple[int, int, int
 
 
 def _phrase_starts(text: str) -> list[tuple[int, str]]:
-    """(word number, label) of every place of a base phrase."""
+    """(place, label) of every place of a base phrase."""
     padded, out = f" {text} ", []
     for phrase, label in PHRASES.items():
         at = padded.find(f" {phrase} ")
         while at >= 0:
-            out.append((padded.count(" ", 0, at), label))
+            out.append((at, label))
             at = padded.find(f" {phrase} ", at + 1)
     return out
 
 
+def _word_numbers(text: str, places: list[int]) -> list[int]:
+    """The blanks before each place of a normal text: the number of the word there."""
+    if not places:
+        return []
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    return np.searchsorted(np.flatnonzero(codes == 32), places).tolist()
+
+
 def _scan_row(doc_id, text):
     words = normal_words(text)
     normal = b" ".join(words).decode("utf-8", "surrogatepass")
     starts = _phrase_starts(normal)
+    at = _word_numbers(normal, [place for place, _ in starts])
     finds = fuzzy_finds(normal)
     base = {label for _, label in starts}
     return (
         doc_id,
         len(words),
         len(starts),
-        min((w for w, _ in starts), default=None),
-        max((w for w, _ in starts), default=None),
+        min(at, default=None),
+        max(at, default=None),
         ",".join(sorted(base)),
         ",".join(sorted(base | {NOTICES[i][1] for i, *_ in finds})),
         max([1.0] * bool(starts) + [1 - e / len(NOTICES[i][0]) for i, _, _, e in finds], default=0.0),
         [NOTICES[i][1] for i, *_ in finds],
-        [normal.count(" ", 0, s) for _, s, _, _ in finds],
-        [normal.count(" ", 0, e) for _, _, e, _ in finds],
+        _word_numbers(normal, [s for _, s, _, _ in finds]),
+        _word_numbers(normal, [e for _, _, e, _ in finds]),
         [edits for *_, edits in finds],
     )
 
