@@ -73,14 +73,14 @@ def remainder(id_column: str, modulus: int) -> Column:
 def hashed_sample(rows: DataFrame, group: str, key: str, k: int, max_groups: int) -> DataFrame:
     """At most ``k`` rows per group, the first by a hash of ``key``; ``max_groups`` groups at most.
 
-    Groups are counted first, and rows thinned by their hash to about 4 k per group before they
+    Keys of groups are counted first, and rows thinned by their hash to about 4 k per group before they
     meet, so what a task ranks does not grow with the table. The hash of a key is the same in
-    every run. NULL groups and keys are left out; rows of one key are taken together or not
-    at all, up to the bound.
+    every run. NULL groups and keys are left out; a key that a group has several times counts
+    once and gives one row.
     """
     rows = rows.where(F.col(group).isNotNull() & F.col(key).isNotNull())
     # One row per group, max_groups at most.
-    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), group)
+    counts = rows.groupBy(group).agg(F.approx_count_distinct(key).alias("n")).orderBy(F.desc("n"), group)
     share = {r[0]: min(1.0, 4 * k / r["n"]) for r in counts.limit(max_groups).collect()}
     if not share:
         return rows.limit(0)
@@ -91,6 +91,7 @@ def hashed_sample(rows: DataFrame, group: str, key: str, k: int, max_groups: int
     first = Window.partitionBy(group).orderBy("_place", key)
     return (
         rows.where(part < F.coalesce(F.try_element_at(shares, F.col(group)), F.lit(0.0)))
+        .dropDuplicates([group, key])
         .withColumn("_place", place)
         .withColumn("_rank", F.row_number().over(first))
         .where(F.col("_rank") <= k)

@@ -9,8 +9,9 @@ kept-back rows and letter noise (characters drawn from the kept-back texts, any
 more often wrong than right; for noise at most a share of ``loss`` of the right rows is given up.
 With one language every confidence is 1, and only texts without a letter are rejected.
 
-Training reads a bounded sample (``per_language`` rows of each language, the first by a hash of
-the id; of those the texts of at most ``train_chars`` characters); prediction reads every whole text.
+Training reads a bounded sample: of the texts of at most ``train_chars`` characters ``per_language``
+of each language, the first by a hash of the id, one text per id; if they hold more than
+``sample_chars`` characters, an equal share of every language. Prediction reads every whole text.
 
 NULL text, or text without a letter, is ``und``, with score 0, and rejected. Rows without a
 language or id do not train. Repeated rows get equal results. Without any labelled row every
@@ -25,6 +26,7 @@ import numpy as np
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import materialize
 from .common import hashed_sample, map_rows, pick, remainder
 from .registry import query
 
@@ -199,6 +201,7 @@ def train(
     per_language: int = 500,
     max_languages: int = 500,
     train_chars: int = 20_000,
+    sample_chars: int = 100_000_000,
     precision: float = 0.95,
     loss: float = 0.01,
     id_column: str = "doc_id",
@@ -207,11 +210,17 @@ def train(
 ) -> Model:
     """Fit on the rows where ``trains`` (on doc_id) holds; see the module for the sample."""
     rows = pick(docs, doc_id=id_column, text=text_column, lang=lang_column)
-    ids = hashed_sample(rows.where(trains).select("lang", "doc_id"), "lang", "doc_id", per_language, max_languages)
-    # At most per_language ids of max_languages languages.
-    ids = F.broadcast(ids.distinct())
-    sample = rows.where(F.length("text").between(1, train_chars)).join(ids, ["lang", "doc_id"])
-    sample = sample.select("text", "lang", "doc_id").limit(2 * per_language * max_languages)
+    # Texts that cannot train take no place in the sample.
+    rows = rows.where(trains & F.length("text").between(1, train_chars))
+    ids = hashed_sample(rows.select("lang", "doc_id"), "lang", "doc_id", per_language, max_languages)
+    # At most per_language ids of max_languages languages; of rows equal in both one text is taken.
+    one = F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")
+    sample = rows.join(F.broadcast(ids), ["lang", "doc_id"]).groupBy("lang", "doc_id").agg(one)
+    sample = materialize(sample, "language-sample")
+    chars = sample.agg(F.sum(F.length("text"))).first()[0] or 0
+    if chars > sample_chars:
+        place = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+        sample = sample.where(place < sample_chars / chars)
     sample = sorted((r["doc_id"], r["text"], r["lang"]) for r in sample.collect())
     return fit([(text, lang) for _, text, lang in sample], precision, loss=loss)
 

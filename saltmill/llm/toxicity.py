@@ -5,8 +5,8 @@ beginnings; the document's is the noisy-or of its sentences, 1 - prod(1 - p). We
 trained from document labels alone, so the sentences that carry a label are found on the way,
 and the worst ones are reported.
 
-Training reads a bounded sample (``per_class`` labelled rows of each class, the first by a hash
-of the id; of those the texts of at most ``train_chars`` characters); scoring reads every whole text.
+Training reads a bounded sample: of the labelled texts of at most ``train_chars`` characters
+``per_class`` of each class, the first by a hash of the id, one text per id. Scoring reads every whole text.
 
 NULL and empty texts have no sentence and score 0. Unlabelled rows and rows without an id do not
 train. Repeated rows get equal results. Without labels, or with one class only, all scores are
@@ -136,12 +136,15 @@ def train(
     )
     # Several labels of one document: toxic if any says so.
     graded = graded.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    # At most per_class ids of two classes.
-    chosen = F.broadcast(hashed_sample(graded, "toxic", "doc_id", per_class, 2))
     texts = pick(docs, doc_id=id_column, text=text_column)
-    texts = texts.where(F.length("text").between(1, train_chars)).join(chosen, "doc_id")
-    texts = texts.limit(4 * per_class)
-    rows = sorted((r["doc_id"], r["text"], r["toxic"]) for r in texts.collect())
+    # Texts that cannot train take no place in the sample.
+    texts = texts.where(F.length("text").between(1, train_chars))
+    graded = graded.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
+    # At most per_class ids of two classes; of rows with one id one text is taken.
+    chosen = F.broadcast(hashed_sample(graded, "toxic", "doc_id", per_class, 2))
+    one = F.min(F.struct(F.xxhash64("text"), "text"))["text"].alias("text")
+    rows = texts.join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(one)
+    rows = sorted((r["doc_id"], r["text"], r["toxic"]) for r in rows.collect())
     return fit([(text, toxic) for _, text, toxic in rows])
 
 

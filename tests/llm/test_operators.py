@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections import Counter
 
 import numpy as np
@@ -329,6 +330,13 @@ def test_seeds_lose_no_match(notice):
         ("licensed under the mit license", "mit"),
         ("licensed under the m i t license", "mit"),
         ("licensed under the gnu leser general public license", "gpl,lgpl"),
+        ("licensed under the apache license version 1 1", ""),
+        ("licensed under the apache license version 2 0", "apache-2.0"),
+        ("licensed under the apache lisence version 2 o", "apache-2.0"),
+        ("licensed under cc by nc sa 4 0", "cc-by,cc-by-nc-sa"),
+        ("licensed under cc by nc nd 4 0", "cc-by,cc-by-nc-nd"),
+        ("licensed under cc by nc 4 0", "cc-by,cc-by-nc"),
+        ("licensed under cc by sa 3 0", "cc-by,cc-by-sa"),
     ],
 )
 def test_notices_of_other_licenses(phrase, labels):
@@ -336,6 +344,18 @@ def test_notices_of_other_licenses(phrase, labels):
     assert row[6] == labels
 
 
+def test_texts_dense_in_notices():
+    """Time grows with the text, not with its square."""
+    start = time.perf_counter()
+    row = license_scan._scan_row(1, "cc by " * 80_000)
+    assert (row[2], row[3], row[4]) == (80_000, 0, 159_998)
+    row = license_scan._scan_row(1, "license " * 40_000)
+    assert (row[1], row[2], row[6]) == (40_000, 0, "")
+    row = license_scan._scan_row(1, "licensed under the mit license " * 2_000)
+    assert row[6] == "mit" and len(row[8]) == 2_000 and row[9][:2] == [0, 5]
+    assert time.perf_counter() - start < 30
+
+
 def test_license_scan_of_nothing(no_docs):
     assert license_scan.scan(no_docs).count() == 0
 
@@ -525,6 +545,30 @@ def test_toxicity(spark, docs, no_docs):
     assert toxicity.score(no_docs, model).count() == 0
 
 
+def test_samples_hold_usable_rows(spark):
+    """Empty, long and repeated rows take no place of texts that can train."""
+    rows = [(i, "x" * 900 if i % 2 else "", "en", "a") for i in range(300)]
+    rows += [(1000 + i, f"usable words number {i}", "en", "a") for i in range(6)]
+    rows += [(2000, "ordinary words all over again", "de", "a")] * 300 + [(2001, "awful nasty words", "de", "a")]
+    table = fixtures.table(spark, rows)
+    with pytest.MonkeyPatch.context() as patch:
+        seen = []
+        patch.setattr(language_id, "fit", lambda sample, *a, **k: seen.extend(sample))
+        language_id.train(table, F.lit(True), per_language=5, train_chars=100)
+        assert Counter(lang for _, lang in seen) == {"en": 5, "de": 2}
+        seen.clear()
+        language_id.train(table, F.lit(True), per_language=5, train_chars=100, sample_chars=60)
+        assert 0 < sum(len(t) for t, _ in seen) < 150
+    labels = spark.createDataFrame(
+        [(i, i % 2, 1) for i in range(300)] + [(2000, 0, 1), (2001, 1, 1)], "doc_id long, toxic int, quality int"
+    )
+    with pytest.MonkeyPatch.context() as patch:
+        seen = []
+        patch.setattr(toxicity, "fit", seen.extend)
+        toxicity.train(table, labels, F.lit(True), per_class=2, train_chars=100)
+        assert sorted(seen) == [("awful nasty words", 1), ("ordinary words all over again", 0)]
+
+
 def test_noisy_or():
     assert toxicity.noisy_or([0.5, 0.5]) == pytest.approx(0.75)
     assert toxicity.noisy_or([]) == 0.0 and toxicity.noisy_or([1.0]) <= 1.0
