@@ -1,12 +1,17 @@
 """Line dedup by winnowing over line hashes.
 
 Lines with a word are hashed. Every stretch of lines that first reaches ``min_words`` words is
-a window; the line with the smallest hash in it is its fingerprint, so any passage of
-``min_words`` words that two places share has a fingerprint in common. Fingerprints found at two
-places or more are joined by hash, and the windows that reach them, forward and backward, are
-compared whole with the first place of the same content. Together these windows are the
-matches extended both ways as far as they go: a line is deleted exactly if it lies in a run of
-lines of ``min_words`` words or more, the same as a run at an earlier place.
+a window, taken forward and backward; the line with the smallest hash in it (the first of equals)
+is selected. Of all windows that select a line one position is kept, with the hashes of the lines
+that these windows span. So any passage of ``min_words`` words that two places share has a position
+in common.
+
+Positions are joined by hash with the first position of the same hash and compared line by line
+outward, both ways: a run of equal lines of ``min_words`` words or more is a match, and the later
+place is deleted. Windows that such a match does not cover stand, if they match at all, in places
+that the first position does not match; they are joined once more, with the first place of the
+whole window. A line is thus deleted exactly if it lies in a run of lines of ``min_words`` words or more,
+the same as a run at an earlier place.
 
 Places are ordered by id, then text, then line; NULL ids come first. The earliest place of a
 line is never deleted, so every text survives somewhere. Lines without a word are neither
@@ -14,8 +19,10 @@ compared nor deleted; a document keeps its row even if all its lines go. NULL te
 Rows equal in id and text are one document: they are judged once and get the same result.
 Words are separated by blanks, tabs and line ends; lines end at a line feed.
 
-Only built-in functions: no Python in the tasks. Documents are compared by 64-bit hashes of lines
-and two 64-bit hashes of each window.
+Only whole lines are compared: a repeated passage that begins or ends inside a line is found as far
+as its whole lines reach ``min_words`` words, and not at all below that.
+
+Only built-in functions: no Python in the tasks. Lines are compared by a 64-bit and a 32-bit hash.
 """
 
 from __future__ import annotations
@@ -28,17 +35,26 @@ from .registry import query
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """One row per line with a word: doc, line number, hashes, words before it, words in it."""
-    lines = docs.select("doc_id", "th", F.posexplode(F.split("text", "\n")).alias("line", "value"))
-    lines = lines.withColumn("words", count_words(F.col("value"), SPACED_WORD)).where("words > 0")
-    return lines.select(
-        "doc_id", "th", "line", "words",
-        F.xxhash64("value").alias("h"), F.hash("value").alias("g"),
-    )
+    """One row per line with a word: doc, line number, hashes, words in it.
+
+    Copies of a row are combined in the tasks that read them, then once per document.
+    """
+    lines = F.transform(
+        F.split("text", "\n"),
+        lambda value, i: F.struct(
+            i.alias("line"),
+            F.xxhash64(value).alias("h"),
+            F.hash(value).alias("g"),
+            count_words(value, SPACED_WORD).cast("int").alias("words"),
+        ),
+    )
+    texts = docs.select("doc_id", "th", F.filter(lines, lambda x: x["words"] > 0).alias("lines"))
+    once = texts.where(F.size("lines") > 0).groupBy("doc_id", "th").agg(F.first("lines").alias("lines"))
+    return once.select("doc_id", "th", F.inline("lines"))
 
 
 def _windows(lines: DataFrame, min_words: int) -> DataFrame:
-    """Windows both ways with content hashes, fingerprint and the lines they reach.
+    """One row per window: selected line ``at``, its hash, lines before it (nearest first) and from it on.
 
     A window is given by where lines start or end in words: the lines that start less than
     ``min_words`` after the start of this one, or end less than that before its end.
@@ -50,54 +66,101 @@ def _windows(lines: DataFrame, min_words: int) -> DataFrame:
     ).withColumn("start", F.col("stop") - F.col("words"))
     ahead = doc.orderBy("start").rangeBetween(0, min_words - 1)
     back = doc.orderBy("stop").rangeBetween(-(min_words - 1), 0)
+    item = F.struct("line", "h", "g", "words")
     rows = rows.withColumns(
         {
-            "a_h": F.collect_list("h").over(ahead),
-            "a_g": F.collect_list("g").over(ahead),
-            "a_line": F.max("line").over(ahead),
+            "a": F.collect_list(item).over(ahead),
             "a_words": F.sum("words").over(ahead),
-            "b_h": F.collect_list("h").over(back),
-            "b_g": F.collect_list("g").over(back),
-            "b_line": F.min("line").over(back),
+            "b": F.collect_list(item).over(back),
             "b_words": F.sum("words").over(back),
         }
     )
+    # A window reached both ways is one.
+    found = F.array(*[F.when(F.col(f"{s}_words") >= min_words, F.col(s)) for s in "ab"])
+    found = F.array_distinct(F.filter(found, lambda x: x.isNotNull()))
+    rows = rows.select("doc_id", "th", F.explode(found).alias("window"))
+    rows = rows.withColumn("fp", F.array_min("window.h"))
+    rows = rows.withColumn("pick", F.array_position("window.h", F.col("fp")).cast("int"))
+    return rows.select(
+        "doc_id", "th", F.element_at("window", F.col("pick"))["line"].alias("at"), "fp",
+        F.reverse(F.slice("window", 1, F.col("pick") - 1)).alias("left"),
+        F.slice("window", F.col("pick"), F.size("window")).alias("right"),
+    )
+
 
-    def window(side: str, first: str, last: str) -> Column:
-        full = F.col(f"{side}_words") >= min_words
-        return F.when(
-            full,
+def positions(lines: DataFrame, min_words: int) -> DataFrame:
+    """The selected positions: what their windows span to the left and right, and each window's share."""
+    return (
+        _windows(lines, min_words)
+        .groupBy("doc_id", "th", "at")
+        .agg(
+            F.first("fp").alias("fp"),
+            F.max_by("left", F.size("left")).alias("left"),
+            F.max_by("right", F.size("right")).alias("right"),
+            F.collect_set(F.struct(F.size("left").alias("l"), F.size("right").alias("r"))).alias("spans"),
+        )
+    )
+
+
+def _equal(mine: str, other: str) -> Column:
+    """How many lines from the first on are the same in both arrays."""
+    same = F.zip_with(
+        mine, other, lambda x, y: x["h"].eqNullSafe(y["h"]) & x["g"].eqNullSafe(y["g"])
+    )
+    differ = F.array_position(same, F.lit(False)).cast("int")
+    return F.when(differ > 0, differ - 1).otherwise(F.size(mine))
+
+
+def _stretch(l: Column, r: Column) -> tuple[Column, Column]:
+    """First and last line of ``l`` lines to the left of the position and ``r`` from it on."""
+    first = F.when(l > 0, F.try_element_at("left", l)["line"]).otherwise(F.col("at"))
+    return first.alias("first"), F.try_element_at("right", r)["line"].alias("last")
+
+
+def _extended(later: DataFrame, min_words: int) -> DataFrame:
+    """Per position the run it shares with the first of its hash, and the windows beyond that run."""
+    rows = later.withColumns({"l": _equal("left", "o_left"), "r": _equal("right", "o_right")})
+    shared = F.concat(F.slice("left", 1, F.col("l")), F.slice("right", 1, F.col("r")))
+    words = F.aggregate(shared, F.lit(0), lambda total, x: total + x["words"])
+    run = F.when((F.col("r") > 0) & (words >= min_words), F.struct(*_stretch(F.col("l"), F.col("r"))))
+
+    def window(span):
+        lines = F.concat(F.reverse(F.slice("left", 1, span["l"])), F.slice("right", 1, span["r"]))
+        return F.struct(
             F.struct(
-                F.array_min(f"{side}_h").alias("fp"),
-                F.xxhash64(f"{side}_h").alias("w1"),
-                F.xxhash64(f"{side}_g").alias("w2"),
-                F.col(first).alias("first"),
-                F.col(last).alias("last"),
-            ),
+                F.xxhash64(F.transform(lines, lambda x: x["h"])).alias("w1"),
+                F.xxhash64(F.transform(lines, lambda x: x["g"])).alias("w2"),
+            ).alias("content"),
+            *_stretch(span["l"], span["r"]),
         )
 
-    both = F.array(window("a", "line", "a_line"), window("b", "b_line", "line"))
-    # A window reached both ways is one.
-    both = F.array_distinct(F.filter(both, lambda x: x.isNotNull()))
-    return rows.select("doc_id", "th", F.inline(both))
+    beyond = F.filter("spans", lambda span: (span["l"] > F.col("l")) | (span["r"] > F.col("r")))
+    return rows.select("doc_id", "th", run.alias("run"), F.transform(beyond, window).alias("rest"))
 
 
 def deleted_lines(docs: DataFrame, min_words: int) -> DataFrame:
     """Per document (doc_id, th) the stretches of lines to delete; ``docs`` has text as well."""
-    # Copies of a row are combined in the tasks that read them.
-    lines = _lines(docs).dropDuplicates(["doc_id", "th", "line"])
-    windows = materialize(_windows(lines, min_words), "line-windows")
-    place = F.struct("doc_id", "th", "first")
-    # Fingerprints that one window only has cannot match.
-    shared = windows.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = materialize(shared, "line-prints")
-    content = F.struct("fp", "w1", "w2")
-    met = counted_join(windows, shared, "fp", "n", place).withColumn("content", content)
-    met = materialize(met.drop("fp", "w1", "w2"), "line-matches")
-    firsts = met.groupBy("content").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("origin"))
-    firsts = materialize(firsts.where("n > 1"), "line-firsts")
-    later = counted_join(met, firsts, "content", "n", place).where(~place.eqNullSafe(F.col("origin")))
-    return later.groupBy("doc_id", "th").agg(
+    found = materialize(positions(_lines(docs), min_words), "line-positions")
+    place = F.struct("doc_id", "th", "at")
+    # Hashes that one position only has cannot match.
+    shared = found.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("origin"))
+    shared = materialize(shared.where("n > 1").withColumn("copies", F.col("n")), "line-prints")
+    met = materialize(counted_join(found, shared, "fp", "n", place), "line-matches")
+    is_first = place.eqNullSafe(F.col("origin"))
+    firsts = met.where(is_first).select(
+        "fp", F.col("copies").alias("n"), F.col("left").alias("o_left"), F.col("right").alias("o_right")
+    )
+    later = counted_join(met.where(~is_first).drop("origin", "copies"), firsts, "fp", "n", place)
+    later = materialize(_extended(later, min_words), "line-runs")
+    runs = later.where("run is not null").select("doc_id", "th", "run.first", "run.last")
+    # What the first position of the hash does not share, by whole windows.
+    rest = later.select("doc_id", "th", F.inline("rest"))
+    start = F.struct("doc_id", "th", "first")
+    heads = rest.groupBy("content").agg(F.count(F.lit(1)).alias("n"), F.min(start).alias("origin"))
+    heads = materialize(heads.where("n > 1"), "line-firsts")
+    again = counted_join(rest, heads, "content", "n", start).where(~start.eqNullSafe(F.col("origin")))
+    runs = runs.unionByName(again.select("doc_id", "th", "first", "last"))
+    return runs.groupBy("doc_id", "th").agg(
         F.array_sort(F.collect_set(F.struct("first", "last"))).alias("runs")
     )
 

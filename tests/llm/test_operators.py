@@ -463,6 +463,29 @@ def test_line_dedup(spark):
     )
 
 
+def test_line_dedup_around_common_lines(spark):
+    """The first position of a hash often stands in another passage than the repeated one."""
+    rows = []
+    for k in range(20):
+        part = [" ".join(fixtures.prose(9000 + 10 * k + i, 18, 10_000)) for i in range(8)]
+        common = f"a common line {k}"
+        rows.append((3 * k, "\n".join([part[0], part[1], common, part[2], part[3]])))
+        for i in (1, 2):
+            rows.append((3 * k + i, "\n".join([part[4], part[5], common, part[6], part[7], f"end {i}"])))
+    want = brute.cut_lines(rows)
+    cut = line_dedup.dedup(fixtures.table(spark, rows), report=False)
+    assert bag(cut, "doc_id", "text") == Counter((d[0], want[d][0]) for d in rows)
+    assert all(want[d][0] == f"end {2}" for d in rows[2::3])
+
+
+def test_line_positions_are_fewer_than_windows(spark):
+    rows = [(i, "\n".join(" ".join(fixtures.prose(50 * i + j, 9)) for j in range(60))) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("th", F.xxhash64("text"))
+    lines = line_dedup._lines(docs)
+    windows = line_dedup._windows(lines, 50).count()
+    assert line_dedup.positions(lines, 50).count() < lines.count() / 2 < windows / 2
+
+
 def test_line_dedup_of_nothing(no_docs):
     assert line_dedup.dedup(no_docs).count() == 0
 
