@@ -13,8 +13,8 @@ at one pass over the documents per block. Which items hold a window is looked up
 join, by the hash of the set of items, so that many items with one passage cost nothing there.
 
 NULL text has no words and no hits. NULL items have no windows. Windows equal in several items
-belong to all of them, a NULL item id counts as no id. Repeated documents are told apart by a
-row number; repeated items by nothing. Without items nothing is hit. Other columns are not
+belong to all of them, a NULL item id counts as no id. Documents equal in id and text are
+judged as one, and every row of them gets the result; repeated items count as one. Without items nothing is hit. Other columns are not
 read. Only built-in functions: no Python in the tasks.
 """
 

@@ -2,8 +2,9 @@
 
 Every text is searched for credentials of known form (base kinds) and for bare tokens.
 The value of each find is hashed; per hash the distinct repositories and owners are counted
-over the whole corpus. A value that many owners hold is a copied example; one that few hold
-and that looks random is live. Bare tokens count as finds only if they are live.
+over the whole corpus. A value that many owners hold, or that one owner has in many repositories,
+is a copied example; one that few hold and that looks random is live. Bare tokens count as
+finds only if they are live.
 
 NULL text has no finds. NULL repositories or owners count as one repository or owner. Repeated
 rows are judged one by one; they do not add repositories or owners. An empty table gives
@@ -108,15 +109,15 @@ def scan(
     repo_column: str = "doc_id",
     owner_column: str = "source",
     example_owners: int = 3,
-    live_owners: int = 1,
+    example_repos: int = 10,
     least_bits: float = 3.0,
 ) -> tuple[DataFrame, DataFrame]:
     """(one row per document, one row per find).
 
     A find has its span, kind, value_sha256, n_repos, n_owners and verdict: ``example`` if
-    at least ``example_owners`` owners hold the value, ``live`` if at most ``live_owners`` do
-    and it has at least ``least_bits`` bits per character, letters and digits; else
-    ``unclear``. Counts are exact: distinct places are taken before places are counted.
+    at least ``example_owners`` owners or ``example_repos`` repositories hold the value, else
+    ``live`` if it has at least ``least_bits`` bits per character, letters and digits; else
+    ``unclear``. So a value that two owners share is still reported. Counts are exact: distinct places are taken before places are counted.
     """
     rows = pick(docs, doc_id=id_column, text=text_column, repo=repo_column, owner=owner_column)
     kind = dict(rows.dtypes)["doc_id"]
@@ -158,8 +159,8 @@ def scan(
     )
     stats = materialize(stats, "secret-owners")
     verdict = (
-        F.when(F.col("n_owners") >= example_owners, "example")
-        .when((F.col("n_owners") <= live_owners) & (F.col("random") == 1), "live")
+        F.when((F.col("n_owners") >= example_owners) | (F.col("n_repos") >= example_repos), "example")
+        .when(F.col("random") == 1, "live")
         .otherwise("unclear")
     )
     names = F.array(*[F.lit(k) for k in KINDS])

@@ -88,13 +88,44 @@ def test_secret_spans(spark):
         want[doc_id, n[0], n[1], n[2], brute.sha(names)] += 1
     assert got == want
     by_id = {r["doc_id"]: r for r in digest.where("doc_id > 50").collect()}
-    # A bare token of one owner is added, one that three owners hold is an example.
+    # A bare token that few hold is added, one that three owners hold is an example.
     assert by_id[53]["spans"] == "bare:5:27" and by_id[53]["n_live"] == 1
     assert by_id[54]["spans"] == "" and by_id[59]["spans"] == ""
     copied = finds.where("doc_id = 54").first()
     assert (copied["verdict"], copied["n_owners"], copied["n_repos"]) == ("example", 3, 3)
 
 
+def _verdict(value, places, example_owners=3, example_repos=10):
+    """The rule of the scan over the (repository, owner) places of a value."""
+    repos = {(o, r) for r, o in places}
+    if len({o for _, o in places}) >= example_owners or len(repos) >= example_repos:
+        return "example"
+    return "live" if secret_scan.looks_random(value, 3.0) else "unclear"
+
+
+def test_secret_verdicts_by_repositories_and_owners(spark):
+    values = {
+        "Ab1kq83Jf0PzLmN45xYw7Rt": [(i, "a") for i in range(9)],
+        "Cd2kq83Jf0PzLmN45xYw7Rt": [(i, "a") for i in range(10)],
+        "Ef3kq83Jf0PzLmN45xYw7Rt": [(1, "a"), (1, "b")],
+        "Gh4kq83Jf0PzLmN45xYw7Rt": [(1, "a"), (2, "b"), (3, "c")],
+        "Ij5kq83Jf0PzLmN45xYw7Rt": [(1, "a")] * 30,
+        "Kl6kq83Jf0PzLmN45xYw7Rt": [(None, None)] * 12,
+        "Mn7kq83Jf0PzLmN45xYw7Rt": [(i, None) for i in range(12)],
+        "aaaaaaaaaaaaaaaaaaaaaa1": [(1, "a"), (2, "b")],
+    }
+    rows = [(r, o, v) for v, places in values.items() for r, o in places]
+    rows = [(i, f"bare {v} here", r, o) for i, (r, o, v) in enumerate(rows)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, repo int, owner string")
+    digest, finds = secret_scan.scan(docs, repo_column="repo", owner_column="owner")
+    want = {i: _verdict(text.split()[1], values[text.split()[1]]) for i, text, *_ in rows}
+    assert {r["doc_id"]: r["verdict"] for r in finds.collect()} == want
+    assert {r["doc_id"]: r["spans"] for r in digest.collect()} == {
+        i: "bare:5:28" if v == "live" else "" for i, v in want.items()
+    }
+    assert set(want.values()) == {"example", "live", "unclear"}
+
+
 def test_secret_scan_of_nothing(no_docs):
     digest, finds = secret_scan.scan(no_docs)
     assert digest.count() == 0 and finds.count() == 0
