@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.strings import group_concat
 from ..operators import numbering, ranking, sampling, stats, text
+from ..operators.selection import exact_quantiles
 from ..session import materialize
 from .registry import Tables, query
 
@@ -201,7 +202,8 @@ _PROBS = (0.25, 0.5, 0.75)
         [
             *[_describe_sql(c) for c in _DESCRIBED],
             *[
-                f"SELECT '{c}' AS \"column\", '{p * 100:g}%' AS stat, 1.0::DOUBLE AS value"
+                f"SELECT '{c}' AS \"column\", '{p * 100:g}%' AS stat, "
+                f"CAST(quantile_disc({c}, {p}) AS DOUBLE) AS value FROM lineitem"
                 for c in _DESCRIBED
                 for p in _PROBS
             ],
@@ -209,18 +211,29 @@ _PROBS = (0.25, 0.5, 0.75)
     ),
 )
 def summary_cols(t: Tables) -> DataFrame:
-    """The profile; in place of each quantile, whether its rank error is within 0.01."""
-    found = materialize(stats.profile(t("lineitem"), _DESCRIBED, list(_PROBS)), "summary")
-    names = {f"{p * 100:g}%": p for p in _PROBS}
-    out = found.where(~F.col("stat").isin(*names)).withColumn("value", F.round("value", 6))
-    probs = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
-    for c in _DESCRIBED:
-        given = found.where(F.col("stat").isin(*names) & (F.col("column") == c))
-        errors = stats.rank_errors(t("lineitem"), given.withColumn("prob", F.element_at(probs, F.col("stat"))), c)
-        label = F.concat((F.col("prob") * 100).cast("int").cast("string"), F.lit("%"))
-        within = F.when(F.col("error") <= 0.01, 1.0).otherwise(0.0)
-        out = out.unionAll(errors.select(F.lit(c), label, within))
-    return out
+    """The profile with exact quartiles."""
+    lines = t("lineitem")
+    found = exact_quantiles(lines, _DESCRIBED, list(_PROBS))
+    label = F.concat((F.col("prob") * 100).cast("int").cast("string"), F.lit("%"))
+    basic = stats.profile(lines, _DESCRIBED).withColumn("value", F.round("value", 6))
+    return basic.unionAll(found.select("column", label, "value"))
+
+
+_GROUPED = ("l_quantity", "l_extendedprice")
+
+
+@query(
+    "quantiles_by_group",
+    " UNION ALL ".join(
+        f"SELECT l_returnflag, '{c}' AS \"column\", {p}::DOUBLE AS prob, "
+        f"CAST(quantile_disc({c}, {p}) AS DOUBLE) AS value FROM lineitem GROUP BY l_returnflag"
+        for c in _GROUPED
+        for p in _PROBS
+    ),
+)
+def quantiles_by_group(t: Tables) -> DataFrame:
+    """Exact quartiles of every group of lines."""
+    return exact_quantiles(t("lineitem"), list(_GROUPED), list(_PROBS), ["l_returnflag"])
 
 
 @query(
