@@ -37,6 +37,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections import OrderedDict
+from functools import reduce
 
 import numpy as np
 import xxhash
@@ -52,10 +53,16 @@ BANDS, ROWS = 32, 4
 PERCENT = 75
 # Words of 64 bits in a parity bitmap.
 BITMAP = 16
+# The same, folded to so many.
+FOLDED = 4
 # Estimates below this are rejected without the sets: more than six deviations under 0.75.
 LEAST_ESTIMATE = 0.5
 # Buckets with at most this many members left are joined by key, larger ones by rare shingles.
 PAIRED = 32
+# At most so many of the most frequent shingles of large buckets are ordered by a list, not by a join.
+LISTED = 1_000
+# Members of a key meet at once if they have at most so many pairs, and so many per pair of two components.
+AT_ONCE, AT_ONCE_SHARE = 4_000_000, 32
 # A size band ends where the size has grown by this factor.
 GROWTH = 1.05
 # A task remembers the hashes of this many words, and the sets of this many classes.
@@ -176,10 +183,17 @@ def _sizes_fit(a: Column, b: Column) -> Column:
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
-def _bits_fit(n: Column, bits: Column, m: Column, others: Column) -> Column:
+def _folded(bits: Column) -> Column:
+    """The parity bitmap of the hashes modulo 64 * FOLDED: as exact, shorter and weaker."""
+    return F.array(
+        *[reduce(Column.bitwiseXOR, [F.get(bits, F.lit(i)) for i in range(at, BITMAP, FOLDED)]) for at in range(FOLDED)]
+    )
+
+
+def _bits_fit(n: Column, bits: Column, m: Column, others: Column, words: int = BITMAP) -> Column:
     """False only if the sets differ in too many shingles to be linked."""
     differ = sum(
-        (F.bit_count(F.get(bits, F.lit(i)).bitwiseXOR(F.get(others, F.lit(i)))) for i in range(BITMAP)),
+        (F.bit_count(F.get(bits, F.lit(i)).bitwiseXOR(F.get(others, F.lit(i)))) for i in range(words)),
         F.lit(0),
     )
     # 100 I >= P U for the intersection I and union U, with n + m = 2 I + differing shingles.
@@ -339,12 +353,14 @@ def _shingles_of(words, name, text):
     return name, shingles(text, words).view(np.int64).tolist()
 
 
-def _prefixes(name, n, root, rare):
+def _prefixes(places, name, n, root, rare, frequent):
     """Keys of the rarest shingles, as the smaller and as the larger of a pair.
 
-    ``rare`` has the shingles that other members hold as well, rarest first; the others of
-    the ``n`` come before them and can match nothing, so they only use up the prefix.
+    ``rare`` has the shingles that other members hold as well, rarest first, and ``frequent`` those
+    of the list, which come after them in the order of ``places``; the others of the ``n`` come
+    before both and can match nothing, so they only use up the prefix.
     """
+    rare = [*(rare or ()), *sorted(frequent, key=places.__getitem__)]
     tokens = np.array(rare, dtype=np.int64).view(np.uint64)
     own, band, least = n - len(tokens), _band(n), -(-PERCENT * n // 100)
 
@@ -369,37 +385,69 @@ def _rare_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     held = map_rows(
         texts, _shingles_of, "class bigint, tokens array<bigint>", setup=_WordHashes
     )
-    tokens = materialize(held, "dedup-shingles").select("class", F.explode("tokens").alias("token"))
+    held = materialize(held, "dedup-shingles")
+    tokens = held.select("class", F.explode("tokens").alias("token"))
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
     counts = materialize(counts.withColumn("rarity", F.col("held")), "dedup-rarity")
+    # The shingles of a large group are few and stand at the end of every order; their rows, nearly all
+    # that the group has, need no join to be ordered.
+    total = counts.agg(F.sum("held")).first()[0] or 0
+    bar = total // LISTED + 1
+    listed = counts.where(F.col("held") >= bar).orderBy("rarity", "token").select("token").collect()
+    places = {r["token"]: i for i, r in enumerate(listed)}
     # A shingle that one member only has is in no pair, so it is not sorted either.
-    shared = counted_join(tokens, counts, "token", "held", F.col("class"))
+    others = held.select("class", F.explode(F.filter("tokens", lambda t: ~t.isin(*places))).alias("token"))
+    counts = counts.where(F.col("held") < bar)
+    shared = counted_join(others, counts, "token", "held", F.col("class"))
     ranked = shared.groupBy("class").agg(
         F.array_sort(F.collect_list(F.struct("rarity", "token"))).alias("rare")
     )
+    frequent = held.select("class", F.filter("tokens", lambda t: t.isin(*places)).alias("frequent"))
+    ranked = frequent.join(ranked, "class", "left").where("rare is not null or size(frequent) > 0")
     prefixes = map_rows(
-        ranked.join(members, "class").select("class", "n", "root", "rare.token"),
+        ranked.join(members, "class").select("class", "n", "root", "rare.token", "frequent"),
         _prefixes,
         "class bigint, n bigint, root bigint, smaller array<bigint>, larger array<bigint>",
+        setup=lambda: places,
     )
+    prefixes = prefixes.join(sets.select("class", _folded(F.col("bits")).alias("bits")), "class")
     prefixes = materialize(prefixes, "dedup-prefixes")
-    low = prefixes.select("class", "n", "root", F.explode("smaller").alias("k"))
+    low = prefixes.select("class", "n", "root", "bits", F.explode("smaller").alias("k"))
     high = prefixes.select(
         F.col("class").alias("other"),
         F.col("n").alias("m"),
         F.col("root").alias("other_root"),
+        F.col("bits").alias("other_bits"),
         F.explode("larger").alias("k"),
     )
-    # Roots meet first, so the members of one component are never paired with each other.
-    low_roots = low.select("k", "root").distinct()
-    high_roots = high.select("k", "other_root").distinct()
+    each = low.select("k", "root", F.lit(1).alias("l"), F.lit(0).alias("h")).union(
+        high.select("k", "other_root", F.lit(0), F.lit(1))
+    )
+    each = each.groupBy("k", "root").agg(F.sum("l").alias("l"), F.sum("h").alias("h"))
+    each = materialize(each, "dedup-roots")
+    keys = each.groupBy("k").agg(
+        (F.sum("l") * F.sum("h")).alias("pairs"), F.sum(F.col("l") * F.col("h")).alias("within")
+    )
+    # Where enough pairs are of different roots, members meet at once. Elsewhere roots meet first, so the
+    # members of a large component are not compared with each other.
+    apart = F.col("pairs") - F.col("within")
+    at_once = (F.col("pairs") <= AT_ONCE) & (F.col("pairs") <= AT_ONCE_SHARE * apart)
+    keys = materialize(keys.where("pairs > within").select("k", at_once.alias("at_once")), "dedup-keys")
+    some, most = (keys.where(c).select("k") for c in ("not at_once", "at_once"))
+    low_roots = each.where("l > 0").select("k", "root").join(some, "k")
+    high_roots = each.where("h > 0").select("k", F.col("root").alias("other_root"))
     met = low_roots.join(high_roots, "k").where("root <> other_root")
-    met = materialize(met, "dedup-roots")
-    pairs = low.join(met, ["k", "root"]).join(high, ["k", "other_root"])
+    met = materialize(met, "dedup-met")
     # Of two members of one band each is the smaller once.
     first = F.struct("n", "class") < F.struct(F.col("m").alias("n"), F.col("other").alias("class"))
-    pairs = pairs.where(first & _sizes_fit(F.col("n"), F.col("m")))
-    pairs = pairs.select(F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b"))
+    fits = first & _sizes_fit(F.col("n"), F.col("m"))
+    fits = fits & _bits_fit(F.col("n"), F.col("bits"), F.col("m"), F.col("other_bits"), FOLDED)
+    both = F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b")
+    pairs = low.join(most, "k", "left_semi").join(high, "k").where(F.col("root") != F.col("other_root"))
+    pairs = pairs.where(fits).select(*both)
+    if not met.isEmpty():
+        far = low.join(met, ["k", "root"]).join(high, ["k", "other_root"]).where(fits)
+        pairs = pairs.union(far.select(*both))
     return _allowed(pairs.distinct(), sets)
 
 

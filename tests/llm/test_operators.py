@@ -726,6 +726,47 @@ def test_rare_pairs_lose_no_link(spark):
     assert all(roots[i] != roots[j] for i, j in got)
 
 
+def test_rare_pairs_lose_no_link_by_roots(spark, monkeypatch):
+    """Where members may not meet at once, their roots meet first."""
+    monkeypatch.setattr(minhash_dedup, "AT_ONCE", 0)
+    test_rare_pairs_lose_no_link(spark)
+
+
+def test_frequent_shingles_need_no_join(spark, monkeypatch):
+    """The shingles that a large group shares are ordered by a list; few of its rows are joined."""
+    shared = fixtures.prose(91, 160)
+    texts = [" ".join(shared + [f"own{i // 2}x{k}" for k in range(40)]) for i in range(300)]
+    texts = [f"{t} end{i}" for i, t in enumerate(texts)]
+    members, sets = loose_sets(spark, texts, range(300))
+    joined, real = [], minhash_dedup.counted_join
+
+    def counted(left, *args):
+        joined.append(left.count())
+        return real(left, *args)
+
+    monkeypatch.setattr(minhash_dedup, "counted_join", counted)
+    pairs = minhash_dedup._rare_pairs(members, sets)
+    assert pairs.count() == 150
+    # Each text has 160 shingles or so of the group and 41 that one other has or none.
+    assert len(joined) == 1 and joined[0] < 300 * 50
+
+
+def test_members_meet_at_once(spark, monkeypatch):
+    """Pairs that the folded bitmaps rule out do not leave the join."""
+    base = fixtures.prose(92, 120)
+    rng, texts = np.random.default_rng(9), []
+    for i in range(60):
+        copy = list(base)
+        for k in rng.choice(len(copy), 8, replace=False):
+            copy[k] = f"z{i}{k}"
+        texts.append(" ".join(copy))
+    members, sets = loose_sets(spark, texts, range(60))
+    left = []
+    monkeypatch.setattr(minhash_dedup, "_allowed", lambda pairs, sides: left.append(pairs.count()) or pairs)
+    minhash_dedup._rare_pairs(members, sets)
+    assert left[0] < 60 * 59 // 2 // 4
+
+
 def test_loose_group_is_not_paired(spark, monkeypatch):
     """Documents that share four fifths of their words and no more never meet."""
     shared = fixtures.prose(90, 160)
