@@ -15,6 +15,7 @@ texts have no tokens. A batch must hold a document once.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -26,6 +27,8 @@ MARK = "doc_id {id}, version BIGINT, gone BOOLEAN"
 BUCKETS = 64
 # A merge is due above so many segments.
 MOST_SEGMENTS = 8
+# Marks that Spark may broadcast, by its own bound on bytes.
+MANY_MARKS = 200_000
 
 # Suffix rules in order: each is a pattern and what stays of the token.
 STEM_RULES = (
@@ -37,22 +40,75 @@ STEM_RULES = (
 )
 
 
-def stem(token: Column) -> Column:
+# How a token ends that a rule may change, with the first rule to try (the last one has no number); others
+# are left as they are.
+STEM_ENDS = ((("s",), 0), (("ly", "ing", "ed"), 3), (tuple(2 * c for c in "bdfgmnprt"), len(STEM_RULES)))
+
+
+def stem(token: Column, first: int = 0) -> Column:
     """The token without English endings: plurals, -ly, -ing, -ed, then a doubled last consonant."""
-    for pattern, keep in STEM_RULES:
+    for pattern, keep in STEM_RULES[first:]:
         token = F.regexp_replace(token, pattern, "$1" + (keep if isinstance(keep, str) else ""))
     return F.regexp_replace(token, r"([bdfgmnprt])\1$", "$1")
 
 
+def _stem_some(token: Column) -> Column:
+    """``stem``, with its rules tried only on tokens that end as one of them asks."""
+    (plural, _), (ends, rule), (doubled, last) = STEM_ENDS
+    two = F.substring(token, -2, 2)
+    return (
+        F.when(F.endswith(token, F.lit(plural[0])), stem(token))
+        .when(reduce(Column.__or__, [F.endswith(token, F.lit(end)) for end in ends]), stem(token, rule))
+        .when(two.isin(*doubled), stem(token, last))
+        .otherwise(token)
+    )
+
+
+def _words(text: Column) -> Column:
+    """Lower-case tokens of a text in their order."""
+    found = F.filter(F.split(F.lower(text), TOKEN_BREAK), lambda t: t != "")
+    return F.coalesce(found, F.array().cast("array<string>"))
+
+
 def positions(text: Column, stemmed: bool) -> Column:
     """Array of (token, position from 1) of a text; stop words are still in it."""
-    found = F.filter(F.split(F.lower(text), TOKEN_BREAK), lambda t: t != "")
     return F.transform(
-        F.coalesce(found, F.array().cast("array<string>")),
+        _words(text),
         lambda t, i: F.struct((stem(t) if stemmed else t).alias("token"), t.alias("raw"), (i + 1).alias("position")),
     )
 
 
+def _postings(texts: DataFrame, index: Index, twice: bool) -> DataFrame:
+    """token, doc_id, version and positions of texts, each document by itself.
+
+    The places of a document are sorted by token and cut where the token changes, so no row per place
+    is shuffled or sorted. If ``twice``, rows of one document are put together first.
+    """
+    places = F.transform(_words(F.col("text")), lambda t, i: F.struct(t.alias("token"), (i + 1).alias("position")))
+    if index.stop_words:
+        places = F.filter(places, lambda p: ~p["token"].isin(*index.stop_words))
+    if index.stemmed:
+        places = F.transform(
+            places, lambda p: F.struct(_stem_some(p["token"]).alias("token"), p["position"].alias("position"))
+        )
+    rows = texts.select("doc_id", "version", places.alias("places"))
+    if twice:
+        rows = rows.groupBy("doc_id", "version").agg(F.flatten(F.collect_list("places")).alias("places"))
+    rows = rows.where(F.size("places") > 0).withColumn("places", F.sort_array("places"))
+    # Not ``places.token``, which would be taken out of the whole array again for every element.
+    parts = F.transform("places", lambda p: p["token"]), F.transform("places", lambda p: p["position"])
+    rows = rows.select("doc_id", "version", parts[0].alias("tokens"), parts[1].alias("all"))
+    tokens = F.col("tokens")
+    differ = lambda t, i: F.when((i == 0) | (t != F.get(tokens, i - 1)), i)
+    rows = rows.withColumn("at", F.array_compact(F.transform(tokens, differ)))
+
+    def run(first, k):
+        after = F.coalesce(F.get("at", k + 1), F.size("all"))
+        return F.struct(F.get(tokens, first).alias("token"), F.slice("all", first + 1, after - first).alias("positions"))
+
+    return rows.select("doc_id", "version", F.inline(F.transform("at", run)))
+
+
 def create(spark: SparkSession, path: str, id_type: str = "bigint", stop_words: list[str] = (), stemmed: bool = True, buckets: int = BUCKETS) -> None:
     """An empty index; its settings hold for all batches and searches."""
     words = sorted({w.lower() for w in stop_words})
@@ -99,12 +155,15 @@ class Index:
             out = out.unionByName(more)
         return out
 
+    def _marks(self) -> DataFrame:
+        schema = MARK.format(id=self.id_type)
+        return self.spark.read.schema(schema).parquet(*[f"{self.path}/marks/{m}" for m in self.marks])
+
     def last_marks(self, of: DataFrame | None = None) -> DataFrame:
         """doc_id, newest version, whether the document is gone; only of the documents in ``of``."""
-        schema = MARK.format(id=self.id_type)
         if not self.marks:
-            return self.spark.createDataFrame([], schema.replace("version", "newest"))
-        read = self.spark.read.schema(schema).parquet(*[f"{self.path}/marks/{m}" for m in self.marks])
+            return self.spark.createDataFrame([], MARK.format(id=self.id_type).replace("version", "newest"))
+        read = self._marks()
         if of is not None:
             read = read.join(of.select("doc_id").distinct(), "doc_id", "left_semi")
         # A long that orders by version first and holds the flag.
@@ -115,10 +174,13 @@ class Index:
     def live(self, postings: DataFrame, few: bool = False) -> DataFrame:
         """Postings of the newest version of each document; ``few``: look only at their marks.
 
-        Plain joins on the id: documents are about equally large there, and Spark broadcasts
-        the hits of a search by their measured size.
+        Joins on the id: documents are about equally large there, and Spark broadcasts the hits of a
+        search by their measured size. Many marks are looked up by hash, so postings are not sorted for them.
         """
-        kept = postings.join(self.last_marks(postings if few else None), "doc_id")
+        marks = self.last_marks(postings if few else None)
+        if not few and self.marks and self._marks().count() > MANY_MARKS:
+            marks = marks.hint("shuffle_hash")
+        kept = postings.join(marks, "doc_id")
         return kept.where((F.col("version") == F.col("newest")) & ~F.col("gone")).drop("newest", "gone")
 
 
@@ -152,15 +214,12 @@ def apply_batch(spark: SparkSession, path: str, batch: int, changes: DataFrame,
         deleted.alias("gone"),
         F.concat_ws(" ", *[F.col(f"`{t}`").cast("string") for t in texts]).alias("text"),
     ).where("doc_id is not null")
-    each = rows.where("not gone").select("doc_id", "version", F.explode(positions(F.col("text"), index.stemmed)).alias("p"))
-    each = each.select("p.token", "p.raw", "doc_id", "version", "p.position")
-    if index.stop_words:
-        each = each.where(~F.col("raw").isin(*index.stop_words))
-    found = each.groupBy("token", "doc_id", "version").agg(F.array_sort(F.collect_list("position")).alias("positions"))
+    rows.select("doc_id", "version", "gone").write.mode("overwrite").parquet(f"{path}/marks/batch-{batch}")
+    marks = spark.read.schema(MARK.format(id=index.id_type)).parquet(f"{path}/marks/batch-{batch}")
+    twice = marks.where("not gone").groupBy("doc_id").count().where("count > 1")
+    found = _postings(rows.where("not gone"), index, twice=not twice.isEmpty())
     bucket = F.pmod(F.xxhash64("token"), F.lit(index.buckets)).cast("int")
     _write_segment(found.withColumn("token_bucket", bucket), f"{path}/segments/batch-{batch}")
-    marks = rows.select("doc_id", "version", "gone")
-    marks.write.mode("overwrite").parquet(f"{path}/marks/batch-{batch}")
     entries = index.entries([*index.segments, f"batch-{batch}"], [*index.marks, f"batch-{batch}"], batch)
     _publish(spark, path, index.number + 1, entries)
     return True

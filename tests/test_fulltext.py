@@ -160,3 +160,33 @@ def test_token_search_passes_over_stop_words(spark, tmp_path):
     assert rows(text.search_tokens(index, ["of", "city"])) == [(2,), (3,)]
     with pytest.raises(ValueError, match="stop words"):
         text.search_tokens(index, ["the"])
+
+
+def test_stems_by_their_ends(spark):
+    """Rules that are not tried would change nothing."""
+    words = WORDS + "glasses flies apply only add adds butt bus us ss ly ing ed was this tied being zoo runningly übb".split()
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = [(r["a"], r["b"]) for r in df.select(fulltext.stem(df["w"]).alias("a"), fulltext._stem_some(df["w"]).alias("b")).collect()]
+    assert got == [(stemmed(w), stemmed(w)) for w in words]
+
+
+def test_postings_are_made_per_document(spark, path):
+    """No row per place is shuffled: a batch without repeated ids is cut into postings where it is read."""
+    docs = spark.createDataFrame([(1, 1, "b a b the running runs"), (2, 1, ""), (3, 1, None)], "doc_id long, version long, text string")
+    found = fulltext._postings(docs, fulltext.Index(spark, path), twice=False)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {(r["token"], r["doc_id"]): r["positions"] for r in found.collect()}
+    assert got == {("b", 1): [1, 3], ("a", 1): [2], ("run", 1): [5, 6]}
+
+
+def test_a_document_twice_in_a_batch_has_one_posting(spark, path):
+    df = spark.createDataFrame([(1, "fox x"), (1, "x fox")], "id long, body string")
+    fulltext.apply_batch(spark, path, 1, df, "id", ["body"])
+    assert state(spark, path) == {("fox", 1): [1, 2], ("x", 1): [1, 2]}
+
+
+def test_live_postings_with_many_marks(spark, path, monkeypatch):
+    apply(spark, path, 1, {1: "fox", 2: "boxes"})
+    apply(spark, path, 2, {2: "x"}, gone=[1])
+    monkeypatch.setattr(fulltext, "MANY_MARKS", 0)
+    assert state(spark, path) == {("x", 2): [1]}
