@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .joins import small_join
+from .joins import hot_keys, small_join
+
+# Rows whose keys one task counts; more rows than the shuffle partitions hold get more tasks.
+GROUPED_ROWS = 1_000_000
 
 
 def _report(df: DataFrame, table: str, rule: str, key: Column, n: Column) -> DataFrame:
@@ -28,10 +31,23 @@ def check_not_null(df: DataFrame, table: str, cols: list[str]) -> DataFrame:
     return _report(found, table, "not_null", F.col("k"), F.col("c"))
 
 
+def _key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows per key as ``_n``. Tasks hold about GROUPED_ROWS rows, so their memory does not grow with
+    the table; the few hot keys are counted before the shuffle.
+    """
+    count = F.count(F.lit(1)).alias("_n")
+    tasks = -(-df.count() // GROUPED_ROWS)
+    if tasks <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df.groupBy(*keys).agg(count)
+    hot = F.xxhash64(*keys).isin(hot_keys(df, keys))
+    rest = df.where(~hot).repartition(tasks, *keys).groupBy(*keys).agg(count)
+    return rest.unionAll(df.where(hot).groupBy(*keys).agg(count))
+
+
 def check_unique(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
     """Keys that occur more than once; a key with a NULL in it passes, as in a unique index."""
     whole = df.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
-    found = whole.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    found = _key_counts(whole, keys).where("_n > 1")
     return _report(found, table, f"unique({', '.join(keys)})", _key_text(keys), F.col("_n"))
 
 

@@ -104,3 +104,15 @@ def test_declared_defaults_have_column_types(spark):
     film = spark.createDataFrame([(None,) * len(schema)], "struct<" + ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in schema) + ">")
     row = quality.apply_defaults(film, schemas.typed_defaults("film")).first()
     assert (row["rental_duration"], str(row["rental_rate"]), str(row["replacement_cost"]), row["rating"]) == (3, "4.99", "19.99", "G")
+
+
+def test_unique_keys_are_counted_by_small_tasks(spark, monkeypatch):
+    """Memory of a task follows the rows it gets, so many rows get more tasks than shuffle partitions."""
+    # Key 0 is hot; the keys from 1 to 400 come twice, those up to 4000 once.
+    pairs = [(0, 0)] * 2_000 + [(i, -i) for i in range(1, 4_001)] + [(i, -i) for i in range(1, 401)]
+    df = spark.createDataFrame([*pairs, (None, 1), (None, 1)], "a long, b long")
+    monkeypatch.setattr(quality, "GROUPED_ROWS", 100)
+    found = quality.check_unique(df, "t", ["a", "b"])
+    assert "64)" in found._jdf.queryExecution().executedPlan().toString()
+    got = {r["key"]: r["n"] for r in found.collect()}
+    assert got == {"0|0": 2_000} | {f"{i}|{-i}": 2 for i in range(1, 401)}
