@@ -61,6 +61,8 @@ LEAST_ESTIMATE = 0.5
 PAIRED = 32
 # At most so many of the most frequent shingles of large buckets are ordered by a list, not by a join.
 LISTED = 1_000
+# The list is made from about so many shingles of members, chosen by hash.
+SAMPLED = 20_000
 # Members of a key meet at once if they have at most so many pairs, and so many per pair of two components.
 AT_ONCE, AT_ONCE_SHARE = 4_000_000, 32
 # A size band ends where the size has grown by this factor.
@@ -379,6 +381,23 @@ def _prefixes(places, name, n, root, rare, frequent):
     return name, n, root, smaller, larger
 
 
+def _listed(held: DataFrame) -> dict[int, int]:
+    """The most frequent shingles of the members, each with its place, rarest first.
+
+    The shingles of a large group are few and stand at the end of every order; as a list they order
+    nearly all that the group has without a row for each. They are looked for among every so-manyth
+    shingle of every member, about ``SAMPLED`` in all. That decides the list only, and with any
+    list the same members meet: prefixes need one order, and all other shingles are counted in full.
+    """
+    total = held.agg(F.sum(F.size("tokens"))).first()[0] or 0
+    step = max(1, total // SAMPLED)
+    some = F.filter("tokens", lambda t: F.pmod(F.xxhash64("class", t), F.lit(step)) == 0)
+    counts = held.select(F.explode(some).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("held"))
+    bar = max(2, total // step // LISTED + 1)
+    found = counts.where(F.col("held") >= bar).orderBy(F.desc("held"), "token").limit(LISTED).collect()
+    return {r["token"]: i for i, r in enumerate(reversed(found))}
+
+
 def _rare_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs of members (class, n, root) of different roots that may be linked, by prefixes."""
     texts = members.join(sets.select("class", "text"), "class").select("class", "text")
@@ -386,18 +405,13 @@ def _rare_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
         texts, _shingles_of, "class bigint, tokens array<bigint>", setup=_WordHashes
     )
     held = materialize(held, "dedup-shingles")
-    tokens = held.select("class", F.explode("tokens").alias("token"))
-    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
-    counts = materialize(counts.withColumn("rarity", F.col("held")), "dedup-rarity")
-    # The shingles of a large group are few and stand at the end of every order; their rows, nearly all
-    # that the group has, need no join to be ordered.
-    total = counts.agg(F.sum("held")).first()[0] or 0
-    bar = total // LISTED + 1
-    listed = counts.where(F.col("held") >= bar).orderBy("rarity", "token").select("token").collect()
-    places = {r["token"]: i for i, r in enumerate(listed)}
-    # A shingle that one member only has is in no pair, so it is not sorted either.
+    places = _listed(held)
+    # Only the shingles off the list become rows, once, to be counted and joined.
     others = held.select("class", F.explode(F.filter("tokens", lambda t: ~t.isin(*places))).alias("token"))
-    counts = counts.where(F.col("held") < bar)
+    others = materialize(others, "dedup-others")
+    # A shingle that one member only has is in no pair, so it is not sorted either.
+    counts = others.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1")
+    counts = materialize(counts.withColumn("rarity", F.col("held")), "dedup-rarity")
     shared = counted_join(others, counts, "token", "held", F.col("class"))
     ranked = shared.groupBy("class").agg(
         F.array_sort(F.collect_list(F.struct("rarity", "token"))).alias("rare")

@@ -751,6 +751,33 @@ def test_frequent_shingles_need_no_join(spark, monkeypatch):
     assert len(joined) == 1 and joined[0] < 300 * 50
 
 
+def test_rare_pairs_lose_no_link_by_any_list(spark, monkeypatch):
+    """A list made from few of the shingles only changes their order."""
+    for sampled in (1, 400):
+        monkeypatch.setattr(minhash_dedup, "SAMPLED", sampled)
+        test_rare_pairs_lose_no_link(spark)
+
+
+def test_frequent_shingles_are_not_exploded(spark, monkeypatch):
+    """Of a large group's shingles, the frequent ones become no rows, except in a bounded sample."""
+    n = 600
+    shared = fixtures.prose(90, 160)
+    texts = [" ".join(shared + [f"own{i}x{k}" for k in range(40)]) for i in range(n)]
+    members, sets = loose_sets(spark, texts, range(n))
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<bigint>")
+    def counted(values):
+        made.add(len(values))
+        return values
+
+    explode = F.explode
+    monkeypatch.setattr(minhash_dedup.F, "explode", lambda values: explode(counted(values)))
+    assert minhash_dedup._rare_pairs(members, sets).count() == 0
+    # Each text has 40 shingles of its own, 156 of the group and 44 prefix keys.
+    assert made.value < n * (40 + 44) + 1.2 * 20_000
+
+
 def test_members_meet_at_once(spark, monkeypatch):
     """Pairs that the folded bitmaps rule out do not leave the join."""
     base = fixtures.prose(92, 120)
