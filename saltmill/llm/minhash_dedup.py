@@ -426,13 +426,15 @@ def _rare_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     )
     prefixes = prefixes.join(sets.select("class", _folded(F.col("bits")).alias("bits")), "class")
     prefixes = materialize(prefixes, "dedup-prefixes")
-    low = prefixes.select("class", "n", "root", "bits", F.explode("smaller").alias("k"))
+    # Keys become rows once; sizes and bitmaps are joined to those that may be of a pair.
+    low = materialize(prefixes.select("class", "root", F.explode("smaller").alias("k")), "dedup-low")
     high = prefixes.select(
-        F.col("class").alias("other"),
-        F.col("n").alias("m"),
-        F.col("root").alias("other_root"),
-        F.col("bits").alias("other_bits"),
-        F.explode("larger").alias("k"),
+        F.col("class").alias("other"), F.col("root").alias("other_root"), F.explode("larger").alias("k")
+    )
+    high = materialize(high, "dedup-high")
+    one = prefixes.select("class", "n", "bits")
+    another = prefixes.select(
+        F.col("class").alias("other"), F.col("n").alias("m"), F.col("bits").alias("other_bits")
     )
     each = low.select("k", "root", F.lit(1).alias("l"), F.lit(0).alias("h")).union(
         high.select("k", "other_root", F.lit(0), F.lit(1))
@@ -457,11 +459,14 @@ def _rare_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     fits = first & _sizes_fit(F.col("n"), F.col("m"))
     fits = fits & _bits_fit(F.col("n"), F.col("bits"), F.col("m"), F.col("other_bits"), FOLDED)
     both = F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b")
-    pairs = low.join(most, "k", "left_semi").join(high, "k").where(F.col("root") != F.col("other_root"))
+    some_low = low.join(most, "k", "left_semi").join(one, "class")
+    some_high = high.join(most, "k", "left_semi").join(another, "other")
+    pairs = some_low.join(some_high, "k").where(F.col("root") != F.col("other_root"))
     pairs = pairs.where(fits).select(*both)
     if not met.isEmpty():
-        far = low.join(met, ["k", "root"]).join(high, ["k", "other_root"]).where(fits)
-        pairs = pairs.union(far.select(*both))
+        far_low = low.join(met, ["k", "root"]).join(one, "class")
+        far_high = high.join(met, ["k", "other_root"], "left_semi").join(another, "other")
+        pairs = pairs.union(far_low.join(far_high, ["k", "other_root"]).where(fits).select(*both))
     return _allowed(pairs.distinct(), sets)
 
 
