@@ -17,6 +17,9 @@ prefix per band of partners, since m decides its length. Documents that share a
 but stay below the threshold hold more shingles of their own than a prefix has, so they do not
 meet at all. Members of one component are not paired.
 
+Pairs are written between the joins that find, thin and compare them: all broadcasts and shuffles of
+one plan are held by the driver at once, however few rows they have.
+
 Pairs leave the joins only if their parity bitmaps allow the similarity: bit i is
 the parity of the number of shingles with hash i modulo 1024, so the bits in which two
 documents differ are at most the shingles in which they differ. That bound is exact, and
@@ -223,7 +226,7 @@ def _linked(memory, a, b, sa, sb, ta, tb):
 
 
 def verify(pairs: DataFrame, sets: DataFrame, label: str) -> DataFrame:
-    """The pairs (a, b) that are linked; ``sets`` has class, signature and text."""
+    """The pairs (a, b) of a written table that are linked; ``sets`` has class, signature and text."""
     a = sets.select(F.col("class").alias("a"), F.col("signature").alias("sa"), F.col("text").alias("ta"))
     b = sets.select(F.col("class").alias("b"), F.col("signature").alias("sb"), F.col("text").alias("tb"))
     rows = pairs.join(a, "a").join(b, "b").select("a", "b", "sa", "sb", "ta", "tb")
@@ -246,15 +249,15 @@ def _hub_pairs(members: DataFrame, hubs: list[Column], sides: DataFrame) -> Data
     pairs = pairs.select(
         F.least("class", "hub.class").alias("a"), F.greatest("class", "hub.class").alias("b")
     )
-    return _allowed(pairs.distinct(), sides)
+    return _allowed(materialize(pairs.distinct(), "dedup-met-hubs"), sides)
 
 
 def _allowed(pairs: DataFrame, sides: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose parity bitmaps allow a link."""
+    """The pairs (a, b) whose parity bitmaps allow a link, as a written table."""
     a = sides.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"))
     b = sides.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
     fits = _bits_fit(F.col("na"), F.col("ba"), F.col("nb"), F.col("bb"))
-    return pairs.join(a, "a").join(b, "b").where(fits).select("a", "b")
+    return materialize(pairs.join(a, "a").join(b, "b").where(fits).select("a", "b"), "dedup-allowed")
 
 
 def find_links(signed: DataFrame, docs: DataFrame, id_column: str, text_column: str):
@@ -329,7 +332,9 @@ def _last_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     many = members.join(held.where(F.col("held") > PAIRED).select("key"), "key")
     many = materialize(many.select("class", "n", "root").distinct(), "dedup-many")
     pairs = _bucket_pairs(few, sets)
-    return pairs if many.isEmpty() else pairs.union(_rare_pairs(many, sets)).distinct()
+    if many.isEmpty():
+        return pairs
+    return materialize(pairs.union(_rare_pairs(many, sets)).distinct(), "dedup-last-pairs")
 
 
 def _bucket_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -348,7 +353,8 @@ def _bucket_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
         & _sizes_fit(F.col("n"), F.col("m"))
         & _bits_fit(F.col("n"), F.col("bits"), F.col("m"), F.col("other_bits"))
     )
-    return pairs.select(F.col("class").alias("a"), F.col("other").alias("b")).distinct()
+    pairs = pairs.select(F.col("class").alias("a"), F.col("other").alias("b")).distinct()
+    return materialize(pairs, "dedup-met-few")
 
 
 def _shingles_of(words, name, text):
@@ -449,7 +455,9 @@ def _rare_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     apart = F.col("pairs") - F.col("within")
     at_once = (F.col("pairs") <= AT_ONCE) & (F.col("pairs") <= AT_ONCE_SHARE * apart)
     keys = materialize(keys.where("pairs > within").select("k", at_once.alias("at_once")), "dedup-keys")
-    some, most = (keys.where(c).select("k") for c in ("not at_once", "at_once"))
+    low = materialize(low.join(keys, "k"), "dedup-low-kept")
+    high = materialize(high.join(keys, "k"), "dedup-high-kept")
+    some = keys.where("not at_once").select("k")
     low_roots = each.where("l > 0").select("k", "root").join(some, "k")
     high_roots = each.where("h > 0").select("k", F.col("root").alias("other_root"))
     met = low_roots.join(high_roots, "k").where("root <> other_root")
@@ -459,15 +467,17 @@ def _rare_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     fits = first & _sizes_fit(F.col("n"), F.col("m"))
     fits = fits & _bits_fit(F.col("n"), F.col("bits"), F.col("m"), F.col("other_bits"), FOLDED)
     both = F.least("class", "other").alias("a"), F.greatest("class", "other").alias("b")
-    some_low = low.join(most, "k", "left_semi").join(one, "class")
-    some_high = high.join(most, "k", "left_semi").join(another, "other")
-    pairs = some_low.join(some_high, "k").where(F.col("root") != F.col("other_root"))
-    pairs = pairs.where(fits).select(*both)
+    most_low = low.where("at_once").drop("at_once").join(one, "class")
+    most_high = high.where("at_once").drop("at_once").join(another, "other")
+    pairs = most_low.join(most_high, "k").where(F.col("root") != F.col("other_root"))
+    pairs = materialize(pairs.where(fits).select(*both).distinct(), "dedup-met-at-once")
     if not met.isEmpty():
-        far_low = low.join(met, ["k", "root"]).join(one, "class")
-        far_high = high.join(met, ["k", "other_root"], "left_semi").join(another, "other")
-        pairs = pairs.union(far_low.join(far_high, ["k", "other_root"]).where(fits).select(*both))
-    return _allowed(pairs.distinct(), sets)
+        far_low = materialize(low.drop("at_once").join(met, ["k", "root"]), "dedup-far-low")
+        far_high = high.drop("at_once").join(met, ["k", "other_root"], "left_semi")
+        far_high = materialize(far_high, "dedup-far-high").join(another, "other")
+        far = far_low.join(one, "class").join(far_high, ["k", "other_root"]).where(fits).select(*both)
+        pairs = pairs.union(materialize(far.distinct(), "dedup-met-by-root")).distinct()
+    return _allowed(pairs, sets)
 
 
 def near_duplicates(

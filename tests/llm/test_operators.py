@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections import Counter
 
@@ -811,6 +812,21 @@ def test_near_duplicates_by_rare_shingles(spark, monkeypatch):
     test_near_duplicates(spark)
 
 
+def test_near_duplicates_by_short_plans(spark, monkeypatch):
+    """The driver holds the broadcasts and shuffles of a plan at once: no step joins many tables."""
+    joins, real = {}, minhash_dedup.materialize
+
+    def written(df, label):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        joins[label] = max(joins.get(label, 0), len(re.findall(r"\bJoin (?:Inner|Left)", plan)))
+        return real(df, label)
+
+    monkeypatch.setattr(minhash_dedup, "materialize", written)
+    monkeypatch.setattr(minhash_dedup, "AT_ONCE", 0)
+    test_near_duplicates_by_rare_shingles(spark, monkeypatch)
+    assert "dedup-prefixes" in joins and max(joins.values()) <= 4, joins
+
+
 def test_near_duplicates_of_nothing(no_docs):
     assert minhash_dedup.near_duplicates(no_docs)[0].count() == 0
     assert minhash_dedup.survivors(no_docs).count() == 0
