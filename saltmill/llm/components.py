@@ -52,3 +52,21 @@ def components(edges: DataFrame) -> DataFrame:
         edges = small_star(large_star(edges))
         if _is_star_forest(edges):
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+
+
+def extended(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """``roots`` of ``components`` after more ``edges``; both are written tables.
+
+    Only the roots that the new edges join are linked again, not the components below them.
+    """
+    ends = edges.join(_as(roots, "u", "ru"), "u", "left").join(_as(roots, "v", "rv"), "v", "left")
+    ends = ends.select(F.coalesce("ru", "u").alias("u"), F.coalesce("rv", "v").alias("v"))
+    ends = materialize(ends.where("u <> v").distinct(), "root-links")
+    moved = components(ends)
+    below = roots.join(_as(moved, "root", "to"), "root", "left")
+    below = below.select("node", F.coalesce("to", "root").alias("root"))
+    return materialize(below.union(moved), "roots")
+
+
+def _as(roots: DataFrame, node: str, root: str) -> DataFrame:
+    return roots.select(F.col("node").alias(node), F.col("root").alias(root))

@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import materialize
 from .common import counted_join, free_names, map_rows, pick
-from .components import components
+from .components import components, extended
 from .registry import query
 
 WORDS = 5
@@ -299,7 +299,7 @@ def find_links(signed: DataFrame, docs: DataFrame, id_column: str, text_column:
         more = verify(find(members, sets), sets, "dedup-more")
         if not more.isEmpty():
             links = links.union(more)
-            roots = components(materialize(links, "dedup-links"))
+            roots = extended(roots, more)
     return classes, links, roots
 
 

@@ -853,6 +853,25 @@ def test_components(spark):
     assert components.components(edges.limit(0)).count() == 0
 
 
+def test_components_are_extended(spark, monkeypatch):
+    """New edges join roots: nothing below them is linked again."""
+    rng = np.random.default_rng(6)
+    pairs = [tuple(map(int, p)) for p in rng.integers(0, 400, (260, 2)) if p[0] != p[1]]
+    old = [p for i, p in enumerate(pairs) if i % 3] + [(500, 501 + i) for i in range(50)]
+    new = [p for i, p in enumerate(pairs) if not i % 3] + [(530, 10), (600, 601)]
+    schema = "u long, v long"
+    roots = spark.createDataFrame(components.components(spark.createDataFrame(old, schema)).collect())
+    want = bag(components.components(spark.createDataFrame(old + new, schema)), "node", "root")
+    seen, real = [], components.components
+    monkeypatch.setattr(components, "components", lambda edges: seen.extend(edges.collect()) or real(edges))
+    assert bag(components.extended(roots, spark.createDataFrame(new, schema)), "node", "root") == want
+    below = {r["node"] for r in roots.collect()}
+    assert seen and not below & {x for e in seen for x in e}
+    # Edges within a component change nothing.
+    within = spark.createDataFrame([(501, 540)], schema)
+    assert bag(components.extended(roots, within), "node", "root") == bag(roots, "node", "root")
+
+
 # All at once: documents put together at random from shared lines, passages and edits
 
 
